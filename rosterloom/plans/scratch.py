@@ -1,0 +1,29 @@
+"""Intermediate tables on the storage the cluster shares."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+_SETTING = "spark.checkpoint.dir"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder under the session's checkpoint directory.
+
+    Only a session without that setting, as in tests, falls back to a local temporary folder.
+    """
+    root = spark.conf.get(_SETTING, None) or tempfile.mkdtemp(prefix="rosterloom-")
+    return f"{root}/rosterloom/{uuid.uuid4().hex}/{name}"
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written as Parquet and read back.
+
+    Cuts the lineage, so a lost executor costs a re-read and not a re-computation, and lets later
+    steps read only the columns they need.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
