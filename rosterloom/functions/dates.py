@@ -9,37 +9,38 @@ from pyspark.sql import functions as F
 
 from rosterloom.functions.text import trim_spaces
 
-# Accepted date spellings, as (shape of the text, Spark date pattern).
-# The shapes exclude each other, so a row is parsed once, with the one pattern that can fit,
-# instead of failing through all of them.
+# Accepted date spellings. Each one is rewritten to ``yyyy-M-d`` (year, month and day
+# in the named order), and everything else is left alone and fails the final shape.
+_TIME = r" (?:[01]?\d|2[0-3]):[0-5]?\d"
 DATE_SPELLINGS = (
-    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d H:m:s"),
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$", "d/M/yyyy H:m:s"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$", "d/M/yyyy H:m"),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy"),
-    (r"^\d{8}$", "yyyyMMdd"),
+    (rf"^(\d{{4}}-\d{{1,2}}-\d{{1,2}}){_TIME}:[0-5]?\d$", "$1"),  # yyyy-MM-dd HH:mm:ss
+    (rf"^(\d{{1,2}})/(\d{{1,2}})/(\d{{4}})(?:{_TIME}(?::[0-5]?\d)?)?$", "$3-$2-$1"),  # dd/MM/yyyy [time]
+    (r"^(\d{1,2})-(\d{1,2})-(\d{4})$", "$3-$2-$1"),  # dd-MM-yyyy
+    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),  # yyyyMMdd
 )
-# Spreadsheet serial numbers count days from this date, up to 9999-12-31.
-SERIAL_SHAPE = r"^(\d{4,6})(?:\.0+)?$"
+_YEAR_MONTH_DAY = r"^\d{4}-\d{1,2}-\d{1,2}$"
+# Spreadsheet serial numbers count days from this date; four to six digits, not zero.
+SERIAL_SHAPE = r"^(?!0+(?:\.|$))(\d{4,6})(?:\.0+)?$"
 SERIAL_EPOCH = dt.date(1899, 12, 30)
-SERIAL_RANGE = (1, 2_958_465)
 # Fixed value: month and year inside a file name, as in ``Quadro 05-2026.xlsx``.
 MONTH_IN_NAME = r"(?:^|\D)(\d{2})-(\d{4})(?:\D|$)"
 
 
 def parse_date(c: Column) -> Column:
-    """Text in any accepted spelling, or a spreadsheet serial number, as a date."""
+    """Text in any accepted spelling, or a spreadsheet serial number, as a date.
+
+    Rewriting to one spelling and casting needs no formatter per pattern, raises nothing on rows
+    that do not fit, and keeps the expression short.
+    """
     text = trim_spaces(c.cast("string"))
+    spelled = text
+    for shape, parts in DATE_SPELLINGS:
+        spelled = F.regexp_replace(spelled, shape, parts)
     serial = F.regexp_extract(text, SERIAL_SHAPE, 1).try_cast("int")
-    from_serial = F.when(
-        serial.between(*SERIAL_RANGE), F.date_add(F.lit(SERIAL_EPOCH), serial)
+    return F.coalesce(
+        F.regexp_extract(spelled, _YEAR_MONTH_DAY, 0).try_cast("date"),
+        F.date_add(F.lit(SERIAL_EPOCH), serial),
     )
-    parsed = F.when(text.rlike(SERIAL_SHAPE), from_serial)
-    for shape, pattern in DATE_SPELLINGS:
-        parsed = parsed.when(text.rlike(shape), F.try_to_date(text, pattern))
-    return parsed
 
 
 def month_start(d: Column) -> Column:

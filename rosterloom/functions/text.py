@@ -32,13 +32,10 @@ def strip_accents(c: Column) -> Column:
 
 def zero_pad(c: Column, width: int) -> Column:
     """Left-pad with zeros up to ``width``. Longer text is kept whole; a sign stays in front."""
-    signed = c.startswith("+") | c.startswith("-")
-    after_sign = F.substring(c, 2, 2**31 - 1)
-    return (
-        F.when(F.length(c) >= width, c)
-        .when(signed, F.concat(F.substring(c, 1, 1), F.lpad(after_sign, width - 1, "0")))
-        .otherwise(F.lpad(c, width, "0"))
-    )
+    sign = F.regexp_extract(c, r"^[+-]?", 0)
+    rest = F.regexp_replace(c, r"^[+-]", "")
+    width_of_rest = F.greatest(F.length(rest), F.lit(width) - F.length(sign))
+    return F.concat(sign, F.lpad(rest, width_of_rest, F.lit("0")))
 
 
 def header_code(header: str) -> str:

@@ -4,7 +4,7 @@ from rosterloom.plans.config import CheckLimits, ConfigError, Enrichment, FlowCo
 from rosterloom.plans.flows import FLOWS, Flow
 from rosterloom.plans.people import PEOPLE_CONTRACT
 from rosterloom.plans.rules import RuleResult, Severity
-from rosterloom.plans.run import RunError, RunResult, run
+from rosterloom.plans.job import RunError, RunResult, run
 
 __all__ = [
     "FLOWS",

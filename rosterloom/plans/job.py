@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from rosterloom.operators.joins import same_month_counterpart
 from rosterloom.operators.rows import FILE, FILE_ORDER, periods_in_several_files
-from rosterloom.operators.shape import apply_types, clean_all_text, drop_empty_rows
+from rosterloom.operators.shape import apply_types, clean_all_text, drop_blank_rows
 from rosterloom.operators.stack import ROW_LABEL, rows_per_label, stack_labelled
 from rosterloom.plans import rules
 from rosterloom.plans.config import FlowConfig, JobConfig
@@ -134,6 +135,35 @@ def _coverage_rule(flow: Flow, config: JobConfig, tables: dict[str, DataFrame]):
     )
 
 
+def _build_and_check(
+    spark: SparkSession,
+    flow: Flow,
+    config: JobConfig,
+    reference_date: dt.date,
+    tables: dict[str, DataFrame],
+    scratch: str,
+    restage: bool,
+) -> tuple[DataFrame, list[RuleResult]]:
+    """One flow from its files to its checked table."""
+    settings = config.flow(flow.name)
+    staged = read_staged(
+        spark,
+        settings.source,
+        config.contract,
+        f"{config.staging}/{flow.name}",
+        kept_headers(settings),
+        restage,
+    )
+    raw = clean_all_text(drop_blank_rows(staged))
+    typed = apply_types(raw, config.contract)
+    built = flow.build(typed, settings, reference_date, tables)
+    table = written(built, f"{scratch}/{flow.name}")
+    results = _flow_rules(flow, config, settings, table, raw, reference_date)
+    if flow.name == "snapshot":
+        results += _overlap_rule(typed, settings, reference_date)
+    return table, results
+
+
 def read_history(spark: SparkSession, config: JobConfig) -> DataFrame | None:
     """(label, rows) of the last complete run, or None."""
     try:
@@ -209,28 +239,29 @@ def run(
     order = flow_order(flows or active_flows(config), config)
     scratch = scratch_path(spark, run_id)
 
-    for name in order:
-        flow, settings = FLOWS[name], config.flow(name)
-        if settings.source is None:
-            raise RunError(f"flow {name} has no source")
-        staged = read_staged(
-            spark,
-            settings.source,
-            config.contract,
-            f"{config.staging}/{name}",
-            kept_headers(settings),
-            restage,
+    missing = [name for name in order if config.flow(name).source is None]
+    if missing:
+        raise RunError(f"flow(s) without a source: {', '.join(missing)}")
+
+    def build_and_check(name: str) -> tuple[DataFrame, list[RuleResult]]:
+        return _build_and_check(
+            spark, FLOWS[name], config, reference_date, result.tables, scratch, restage
         )
-        raw = clean_all_text(staged)
-        typed = apply_types(drop_empty_rows(raw), config.contract)
-        built = flow.build(typed, settings, reference_date, result.tables)
-        table = result.tables[name] = written(built, f"{scratch}/{name}")
-        result.results += _flow_rules(flow, config, settings, table, raw, reference_date)
-        if name == "snapshot":
-            result.results += _overlap_rule(typed, settings, reference_date)
 
-    for name in order:
-        result.results += _coverage_rule(FLOWS[name], config, result.tables)
+    # Flows that do not read from each other are independent Spark jobs; submitted together they
+    # fill the cluster where one small job after the other would leave it idle.
+    found: dict[str, list[RuleResult]] = {}
+    with ThreadPoolExecutor(max_workers=len(order)) as pool:
+        for dependent in (False, True):
+            wave = [name for name in order if bool(FLOWS[name].depends_on) == dependent]
+            for name, (table, outcome) in zip(wave, pool.map(build_and_check, wave)):
+                result.tables[name], found[name] = table, outcome
+        coverage = list(
+            pool.map(lambda name: _coverage_rule(FLOWS[name], config, result.tables), order)
+        )
+    result.tables = {name: result.tables[name] for name in order}
+    result.results += [r for name in order for r in found[name]]
+    result.results += [r for outcome in coverage for r in outcome]
     for name in order:
         result.results += rules.columns_outside_contract(
             result.tables[name], config.contract, name

@@ -7,6 +7,7 @@ from collections import defaultdict
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
+from threading import Lock
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,9 @@ PROVENANCE = T.StructType(
 )
 
 
+_REGISTERING = Lock()
+
+
 class SourceError(RuntimeError):
     """The files of a source cannot be found or read."""
 
@@ -69,9 +73,9 @@ def _listing(spark: SparkSession, pattern: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, source: Source) -> DataFrame:
-    """(path, modified, size) of every file once; editor lock files (``~$``) are left out.
+    """(path, modified, size) of every file once, in path order; ``modified`` in microseconds.
 
-    ``modified`` counts microseconds.
+    Editor lock files (``~$``) are left out.
     """
     found = []
     for pattern in source.paths:
@@ -81,21 +85,21 @@ def list_files(spark: SparkSession, source: Source) -> DataFrame:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
     name = F.element_at(F.split("path", "/"), -1)
-    files = (
-        reduce(DataFrame.unionByName, found)
-        .filter(~name.startswith("~$"))
-        .select(
-            plain_path(F.col("path")).alias("path"),
-            F.unix_micros("modificationTime").alias("modified"),
-            F.col("length").alias("size"),
+    listed = []
+    if found:
+        files = (
+            reduce(DataFrame.unionByName, found)
+            .filter(~name.startswith("~$"))
+            .select(
+                plain_path(F.col("path")).alias("path"),
+                F.unix_micros("modificationTime").alias("modified"),
+                F.col("length").alias("size"),
+            )
         )
-        .distinct()
-        if found
-        else None
-    )
-    if files is None or files.isEmpty():
+        listed = sorted(set(files.collect()))  # names and sizes; Spark plans scans from the same
+    if not listed:
         raise SourceError("no file found for: " + ", ".join(source.paths))
-    return files
+    return spark.createDataFrame(listed, "path string, modified bigint, size bigint")
 
 
 def scan_headers(spark: SparkSession, files: DataFrame, source: Source) -> list:
@@ -153,7 +157,8 @@ def _read_tables(spark: SparkSession, tables: list, source: Source) -> DataFrame
     width = len(tables[0]["headers"])
     names = [f"c{i}" for i in range(width)]
     if source.format == "workbook":
-        spark.dataSource.register(WorkbookSource)
+        with _REGISTERING:  # flows are read at the same time
+            spark.dataSource.register(WorkbookSource)
         listed = [
             [t["path"], t["sheet"], t["modified"], t["size"]] for t in tables
         ]

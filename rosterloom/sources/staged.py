@@ -63,21 +63,28 @@ def read_staged(
     loads, and a version counts as loaded only when the manifest says so, which is written last:
     a job that dies half-way is simply loaded again. ``restage`` reads every file anew.
     """
-    files = list_files(spark, source)
     identity = _fingerprint(
         F.col("path"), F.col("modified"), F.col("size"), source, contract, keep
     )
-    current = files.withColumn(FINGERPRINT, identity)
-    known = _manifest(spark, staging_path).select(FINGERPRINT).distinct()
-    pending = current if restage else current.join(known, FINGERPRINT, "left_anti")
-    to_load = pending.collect()  # the listing of the files to read, not their rows
-    if to_load:
-        pending = spark.createDataFrame(to_load, pending.schema)
-        _load(spark, source, contract, staging_path, keep, pending)
-    return _read(spark, contract, staging_path, current, keep)
+    current = list_files(spark, source).withColumn(FINGERPRINT, identity)
+    # What is exchanged with the driver here are file listings, never rows.
+    manifest = _manifest(spark, staging_path).drop("path")
+    known = current.join(manifest, FINGERPRINT, "left").select(
+        *current.columns,
+        F.coalesce("columns", F.array().cast("array<string>")).alias("columns"),
+        F.isnotnull("columns").alias("loaded"),
+    )
+    listed = known.collect()
+    seen = {c for f in listed for c in f["columns"]}
+    pending = [f[: len(current.columns)] for f in listed if restage or not f["loaded"]]
+    if pending:
+        files = spark.createDataFrame(list(set(pending)), current.schema)
+        seen |= _load(spark, source, contract, staging_path, keep, files)
+    return _read(spark, contract, staging_path, current.select(FINGERPRINT), keep, seen)
 
 
-def _load(spark, source, contract, staging_path, keep, pending: DataFrame) -> None:
+def _load(spark, source, contract, staging_path, keep, pending: DataFrame) -> set[str]:
+    """Stage the pending files; returns the columns they provide."""
     rows = read_folder(spark, source, contract, keep, pending.drop(FINGERPRINT))
     identity = _fingerprint(F.col(PATH), F.col(MODIFIED), F.col(SIZE), source, contract, keep)
     (
@@ -91,14 +98,14 @@ def _load(spark, source, contract, staging_path, keep, pending: DataFrame) -> No
     )
     columns = [c for c in rows.columns if c in contract.by_name or c in (keep or {})]
     pending.select(
-        FINGERPRINT, "path", F.array(*[F.lit(c) for c in columns]).cast("array<string>").alias("columns")
+        FINGERPRINT,
+        "path",
+        F.array(*[F.lit(c) for c in columns]).cast("array<string>").alias("columns"),
     ).write.mode("append").parquet(f"{staging_path}/manifest")
+    return set(columns)
 
 
-def _read(spark, contract, staging_path, current: DataFrame, keep) -> DataFrame:
-    current = current.select(FINGERPRINT)
-    loaded = _manifest(spark, staging_path).join(current, FINGERPRINT, "left_semi")
-    seen = {r[0] for r in loaded.select(F.explode("columns")).distinct().collect()}
+def _read(spark, contract, staging_path, current: DataFrame, keep, seen) -> DataFrame:
     names = [
         *[n for n in contract.names if n in seen],
         *[k for k in (keep or {}) if k in seen],

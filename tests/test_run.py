@@ -13,7 +13,7 @@ from rosterloom.operators.stack import ROW_LABEL
 from rosterloom.plans import CheckLimits, ConfigError, Enrichment, JobConfig, RunError, Severity, run
 from rosterloom.plans import flows as people_flows
 from rosterloom.plans.config import PEOPLE_FLOWS
-from rosterloom.plans.run import flow_order, read_history
+from rosterloom.plans.job import flow_order, read_history
 from rosterloom.sources import PublishOptions, read_published
 
 ALL_LABELS = {
