@@ -13,6 +13,7 @@ from rosterloom.operators.stack import rows_per_label, stack_labelled
 from rosterloom.plans import FLOWS, PEOPLE_CONTRACT, rules
 from rosterloom.plans.config import FlowConfig, people_flow
 from rosterloom.plans.people import LABELS
+from rosterloom.plans.scratch import scratch_path, written
 
 RAW = {
     "snapshot": tables.snapshot_raw,
@@ -39,14 +40,19 @@ def build(
     if name == "contractors":
         raw = raw.withColumnRenamed("TIPO", "_class")
     if FLOWS[name].depends_on and snapshot is None:
-        snapshot = build(spark, sf_dir, "snapshot")
+        snapshot = snapshot_table(spark, sf_dir)
     typed = standardise(raw, PEOPLE_CONTRACT)
     found = {} if snapshot is None else {"snapshot": snapshot}
     return FLOWS[name].build(typed, settings(name), tables.REFERENCE, found)
 
 
+def snapshot_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot, written once because several flows read it."""
+    return written(build(spark, sf_dir, "snapshot"), scratch_path(spark, "snapshot"))
+
+
 def build_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    snapshot = build(spark, sf_dir, "snapshot")
+    snapshot = snapshot_table(spark, sf_dir)
     return {n: snapshot if n == "snapshot" else build(spark, sf_dir, n, snapshot) for n in FLOWS}
 
 
@@ -67,7 +73,7 @@ def label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coverage of leavers by the previous month's snapshot, without same-month hires."""
-    snapshot = build(spark, sf_dir, "snapshot")
+    snapshot = snapshot_table(spark, sf_dir)
     leavers = build(spark, sf_dir, "leavers", snapshot)
     hires = build(spark, sf_dir, "hires", snapshot)
     flagged = same_month_counterpart(leavers, hires, "hire_date", rules.NO_COUNTERPART)
@@ -77,7 +83,7 @@ def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    snapshot = build(spark, sf_dir, "snapshot")
+    snapshot = snapshot_table(spark, sf_dir)
     table = rules.reconciliation(
         snapshot,
         build(spark, sf_dir, "hires", snapshot),

@@ -40,6 +40,7 @@ from rosterloom.operators.rows import (
     newest_file_per_period,
     periods_in_several_files,
 )
+from rosterloom.operators.skew import spread
 from rosterloom.operators.shape import (
     apply_types,
     clean_all_text,
@@ -133,7 +134,9 @@ def _(spark, sf):
 def _(spark, sf):
     price = F.translate(F.col("l_extendedprice").cast("decimal(18,2)").cast("string"), ".", ",")
     quantity = F.concat(F.col("l_quantity").cast("bigint").cast("string"), F.lit(",0"))
-    return load(spark, sf, "lineitem").select(
+    return spread(load(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity"
+    )).select(
         "l_orderkey",
         "l_linenumber",
         parse_integer(price).alias("price"),
@@ -350,7 +353,7 @@ _TYPED = TableContract(
       FROM orders""",
 )
 def _(spark, sf):
-    raw = orders(spark, sf).selectExpr(
+    raw = spread(orders(spark, sf)).selectExpr(
         "o_orderkey",
         "cast(o_custkey as string) as code",
         "concat(' ', lower(o_orderpriority)) as shout",

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterloom.operators.skew import spread
+
 REFERENCE = dt.date(2002, 3, 15)
 
 
@@ -39,7 +41,7 @@ _SNAPSHOT = [
 def snapshot_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order, in yearly files that state the period and monthly files that do not."""
     return (
-        orders(spark, sf_dir)
+        spread(orders(spark, sf_dir))
         .withColumn("monthly", F.expr("o_orderkey % 2 = 0"))
         .selectExpr(
             "if(monthly, null, date_format(m, 'yyyy-MM-dd HH:mm:ss')) as COMPETENCIA",
@@ -53,7 +55,7 @@ def snapshot_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_stated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows, each with its period."""
-    return orders(spark, sf_dir).selectExpr(
+    return spread(orders(spark, sf_dir)).selectExpr(
         "date_format(m, 'yyyy-MM-dd HH:mm:ss') as COMPETENCIA", *_SNAPSHOT
     )
 
@@ -89,7 +91,8 @@ def leavers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def movements_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One movement per line item."""
-    return load(spark, sf_dir, "lineitem").selectExpr(
+    columns = ["l_suppkey", "l_shipdate", "l_returnflag", "l_linenumber", "l_linestatus"]
+    return spread(load(spark, sf_dir, "lineitem").select(*columns)).selectExpr(
         "cast(l_suppkey as string) as CHAPA",
         "date_format(l_shipdate, 'dd-MM-yyyy') as DATA_MOVIMENTACAO",
         "l_returnflag as TIPO_MOVIMENTACAO",

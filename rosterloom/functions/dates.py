@@ -7,38 +7,35 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rosterloom.functions.text import trim_spaces
-
-# Accepted date spellings. Each one is rewritten to ``yyyy-M-d`` (year, month and day
-# in the named order), and everything else is left alone and fails the final shape.
-_TIME = r" (?:[01]?\d|2[0-3]):[0-5]?\d"
+# Accepted date spellings, with an optional time of day where one may follow.
+_TIME = r"(?:[01]?[0-9]|2[0-3]):[0-5]?[0-9]"
 DATE_SPELLINGS = (
-    (rf"^(\d{{4}}-\d{{1,2}}-\d{{1,2}}){_TIME}:[0-5]?\d$", "$1"),  # yyyy-MM-dd HH:mm:ss
-    (rf"^(\d{{1,2}})/(\d{{1,2}})/(\d{{4}})(?:{_TIME}(?::[0-5]?\d)?)?$", "$3-$2-$1"),  # dd/MM/yyyy [time]
-    (r"^(\d{1,2})-(\d{1,2})-(\d{4})$", "$3-$2-$1"),  # dd-MM-yyyy
-    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),  # yyyyMMdd
+    rf"([0-9]{{4}})-([0-9]{{1,2}})-([0-9]{{1,2}})(?: {_TIME}:[0-5]?[0-9])?",  # yyyy-MM-dd [HH:mm:ss]
+    rf"([0-9]{{1,2}})/([0-9]{{1,2}})/([0-9]{{4}})(?: {_TIME}(?::[0-5]?[0-9])?)?",  # dd/MM/yyyy [time]
+    r"([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})",  # dd-MM-yyyy
+    r"([0-9]{4})([0-9]{2})([0-9]{2})",  # yyyyMMdd
 )
-_YEAR_MONTH_DAY = r"^\d{4}-\d{1,2}-\d{1,2}$"
+# One pattern for all of them, and for anything else. Groups that take no part are empty, so each
+# spelling becomes year-month-day and everything else becomes '--', which is no date.
+_ANY_SPELLING = rf"(?Us)^\s*(?:{'|'.join(DATE_SPELLINGS)}|.*)\s*$"
+_YEAR_MONTH_DAY = "$1$6$9$10-$2$5$8$11-$3$4$7$12"
 # Spreadsheet serial numbers count days from this date; four to six digits, not zero.
-SERIAL_SHAPE = r"^(?!0+(?:\.|$))(\d{4,6})(?:\.0+)?$"
+SERIAL_SHAPE = r"(?U)^\s*(?!0+(?:\.|\s*$))([0-9]{4,6})(?:\.0+)?\s*$"
 SERIAL_EPOCH = dt.date(1899, 12, 30)
 # Fixed value: month and year inside a file name, as in ``Quadro 05-2026.xlsx``.
-MONTH_IN_NAME = r"(?:^|\D)(\d{2})-(\d{4})(?:\D|$)"
+MONTH_IN_NAME = r"(?:^|\D)(\d{2}-\d{4})(?:\D|$)"
 
 
 def parse_date(c: Column) -> Column:
     """Text in any accepted spelling, or a spreadsheet serial number, as a date.
 
     Rewriting to one spelling and casting needs no formatter per pattern, raises nothing on rows
-    that do not fit, and keeps the expression short.
+    that do not fit, and keeps the generated code small enough to be compiled.
     """
-    text = trim_spaces(c.cast("string"))
-    spelled = text
-    for shape, parts in DATE_SPELLINGS:
-        spelled = F.regexp_replace(spelled, shape, parts)
+    text = c.cast("string")
     serial = F.regexp_extract(text, SERIAL_SHAPE, 1).try_cast("int")
     return F.coalesce(
-        F.regexp_extract(spelled, _YEAR_MONTH_DAY, 0).try_cast("date"),
+        F.regexp_replace(text, _ANY_SPELLING, _YEAR_MONTH_DAY).try_cast("date"),
         F.date_add(F.lit(SERIAL_EPOCH), serial),
     )
 
@@ -67,10 +64,8 @@ def previous_month_key(period: Column, person: Column) -> Column:
 
 def period_from_file_name(name: Column) -> Column:
     """First day of the ``MM-yyyy`` found in a file name; null for years and ranges."""
-    month = F.regexp_extract(name, MONTH_IN_NAME, 1)
-    year = F.regexp_extract(name, MONTH_IN_NAME, 2)
-    valid = month.try_cast("int").between(1, 12)
-    return F.when(valid, F.try_to_date(F.concat(year, F.lit("-"), month, F.lit("-01"))))
+    found = F.regexp_extract(name, MONTH_IN_NAME, 1)
+    return F.regexp_replace(found, "^(..)-(....)$", "$2-$1-01").try_cast("date")
 
 
 def complete_months(start: Column, end: Column) -> Column:

@@ -68,6 +68,16 @@ def left_join_unique(
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of the rows when the scan has fewer partitions than cores.
+
+    Parsing text is bound by the processor, and a small file is read by one task. A table with
+    enough partitions, as any large one, is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def copy_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
     """A driver-held copy of a small aggregate, or None when it has more than ``max_rows`` rows."""
     rows = df.limit(max_rows + 1).collect()

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from rosterloom.operators.joins import same_month_counterpart
 from rosterloom.operators.rows import FILE, FILE_ORDER, periods_in_several_files
 from rosterloom.operators.shape import apply_types, clean_all_text, drop_blank_rows
+from rosterloom.operators.skew import spread
 from rosterloom.operators.stack import ROW_LABEL, rows_per_label, stack_labelled
 from rosterloom.plans import rules
 from rosterloom.plans.config import FlowConfig, JobConfig
@@ -154,8 +155,8 @@ def _build_and_check(
         kept_headers(settings),
         restage,
     )
-    raw = clean_all_text(drop_blank_rows(staged))
-    typed = apply_types(raw, config.contract)
+    raw = clean_all_text(drop_blank_rows(spread(staged)))
+    typed = apply_types(raw, config.contract, cleaned=True)
     built = flow.build(typed, settings, reference_date, tables)
     table = written(built, f"{scratch}/{flow.name}")
     results = _flow_rules(flow, config, settings, table, raw, reference_date)
