@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterloom.operators.skew import SMALL_ROWS, copy_if_small, left_join_unique
+from rosterloom.operators.skew import SMALL_ROWS, copy_if_small, left_join_first
 
 FILE = "_source_file"
 SHEET = "_source_sheet"
@@ -61,7 +61,7 @@ def newest_file_per_period(
     joined = (
         df.join(F.broadcast(small), period, "left")
         if small is not None
-        else left_join_unique(df, newest, [period])
+        else left_join_first(df, newest, [period], lambda table: table, small_rows=small_rows)
     )
     kept = joined.filter(F.col(period).isNull() | (F.col(order) == F.col("_newest")))
     return kept.select(*df.columns)

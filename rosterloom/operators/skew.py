@@ -1,15 +1,18 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-A shuffle sends all rows of one key to one task. The helpers here find such keys with a sketch
-(one scan of the key columns, one row of result) and join their rows with a broadcast of the few
-matching lookup rows instead, so they never move. Everything else takes the ordinary shuffle
-join. The sketch decides only *how* a row is joined, never *whether*: the result is the same
-whatever it finds.
+One scan of the left table's key columns (a sketch, one row of result) tells how many different
+keys there are and which are hot. Few keys: the right table is reduced to them and broadcast, so
+neither table is shuffled. Many keys: a shuffle join, except that rows of hot keys, which a shuffle
+would send to one task, are joined with a broadcast of their few right rows instead.
+
+The sketch decides only *how* a row is joined, never *whether*: the result is the same whatever
+it finds.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -32,39 +35,59 @@ def _code(keys: Sequence[str]) -> Column:
     return F.when(any_null(keys), F.lit(0).cast("bigint")).otherwise(F.xxhash64(*keys))
 
 
-def hot_key_codes(
+@dataclass(frozen=True)
+class KeyStatistics:
+    """Approximate number of different keys, and the codes of hot ones, heaviest first."""
+
+    distinct: int
+    hot: tuple[int, ...]
+
+
+def key_statistics(
     df: DataFrame, keys: Sequence[str], min_rows: int = HOT_MIN_ROWS, max_keys: int = HOT_MAX_KEYS
-) -> list[int]:
-    """Codes of the keys with ``min_rows`` rows or more, heaviest first, at most ``max_keys``."""
+) -> KeyStatistics:
     found = (
         df.select(_code(keys).alias("code"))
-        .agg(F.expr(f"approx_top_k(code, {max_keys}, {10 * max_keys})").alias("top"))
+        .agg(
+            F.expr(f"approx_top_k(code, {max_keys}, {10 * max_keys})").alias("top"),
+            F.approx_count_distinct("code").alias("distinct"),
+        )
         .first()
     )
-    return [t["item"] for t in (found["top"] or []) if t["count"] >= min_rows]
+    hot = tuple(t["item"] for t in (found["top"] or []) if t["count"] >= min_rows)
+    return KeyStatistics(found["distinct"], hot)
 
 
-def left_join_unique(
+def left_join_first(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
+    one_per_key: Callable[[DataFrame], DataFrame],
     min_rows: int = HOT_MIN_ROWS,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
-    """LEFT JOIN on same-named ``keys`` with a ``right`` that has one row per key.
+    """LEFT JOIN on same-named ``keys`` with what ``one_per_key`` leaves of ``right``.
 
-    Never multiplies rows. Null keys match nothing.
+    ``one_per_key`` must choose among the rows of each key by themselves, so that it may be
+    applied to some of the keys only. Rows are never multiplied and null keys match nothing.
     """
+    keys = list(keys)
     types = {f.name: f.dataType for f in left.schema.fields}
     right = right.withColumns({k: F.col(k).cast(types[k]) for k in keys})
-    hot = hot_key_codes(left, keys, min_rows)
-    if not hot:
-        return left.join(right, list(keys), "left")
-    is_hot = _code(keys).isin(hot)
+    statistics = key_statistics(left, keys, min_rows)
+    if statistics.distinct <= small_rows:
+        wanted = left.select(*keys).dropna().distinct()
+        few = one_per_key(right.join(F.broadcast(wanted), keys, "left_semi"))
+        return left.join(F.broadcast(few), keys, "left")  # as many rows as wanted keys
+    right = one_per_key(right)
+    if not statistics.hot:
+        return left.join(right, keys, "left")
+    is_hot = _code(keys).isin(*statistics.hot)
     few = F.broadcast(right.filter(is_hot & ~any_null(keys)))  # one row per hot key
     return (
         left.filter(~is_hot)
-        .join(right, list(keys), "left")
-        .unionByName(left.filter(is_hot).join(few, list(keys), "left"))
+        .join(right, keys, "left")
+        .unionByName(left.filter(is_hot).join(few, keys, "left"))
     )
 
 

@@ -129,7 +129,7 @@ def plain_path(path: Column) -> Column:
     return F.regexp_replace(path, "^file:/+", "file:/")
 
 
-def _metadata() -> list[Column]:
+def metadata_columns() -> list[Column]:
     """Provenance of the row at hand, from the built-in file readers.
 
     The path is URL-encoded there; a literal plus sign must survive decoding.
@@ -183,7 +183,7 @@ def _read_tables(spark: SparkSession, tables: list, source: Source) -> DataFrame
             .csv(paths)
         )
         cells = [F.col(n) for n in names]
-    return rows.select(*cells, *_metadata())
+    return rows.select(*cells, *metadata_columns())
 
 
 def read_folder(
@@ -221,7 +221,11 @@ def read_folder(
     if not parts:
         raise SourceError("no file has a header line: " + ", ".join(source.paths))
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return with_file_order(stacked)
+
+
+def with_file_order(rows: DataFrame) -> DataFrame:
+    """Add file name and file order: modification time, then name, so the greatest is newest."""
     name = F.element_at(F.split(PATH, "/"), -1)
     order = F.concat_ws("|", F.lpad(F.col(MODIFIED).cast("string"), 20, "0"), name)
-    # File order: modification time, then name, so the greatest value is the newest file.
-    return stacked.withColumns({FILE: name, FILE_ORDER: order})
+    return rows.withColumns({FILE: name, FILE_ORDER: order})

@@ -26,7 +26,7 @@ from rosterloom.operators.shape import (
     rename_by_alias,
     standardise,
 )
-from rosterloom.operators.skew import hot_key_codes, left_join_unique
+from rosterloom.operators.skew import key_statistics, left_join_first
 from rosterloom.operators.stack import ROW_LABEL, rows_per_label, stack_labelled
 
 
@@ -194,14 +194,19 @@ REFERENCE = [
 ]
 
 
-@pytest.mark.parametrize("hot_min_rows", [10**6, 1])
-def test_fill_from_reference(spark, hot_min_rows):
+@pytest.mark.parametrize(("hot_min_rows", "small_rows"), [(10**6, 100), (10**6, 0), (1, 0)])
+def test_fill_from_reference(spark, hot_min_rows, small_rows):
     reference = spark.createDataFrame(REFERENCE, "person_id string, period date, cc string, boss string")
     df = spark.createDataFrame(
         [("1", None), ("2", "OWN"), ("3", None), (None, None), (None, "x")], "person_id string, cc string"
     )
     out = fill_from_reference(
-        df, reference, ["person_id"], ignore=["period"], hot_min_rows=hot_min_rows
+        df,
+        reference,
+        ["person_id"],
+        ignore=["period"],
+        hot_min_rows=hot_min_rows,
+        small_rows=small_rows,
     )
     assert out.columns == ["person_id", "cc", "boss", FOUND]
     assert sorted(rows(out), key=str) == sorted(
@@ -243,22 +248,33 @@ def test_hot_keys_take_the_broadcast_branch(spark):
         F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id")).alias("k"), "id"
     )
     right = spark.range(900).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("v"))
-    assert len(hot_key_codes(left, ["k"], 100)) == 2  # key 7 and the null keys
-    plain = left.join(right, "k", "left")
-    split = left_join_unique(left, right, ["k"], min_rows=100)
-    assert "BroadcastHashJoin" in split._jdf.queryExecution().toString()
-    assert sorted(rows(split), key=str) == sorted(rows(plain), key=str)
-
-
-@pytest.mark.parametrize("hot_min_rows", [10**6, 1])
-def test_same_month_counterpart(spark, hot_min_rows):
+    statistics = key_statistics(left, ["k"], 100)
+    assert len(statistics.hot) == 2  # key 7 and the null keys
+    assert 300 < statistics.distinct < 370
+    expected = sorted(rows(left.join(right, "k", "left")), key=str)
+
+    def same(table):
+        return table
+
+    split = left_join_first(left, right, ["k"], same, min_rows=100, small_rows=0)
+    plan = split._jdf.queryExecution().toString()
+    assert "Union" in plan and "BroadcastHashJoin" in plan
+    assert sorted(rows(split), key=str) == expected
+    few = left_join_first(left, right, ["k"], same, min_rows=100, small_rows=1000)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+    assert sorted(rows(few), key=str) == expected
+
+
+@pytest.mark.parametrize(("hot_min_rows", "small_rows"), [(10**6, 100), (10**6, 0), (1, 0)])
+def test_same_month_counterpart(spark, hot_min_rows, small_rows):
     june = date(2026, 6, 1)
     df = spark.createDataFrame(
         [("1", june, date(2026, 6, 20)), ("2", june, None), ("3", june, date(2026, 5, 2)), ("4", None, None)],
         "person_id string, period date, leave_date date",
     )
     other = spark.createDataFrame([("2", june), ("2", june), ("3", date(2026, 5, 1)), ("4", None)], "person_id string, period date")
-    out = same_month_counterpart(df, other, "leave_date", "_flag", hot_min_rows=hot_min_rows)
+    out = same_month_counterpart(df, other, "leave_date", "_flag", hot_min_rows=hot_min_rows, small_rows=small_rows)
     assert rows(out.select("person_id", "_flag"), "person_id") == [("1", True), ("2", True), ("3", False), ("4", False)]
     alone = same_month_counterpart(df, None, "leave_date", "_flag")
     assert rows(alone.select("person_id", "_flag"), "person_id") == [("1", True), ("2", False), ("3", False), ("4", False)]
