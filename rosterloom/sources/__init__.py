@@ -1,6 +1,12 @@
 """Reading folders of loosely structured files as text."""
 
-from rosterloom.sources.folder import Source, SourceError, list_files, read_folder
+from rosterloom.sources.folder import (
+    Source,
+    SourceError,
+    list_files,
+    profile_source,
+    read_folder,
+)
 from rosterloom.sources.publish import (
     PublishOptions,
     publish,
@@ -15,6 +21,7 @@ __all__ = [
     "Source",
     "SourceError",
     "list_files",
+    "profile_source",
     "publish",
     "read_folder",
     "read_published",

@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 
 from rosterloom.contract import TableContract
 from rosterloom.functions import header_code
+from rosterloom.operators.profile import profile_columns
 from rosterloom.operators.rows import FILE, FILE_ORDER, SHEET
-from rosterloom.operators.shape import header_matches
+from rosterloom.operators.shape import clean_all_text, header_matches
 from rosterloom.sources.intask import WorkbookSource, header_scan
 
 #: Which file, and which version of it, a row comes from.
@@ -201,27 +202,78 @@ def read_folder(
     source header that is not in the contract but is needed later.
     """
     files = list_files(spark, source) if files is None else files
-    tables = scan_headers(spark, files, source)
-    by_headers: dict[tuple[str, ...], list] = defaultdict(list)
+    return stack_tables(spark, scan_headers(spark, files, source), source, contract, keep)
+
+
+def wanted_columns(
+    headers: list[str], contract: TableContract, keep: Mapping[str, str] | None = None
+) -> list[tuple[int, str]]:
+    """(position, name) of the contract columns, and of the kept ones, in a header line."""
+    found = header_matches(headers, contract)
+    codes = [header_code(h) for h in headers]
+    for name, header in (keep or {}).items():
+        if header and header_code(header) in codes:
+            found.append((codes.index(header_code(header)), name))
+    return found
+
+
+def by_layout(tables: list) -> dict[tuple[str, ...], list]:
+    """Tables grouped by their header line; empty ones left out."""
+    groups: dict[tuple[str, ...], list] = defaultdict(list)
     for table in tables:
-        by_headers[tuple(table["headers"])].append(table)
+        if table["headers"]:
+            groups[tuple(table["headers"])].append(table)
+    return groups
+
 
+def stack_tables(
+    spark: SparkSession,
+    tables: list,
+    source: Source,
+    contract: TableContract,
+    keep: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """The tables found by ``scan_headers``: one read per header line, a union by name."""
     parts = []
-    for headers, group in by_headers.items():
-        if not headers:
-            continue
+    for headers, group in by_layout(tables).items():
         cells = [
-            F.col(f"c{i}").alias(target) for i, target in header_matches(list(headers), contract)
+            F.col(f"c{i}").alias(name) for i, name in wanted_columns(list(headers), contract, keep)
         ]
-        codes = [header_code(h) for h in headers]
-        for name, header in (keep or {}).items():
-            if header and header_code(header) in codes:
-                cells.append(F.col(f"c{codes.index(header_code(header))}").alias(name))
         parts.append(_read_tables(spark, group, source).select(*cells, *PROVENANCE.names))
     if not parts:
         raise SourceError("no file has a header line: " + ", ".join(source.paths))
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return with_file_order(stacked)
+    return with_file_order(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts))
+
+
+def profile_source(spark: SparkSession, source: Source, contract: TableContract) -> DataFrame:
+    """Profile every header line found in a source: see ``profile_columns``.
+
+    ``tables`` counts the files or sheets that share the header line; ``example`` names one.
+    """
+    parts = []
+    for headers, group in by_layout(scan_headers(spark, list_files(spark, source), source)).items():
+        cells = _read_tables(spark, group, source).select(
+            *[F.col(f"c{i}") for i in range(len(headers))]
+        )
+        example = group[0]["path"].rsplit("/", 1)[-1]
+        parts.append(
+            profile_columns(clean_all_text(cells).toDF(*_distinct_names(headers)), contract)
+            .withColumn("tables", F.lit(len(group)))
+            .withColumn("example", F.lit(f"{example}, sheet {group[0]['sheet']}"))
+        )
+    if not parts:
+        raise SourceError("no file has a header line: " + ", ".join(source.paths))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _distinct_names(headers: tuple[str, ...]) -> list[str]:
+    """Headers as column names; blanks tell repeated ones apart and do not change their code."""
+    seen: dict[str, int] = defaultdict(int)
+    names = []
+    for header in headers:
+        names.append(header + " " * seen[header.lower()])
+        seen[header.lower()] += 1
+    return names
 
 
 def with_file_order(rows: DataFrame) -> DataFrame:

@@ -11,11 +11,21 @@ from pyspark.sql import types as T
 
 from rosterloom.contract import TableContract
 from rosterloom.operators.rows import FILE, FILE_ORDER, SHEET
-from rosterloom.sources.folder import MODIFIED, PATH, SIZE, Source, list_files, read_folder
+from rosterloom.sources.folder import (
+    MODIFIED,
+    PATH,
+    SIZE,
+    Source,
+    list_files,
+    scan_headers,
+    stack_tables,
+    wanted_columns,
+)
 
 #: Raise it when the way files are read changes, so that old staged copies are not used.
 READER_VERSION = "1"
 FINGERPRINT = "file_fingerprint"
+_MANIFEST = f"{FINGERPRINT} string, path string, columns array<string>"
 
 
 def _fingerprint(
@@ -40,13 +50,12 @@ def _fingerprint(
 
 
 def _manifest(spark: SparkSession, path: str) -> DataFrame:
-    schema = f"{FINGERPRINT} string, path string, columns array<string>"
     try:
-        return spark.read.schema(schema).parquet(f"{path}/manifest")
+        return spark.read.schema(_MANIFEST).parquet(f"{path}/manifest")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], _MANIFEST)
 
 
 def read_staged(
@@ -85,7 +94,8 @@ def read_staged(
 
 def _load(spark, source, contract, staging_path, keep, pending: DataFrame) -> set[str]:
     """Stage the pending files; returns the columns they provide."""
-    rows = read_folder(spark, source, contract, keep, pending.drop(FINGERPRINT))
+    tables = scan_headers(spark, pending.drop(FINGERPRINT), source)
+    rows = stack_tables(spark, tables, source, contract, keep)
     identity = _fingerprint(F.col(PATH), F.col(MODIFIED), F.col(SIZE), source, contract, keep)
     (
         rows.withColumn(FINGERPRINT, identity)
@@ -96,13 +106,17 @@ def _load(spark, source, contract, staging_path, keep, pending: DataFrame) -> se
         .partitionBy(FINGERPRINT)
         .parquet(f"{staging_path}/rows")
     )
-    columns = [c for c in rows.columns if c in contract.by_name or c in (keep or {})]
-    pending.select(
-        FINGERPRINT,
-        "path",
-        F.array(*[F.lit(c) for c in columns]).cast("array<string>").alias("columns"),
-    ).write.mode("append").parquet(f"{staging_path}/manifest")
-    return set(columns)
+    provided: dict[str, set[str]] = {}
+    for t in tables:
+        names = {name for _, name in wanted_columns(t["headers"], contract, keep)}
+        provided.setdefault(t["path"], set()).update(names)
+    loaded = [
+        (f[FINGERPRINT], f["path"], sorted(provided.get(f["path"], ()))) for f in pending.collect()
+    ]
+    spark.createDataFrame(loaded, _MANIFEST).write.mode("append").parquet(
+        f"{staging_path}/manifest"
+    )
+    return set().union(*provided.values())
 
 
 def _read(spark, contract, staging_path, current: DataFrame, keep, seen) -> DataFrame:

@@ -13,6 +13,7 @@ from rosterloom.sources import (
     Source,
     SourceError,
     list_files,
+    profile_source,
     publish,
     read_folder,
     read_published,
@@ -150,6 +151,29 @@ def test_staged_copy_is_used_until_a_file_changes(spark, tmp_path, contract):
     assert read(restage=True) == [("1", None), ("11", None), (None, "B")]
 
 
+def test_columns_of_removed_files_are_forgotten(spark, tmp_path, contract):
+    text_file(tmp_path / "in" / "1.csv", "CHAPA;NOME", "1;A")
+    text_file(tmp_path / "in" / "2.csv", "CHAPA", "2")
+    whole, one = Source(f"{tmp_path}/in/*.csv"), Source(f"{tmp_path}/in/2.csv")
+    assert "full_name" in read_staged(spark, whole, contract, f"{tmp_path}/stage").columns
+    df = read_staged(spark, one, contract, f"{tmp_path}/stage")
+    assert "full_name" not in df.columns and [r["person_id"] for r in df.collect()] == ["2"]
+
+
+def test_profile_source(spark, tmp_path, contract):
+    text_file(tmp_path / "1.csv", "CHAPA;Lixo;chapa", "1;  ;7", "2;x;8")
+    text_file(tmp_path / "2.csv", "NOME", "A")
+    text_file(tmp_path / "3.csv", "NOME", "B")
+    found = profile_source(spark, Source(f"{tmp_path}/*.csv"), contract).filter("header is not null")
+    got = {(r["header"], r["status"], r["fill_ratio"], r["tables"], tuple(r["examples"])) for r in found.collect()}
+    assert got == {
+        ("CHAPA", "matched", 1.0, 1, ("1", "2")),
+        ("Lixo", "unmatched", 0.5, 1, ("x",)),
+        ("chapa ", "repeated", 1.0, 1, ("7", "8")),
+        ("NOME", "matched", 1.0, 2, ("A", "B")),
+    }
+
+
 def test_csv_locale(spark, tmp_path):
     df = spark.sql("""select 'a;"b"' t, 1234.5d x, date'2026-01-05' d, cast(null as string) n""")
     write_csv(df, f"{tmp_path}/out")
