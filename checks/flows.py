@@ -74,8 +74,11 @@ def label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coverage of leavers by the previous month's snapshot, without same-month hires."""
     snapshot = snapshot_table(spark, sf_dir)
-    leavers = build(spark, sf_dir, "leavers", snapshot)
-    hires = build(spark, sf_dir, "hires", snapshot)
+    # As in a run: the rule reads the tables the flows wrote.
+    leavers, hires = [
+        written(build(spark, sf_dir, name, snapshot), scratch_path(spark, name))
+        for name in ("leavers", "hires")
+    ]
     flagged = same_month_counterpart(leavers, hires, "hire_date", rules.NO_COUNTERPART)
     return rules.coverage_counts(flagged, excluded=rules.NO_COUNTERPART).withColumn(
         "ratio", F.round("ratio", 9)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from rosterloom.contract import TableContract
 from rosterloom.operators.rows import FILE, FILE_ORDER, SHEET
+from rosterloom.operators.skew import SMALL_ROWS
 from rosterloom.sources.folder import (
     MODIFIED,
     PATH,
@@ -25,6 +26,8 @@ from rosterloom.sources.folder import (
 #: Raise it when the way files are read changes, so that old staged copies are not used.
 READER_VERSION = "1"
 FINGERPRINT = "file_fingerprint"
+#: Up to this many files are named in the partition filter itself.
+FEW_FILES = 1_000
 _MANIFEST = f"{FINGERPRINT} string, path string, columns array<string>"
 
 
@@ -89,7 +92,8 @@ def read_staged(
     if pending:
         files = spark.createDataFrame(list(set(pending)), current.schema)
         seen |= _load(spark, source, contract, staging_path, keep, files)
-    return _read(spark, contract, staging_path, current.select(FINGERPRINT), keep, seen)
+    versions = sorted({f[FINGERPRINT] for f in listed})
+    return _read(spark, contract, staging_path, versions, keep, seen)
 
 
 def _load(spark, source, contract, staging_path, keep, pending: DataFrame) -> set[str]:
@@ -119,7 +123,8 @@ def _load(spark, source, contract, staging_path, keep, pending: DataFrame) -> se
     return set().union(*provided.values())
 
 
-def _read(spark, contract, staging_path, current: DataFrame, keep, seen) -> DataFrame:
+def _read(spark, contract, staging_path, versions: list[str], keep, seen) -> DataFrame:
+    """The rows of these file versions. Other partitions are pruned; staged rows never move."""
     names = [
         *[n for n in contract.names if n in seen],
         *[k for k in (keep or {}) if k in seen],
@@ -131,5 +136,9 @@ def _read(spark, contract, staging_path, current: DataFrame, keep, seen) -> Data
     ]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     rows = spark.read.schema(schema).parquet(f"{staging_path}/rows")
-    # Prunes the partitions of replaced file versions.
+    if len(versions) <= FEW_FILES:
+        return rows.filter(F.col(FINGERPRINT).isin(*versions)).drop(FINGERPRINT)
+    current = spark.createDataFrame([(v,) for v in versions], f"{FINGERPRINT} string")
+    if len(versions) <= SMALL_ROWS:
+        current = F.broadcast(current)
     return rows.join(current, FINGERPRINT, "left_semi").drop(FINGERPRINT)

@@ -127,7 +127,12 @@ def test_workbook_sheets(spark, tmp_path, contract):
     assert people("*") == [("1", "A"), ("2", "B"), ("3", "B")]
 
 
-def test_staged_copy_is_used_until_a_file_changes(spark, tmp_path, contract):
+@pytest.mark.parametrize(("few", "small"), [(1000, 1000), (0, 1000), (0, 0)])
+def test_staged_copy_is_used_until_a_file_changes(
+    spark, tmp_path, contract, monkeypatch, few, small
+):
+    monkeypatch.setattr("rosterloom.sources.staged.FEW_FILES", few)
+    monkeypatch.setattr("rosterloom.sources.staged.SMALL_ROWS", small)
     first = text_file(tmp_path / "in" / "1.csv", "CHAPA", "1")
     text_file(tmp_path / "in" / "2.csv", "NOME", "B")
     source, stage = Source(f"{tmp_path}/in/*.csv"), f"{tmp_path}/stage"
@@ -149,6 +154,9 @@ def test_staged_copy_is_used_until_a_file_changes(spark, tmp_path, contract):
     after = {p: os.stat(f"{stage}/rows/{p}").st_mtime_ns for p in staged() if "=" in p}
     assert len(after) == 3 and all(after[p] == t for p, t in before.items())
     assert read(restage=True) == [("1", None), ("11", None), (None, "B")]
+    if few:
+        plan = read_staged(spark, source, contract, stage)._jdf.queryExecution().toString()
+        assert "PartitionFilters: [file_fingerprint" in plan and "Exchange" not in plan
 
 
 def test_columns_of_removed_files_are_forgotten(spark, tmp_path, contract):
