@@ -15,7 +15,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.QUERIES))
 def test_query(spark, con, name):
     problem = difference(spark, con, SF_DIR, name, entry.queries(), entry.oracle_sql())
     assert problem is None, problem
@@ -27,4 +27,4 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) == set(entry.ORACLE)
