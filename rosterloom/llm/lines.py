@@ -45,7 +45,9 @@ def with_kept_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) ->
         .select(doc, "code.x", "code.y"),
         "lines",
     )
-    shared = held.groupBy("x", "y").agg(F.count("*").alias("n"), F.max(doc).alias("keeper")).where(F.col("n") >= min_docs)
+    # Written first: both sides of the join below are then plain shuffles, whose hot partitions Spark can split.
+    counted = held.groupBy("x", "y").agg(F.count("*").alias("n"), F.max(doc).alias("keeper"))
+    shared = stored(counted.where(F.col("n") >= min_docs).select("x", "y", "keeper"), "shared-lines")
     losses = (
         held.join(shared, ["x", "y"])
         .where(~F.col(doc).eqNullSafe(F.col("keeper")))
