@@ -149,8 +149,8 @@ class Pieces:
         parts, owners = [], []
         for n in np.unique(size).tolist():
             rows = np.flatnonzero(size == n)
-            for k in range(0, len(rows), max(1, (1 << 22) // n)):  # bounded memory
-                some = rows[k : k + max(1, (1 << 22) // n)]
+            for k in range(0, len(rows), max(1, (1 << 20) // n)):  # bounded memory
+                some = rows[k : k + max(1, (1 << 20) // n)]
                 ids, each = self._segment(data[begin[some][:, None] + np.arange(n)])
                 counts[some] = each
                 parts.append(ids)
@@ -186,7 +186,7 @@ def _loaded(path: str) -> Pieces:
     return _LOADED[path]
 
 
-def _lists(texts: Iterable[str | None], size: int = 1 << 22) -> Iterator[list[str | None]]:
+def _lists(texts: Iterable[str | None], size: int = 1 << 21) -> Iterator[list[str | None]]:
     group: list[str | None] = []
     total = 0
     for text in texts:
