@@ -840,6 +840,15 @@ def _(spark, sf):
     """SELECT o_orderkey, o_totalprice AS old, o_totalprice + 1 AS new FROM orders
        WHERE o_orderkey % 10 <> 0 AND o_orderkey % 9 = 0 ORDER BY o_orderkey LIMIT 10""",
 )
+def _(spark, sf):
+    return changed_values(*_versions(spark, sf), ["o_orderkey"], "o_totalprice", n=10)
+
+
+@query(
+    "all_changed_values",
+    """SELECT o_orderkey, o_totalprice AS old, o_totalprice + 1 AS new FROM orders
+       WHERE o_orderkey % 10 <> 0 AND o_orderkey % 9 = 0""",
+)
 def _(spark, sf):
     return changed_values(*_versions(spark, sf), ["o_orderkey"], "o_totalprice")
 
@@ -850,6 +859,15 @@ def _(spark, sf):
        UNION ALL SELECT -1 - o_orderkey, 'new' FROM orders WHERE o_orderkey % 11 = 0)
        ORDER BY o_orderkey LIMIT 10""",
 )
+def _(spark, sf):
+    return rows_on_one_side(*_versions(spark, sf), ["o_orderkey"], n=10)
+
+
+@query(
+    "all_rows_on_one_side",
+    """SELECT o_orderkey, 'old' AS side FROM orders WHERE o_orderkey % 10 = 0
+       UNION ALL SELECT -1 - o_orderkey, 'new' FROM orders WHERE o_orderkey % 11 = 0""",
+)
 def _(spark, sf):
     return rows_on_one_side(*_versions(spark, sf), ["o_orderkey"])
 

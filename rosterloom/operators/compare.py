@@ -62,22 +62,21 @@ def compare_tables(
 
 
 def changed_values(
-    old: DataFrame, new: DataFrame, keys: Sequence[str], column: str, n: int = 10
+    old: DataFrame, new: DataFrame, keys: Sequence[str], column: str, n: int | None = None
 ) -> DataFrame:
-    """The first ``n`` examples, in key order, of keys whose ``column`` differs."""
+    """All keys whose ``column`` differs, or the first ``n`` of them in key order."""
     grouped = _by_key(old, new, keys, [column])
     differs = ~F.col(f"_old_{column}").eqNullSafe(F.col(f"_new_{column}"))
-    return (
-        grouped.filter((F.col("_n_old") == 1) & (F.col("_n_new") == 1) & differs)
-        .select(*keys, F.col(f"_old_{column}").alias("old"), F.col(f"_new_{column}").alias("new"))
-        .orderBy(*keys)
-        .limit(n)
+    found = grouped.filter((F.col("_n_old") == 1) & (F.col("_n_new") == 1) & differs).select(
+        *keys, F.col(f"_old_{column}").alias("old"), F.col(f"_new_{column}").alias("new")
     )
+    return found if n is None else found.orderBy(*keys).limit(n)
 
 
-def rows_on_one_side(old: DataFrame, new: DataFrame, keys: Sequence[str], n: int = 10) -> DataFrame:
-    """The first ``n`` keys, in key order, found on one side only."""
+def rows_on_one_side(old: DataFrame, new: DataFrame, keys: Sequence[str], n: int | None = None) -> DataFrame:
+    """All keys found on one side only, or the first ``n`` of them in key order."""
     grouped = _by_key(old, new, keys, [])
     one_side = (F.col("_n_old") == 0) | (F.col("_n_new") == 0)
     side = F.when(F.col("_n_new") == 0, "old").otherwise("new")
-    return grouped.filter(one_side).select(*keys, side.alias("side")).orderBy(*keys).limit(n)
+    found = grouped.filter(one_side).select(*keys, side.alias("side"))
+    return found if n is None else found.orderBy(*keys).limit(n)

@@ -17,6 +17,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A key is hot when it has at least this many rows: more than one task should take in a join.
 HOT_MIN_ROWS = 1_000_000
@@ -58,6 +59,15 @@ def key_statistics(
     return KeyStatistics(found["distinct"], hot)
 
 
+def _same_value(df: DataFrame, key: str, wanted: T.DataType) -> Column:
+    """The key in the wanted type, or null where the conversion would change it."""
+    own = df.schema[key].dataType
+    if own == wanted:
+        return F.col(key)
+    converted = F.col(key).try_cast(wanted)
+    return F.when(converted.try_cast(own) == F.col(key), converted)
+
+
 def left_join_first(
     left: DataFrame,
     right: DataFrame,
@@ -69,11 +79,12 @@ def left_join_first(
     """LEFT JOIN on same-named ``keys`` with what ``one_per_key`` leaves of ``right``.
 
     ``one_per_key`` must choose among the rows of each key by themselves, so that it may be
-    applied to some of the keys only. Rows are never multiplied and null keys match nothing.
+    applied to some of the keys only. Rows are never multiplied and null keys match nothing, nor do
+    keys of ``right`` that the type of ``left``'s key cannot hold unchanged.
     """
     keys = list(keys)
     types = {f.name: f.dataType for f in left.schema.fields}
-    right = right.withColumns({k: F.col(k).cast(types[k]) for k in keys})
+    right = right.withColumns({k: _same_value(right, k, types[k]) for k in keys})
     statistics = key_statistics(left, keys, min_rows)
     if statistics.distinct <= small_rows:
         wanted = left.select(*keys).dropna().distinct()

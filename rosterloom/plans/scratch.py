@@ -13,9 +13,15 @@ _SETTING = "spark.checkpoint.dir"
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder under the session's checkpoint directory.
 
-    Only a session without that setting, as in tests, falls back to a local temporary folder.
+    Only a session on one machine without that setting, as in tests, gets a temporary folder, which
+    becomes the setting. On a cluster its absence is an error: executors would write to their own disks.
     """
-    root = spark.conf.get(_SETTING, None) or tempfile.mkdtemp(prefix="rosterloom-")
+    root = spark.conf.get(_SETTING, None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{_SETTING} must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="rosterloom-")
+        spark.conf.set(_SETTING, root)
     return f"{root}/rosterloom/{uuid.uuid4().hex}/{name}"
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections import defaultdict
 from collections.abc import Mapping
 from dataclasses import dataclass, field
@@ -44,7 +45,8 @@ class SourceError(RuntimeError):
 class Source:
     """Where a flow's files are and how to read them.
 
-    ``paths`` may hold globs; ``dir/**/name.csv`` looks into subfolders. ``sheet`` (a name, a
+    ``paths`` may hold globs; ``**`` spans any number of folders, wherever it stands. Spark does not
+    list names that begin with ``_`` or ``.``. ``sheet`` (a name, a
     position or ``*`` for all) and ``header_row`` apply to workbooks, ``sep`` and ``encoding``
     to delimited text.
     """
@@ -64,13 +66,26 @@ class Source:
             raise SourceError(f"unknown source format {self.format!r}")
 
 
+#: What the parts of a glob mean in a path; ``**/`` and ``**`` span folders.
+_GLOB = {"**/": "(?:.*/)?", "**": ".*", "*": "[^/]*", "?": "[^/]", "{": "(?:", "}": ")", ",": "|"}
+
+
+def _glob_pattern(glob: str) -> str:
+    parts = re.split(r"(\*\*/|\*\*|[*?{},]|\[[^\]]*\])", glob)
+    meant = [_GLOB.get(p) or (p.replace("[!", "[^") if p.startswith("[") else re.escape(p)) for p in parts]
+    return "".join(meant)
+
+
 def _listing(spark: SparkSession, pattern: str) -> DataFrame:
     reader = spark.read.format("binaryFile")
-    if "/**/" in pattern:
-        pattern, name = pattern.split("/**/", 1)
-        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", name)
     # Only the listing: the content column is never selected, so no file is opened.
-    return reader.load(pattern).select("path", "modificationTime", "length")
+    listed = ["path", "modificationTime", "length"]
+    if "**" not in pattern:
+        return reader.load(pattern).select(*listed)
+    folder = pattern[: pattern.index("**")].rpartition("/")[0] or ("/" if pattern[0] == "/" else ".")
+    below = re.sub(r"^\w+:/*", "/", pattern)
+    found = reader.option("recursiveFileLookup", "true").load(folder).select(*listed)
+    return found.filter(F.col("path").rlike(f"{_glob_pattern(below)}$"))
 
 
 def list_files(spark: SparkSession, source: Source) -> DataFrame:
@@ -218,8 +233,16 @@ def wanted_columns(
 
 
 def by_layout(tables: list) -> dict[tuple[str, ...], list]:
-    """Tables grouped by their header line; empty ones left out."""
+    """Tables grouped by their header line.
+
+    Empty files and empty sheets beside others hold nothing and are left out; a file that holds
+    something without a header line is an error, so that no row is lost unseen.
+    """
     groups: dict[tuple[str, ...], list] = defaultdict(list)
+    read = {t["path"] for t in tables if t["headers"]}
+    lost = sorted({t["path"] for t in tables if t["size"] and t["path"] not in read})
+    if lost:
+        raise SourceError("no header line in: " + ", ".join(lost))
     for table in tables:
         if table["headers"]:
             groups[tuple(table["headers"])].append(table)

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,12 +40,22 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     )
 
 
+def plain_number(value: Column) -> Column:
+    """A double as text without an exponent, if its size is between 1e-18 and 1e38."""
+    text = value.cast("string")
+    small = F.rtrim(text.try_cast("decimal(38,18)").cast("string"), F.lit("0"))
+    large = text.try_cast("decimal(38,0)").cast("string")
+    plain = F.when(F.abs(value) >= 1e20, large).otherwise(F.regexp_replace(small, r"\.$", ".0"))
+    return F.when(text.contains("E") & (F.abs(value) >= 1e-18), F.coalesce(plain, text)).otherwise(text)
+
+
 def write_csv(df: DataFrame, path: str, options: PublishOptions = PublishOptions()) -> None:
     """Delimited text with a header, the locale's decimal mark, and nothing for null."""
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
+    df = df.withColumns({c: plain_number(F.col(f"`{c}`")) for c in doubles})
     if options.decimal_comma:
         df = df.withColumns(
-            {c: F.translate(F.col(f"`{c}`").cast("string"), ".", ",") for c in doubles}
+            {c: F.translate(F.col(f"`{c}`"), ".", ",") for c in doubles}
         )
     df.write.mode("overwrite").csv(
         path,

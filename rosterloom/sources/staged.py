@@ -13,6 +13,7 @@ from rosterloom.contract import TableContract
 from rosterloom.operators.rows import FILE, FILE_ORDER, SHEET
 from rosterloom.operators.skew import SMALL_ROWS
 from rosterloom.sources.folder import (
+    SourceError,
     MODIFIED,
     PATH,
     SIZE,
@@ -110,6 +111,14 @@ def _load(spark, source, contract, staging_path, keep, pending: DataFrame) -> se
         .partitionBy(FINGERPRINT)
         .parquet(f"{staging_path}/rows")
     )
+    # Rows carry the version that was read. One that is no longer listed may have been replaced
+    # before it was read: it must not count as loaded.
+    kept = list_files(spark, source).select(_fingerprint(
+        F.col("path"), F.col("modified"), F.col("size"), source, contract, keep
+    ).alias(FINGERPRINT))
+    changed = [r["path"] for r in pending.join(kept, FINGERPRINT, "left_anti").collect()]
+    if changed:
+        raise SourceError("changed while they were read, load again: " + ", ".join(sorted(changed)))
     provided: dict[str, set[str]] = {}
     for t in tables:
         names = {name for _, name in wanted_columns(t["headers"], contract, keep)}

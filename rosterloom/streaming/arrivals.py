@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +17,7 @@ from rosterloom.operators.shape import (
     drop_blank_rows,
     header_matches,
 )
-from rosterloom.sources.folder import Source, metadata_columns, with_file_order
+from rosterloom.sources.folder import Source, SourceError, metadata_columns, with_file_order
 
 
 def stage_arrivals(
@@ -29,19 +30,32 @@ def stage_arrivals(
 ) -> None:
     """Append the typed rows of text files that arrived since the last call, then stop.
 
-    For drop folders whose files share one header line and are never rewritten: the stream's
-    checkpoint remembers the files, so each one is loaded exactly once. Files that change under
-    the same name, or differ in their headers, need ``read_staged``.
+    For drop folders of delimited text whose files share one header line and are never rewritten:
+    the stream's checkpoint remembers the files, so each one is loaded exactly once. A file with
+    other headers, or the same in another order, stops the stream with an error; such files, and
+    files that change under the same name, need ``read_staged``. Every path is streamed; paths
+    must not overlap.
     """
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(headers))])
-    rows = (
-        spark.readStream.schema(schema)
-        .options(header=True, sep=source.sep, encoding=source.encoding, escape='"')
-        .options(**source.options)
-        .csv(source.paths[0])
-    )
-    cells = [F.col(f"c{i}").alias(name) for i, name in header_matches(list(headers), contract)]
-    named = with_file_order(rows.select(*cells, *metadata_columns()))
+    if source.format != "csv":
+        raise SourceError(f"arriving files must be delimited text, not {source.format!r}")
+    if len({h.lower() for h in headers}) < len(headers):
+        raise SourceError("headers of arriving files must differ from each other")
+    schema = T.StructType([T.StructField(h, T.StringType()) for h in headers])
+    wanted = header_matches(list(headers), contract)
+
+    def arriving(path: str) -> DataFrame:
+        rows = (
+            spark.readStream.schema(schema)
+            # Each file's own header line must be the declared one.
+            .options(header=True, enforceSchema=False)
+            .options(sep=source.sep, encoding=source.encoding, escape='"')
+            .options(**source.options)
+            .csv(path)
+        )
+        cells = [rows[f"`{headers[i]}`"].alias(name) for i, name in wanted]
+        return rows.select(*cells, *metadata_columns())
+
+    named = with_file_order(reduce(DataFrame.union, map(arriving, source.paths)))
     typed = apply_types(clean_all_text(drop_blank_rows(named)), contract, cleaned=True)
     (
         conform(typed, contract)
