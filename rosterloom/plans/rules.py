@@ -364,9 +364,11 @@ def reference_coverage(
     if not counts["expected"]:
         return [RuleResult("reference_coverage", scope, Severity.OK, "no row to check" + note)]
     lost = counts["expected"] - counts["found"]
+    order = [c for c, kind in df.dtypes if kind in ("string", "date", "bigint", "int", "double")]
     missing = ~F.col(mark)
     if excluded:
         missing &= ~F.coalesce(F.col(excluded), F.lit(False))
+    sample = df.filter(missing).orderBy(*order) if order else df.filter(missing)
     return [
         RuleResult(
             "reference_coverage",
@@ -375,7 +377,7 @@ def reference_coverage(
             f"{counts['ratio']:.1%} of rows found in the snapshot ({lost} not found; "
             f"minimum {minimum:.0%}){note}",
             lost,
-            df.filter(missing).limit(sample_rows) if lost else None,
+            sample.limit(sample_rows) if lost else None,
         )
     ]
 
