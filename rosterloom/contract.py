@@ -51,6 +51,22 @@ class ColumnSpec:
         return SPARK_TYPES[self.kind]
 
 
+@dataclass(frozen=True)
+class SchemaDifference:
+    """A column that a table and its contract see differently. No ``expected``: only the table has it; no ``found``: it lacks it."""
+
+    column: str
+    expected: T.DataType | None
+    found: T.DataType | None
+
+    def __str__(self) -> str:
+        if self.expected is None:
+            return f"{self.column} is not in the contract"
+        if self.found is None:
+            return f"{self.column} is missing"
+        return f"{self.column} is {self.found.simpleString()} instead of {self.expected.simpleString()}"
+
+
 @dataclass(frozen=True)
 class TableContract:
     """Ordered columns; their order is the order of the published table."""
@@ -118,6 +134,16 @@ class TableContract:
             ]
         )
 
+    def differences(self, schema: T.StructType) -> list[SchemaDifference]:
+        """Where ``schema`` departs from the contract: its own columns first, then those it lacks."""
+        expected = {c.name: c.spark_type for c in self.columns}
+        found = {f.name: f.dataType for f in schema.fields}
+        return [
+            SchemaDifference(c, expected.get(c), found.get(c))
+            for c in {**found, **expected}
+            if expected.get(c) != found.get(c)
+        ]
+
     def require_known(self, where: str, names: Iterable[str]) -> list[str]:
         """Problems for names the contract does not have. ``where`` says who refers to them."""
         known = set(self.names)

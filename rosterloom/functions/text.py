@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import string
 import unicodedata
 from collections.abc import Mapping
 from itertools import chain
@@ -15,6 +15,10 @@ ACCENTED = "ÁÀÂÃÄÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇÑáàâãäéèêëí
 PLAIN = "AAAAAEEEEIIIIOOOOOUUUUCNaaaaaeeeeiiiiooooouuuucn"
 
 
+# What a header or value code is made of; anything else parts its words.
+_CODE_LETTERS = frozenset(string.digits + string.ascii_uppercase)
+
+
 def trim_spaces(c: Column) -> Column:
     """Trim every Unicode space, not only U+0020."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -40,8 +44,8 @@ def zero_pad(c: Column, width: int) -> Column:
 
 def header_code(header: str) -> str:
     """Comparable form of a column header. Works on schema names, never on rows."""
-    ascii_only = unicodedata.normalize("NFKD", str(header)).encode("ascii", "ignore").decode()
-    return "_".join(re.findall(r"[0-9A-Z]+", ascii_only.upper()))
+    letters = (ch for ch in unicodedata.normalize("NFKD", str(header)) if ch.isascii())
+    return "_".join("".join(ch if ch in _CODE_LETTERS else " " for ch in map(str.upper, letters)).split())
 
 
 def value_code(c: Column) -> Column:

@@ -14,17 +14,20 @@ from rosterloom.operators.shape import conform
 ROW_LABEL = "_row_label"
 
 
-def check_types(df: DataFrame, contract: TableContract, scope: str) -> None:
-    """Refuse a table whose contract columns do not have the declared types."""
-    specs = contract.by_name
-    wrong = [
-        f"{f.name} ({f.dataType.simpleString()}, expected "
-        f"{specs[f.name].spark_type.simpleString()})"
-        for f in df.schema.fields
-        if f.name in specs and f.dataType != specs[f.name].spark_type
-    ]
-    if wrong:
-        raise ContractError(f"{scope}: column(s) with a type unlike the contract: {', '.join(wrong)}")
+def labelled(
+    df: DataFrame, contract: TableContract, label_column: str, label: str, name: str = ""
+) -> DataFrame:
+    """The table in contract order behind its label. Rows that bring a label of their own keep it.
+
+    Columns of another type than the contract's are refused: casting them here would hide a fault
+    of the flow. Missing columns become null, further columns are left out.
+    """
+    unlike = [d for d in contract.differences(df.schema) if d.expected and d.found]
+    if unlike:
+        raise ContractError(f"{name or label}: {'; '.join(map(str, unlike))}")
+    own = ROW_LABEL if ROW_LABEL in df.columns else None
+    rows = conform(df, contract, keep_internal=bool(own))
+    return rows.select((F.col(own) if own else F.lit(label)).alias(label_column), *contract.names)
 
 
 def stack_labelled(
@@ -33,20 +36,11 @@ def stack_labelled(
     label_column: str,
     labels: Mapping[str, str],
 ) -> DataFrame:
-    """UNION ALL of the tables in contract order, with the label column first.
-
-    A table that labels its own rows (``_row_label``) keeps those labels.
-    """
-    parts = []
-    for name, df in tables.items():
-        check_types(df, contract, name)
-        label = F.col(ROW_LABEL) if ROW_LABEL in df.columns else F.lit(labels[name])
-        parts.append(
-            conform(df.withColumn(ROW_LABEL, label), contract).select(
-                F.col(ROW_LABEL).alias(label_column), *contract.names
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    """UNION ALL of the tables, each ``labelled``."""
+    return reduce(
+        DataFrame.union,
+        [labelled(df, contract, label_column, labels[n], n) for n, df in tables.items()],
+    )
 
 
 def rows_per_label(stacked: DataFrame, label_column: str) -> DataFrame:

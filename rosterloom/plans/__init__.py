@@ -1,7 +1,7 @@
 """The people-data job: contract, flows, rules and the consolidated run."""
 
 from rosterloom.plans.config import CheckLimits, ConfigError, Enrichment, FlowConfig, JobConfig
-from rosterloom.plans.flows import FLOWS, Flow
+from rosterloom.plans.flows import FLOWS, Built, Flow, register
 from rosterloom.plans.people import PEOPLE_CONTRACT
 from rosterloom.plans.rules import RuleResult, Severity
 from rosterloom.plans.job import RunError, RunResult, run
@@ -9,6 +9,7 @@ from rosterloom.plans.job import RunError, RunResult, run
 __all__ = [
     "FLOWS",
     "PEOPLE_CONTRACT",
+    "Built",
     "CheckLimits",
     "ConfigError",
     "Enrichment",
@@ -19,5 +20,6 @@ __all__ = [
     "RunError",
     "RunResult",
     "Severity",
+    "register",
     "run",
 ]

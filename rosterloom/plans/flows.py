@@ -1,4 +1,8 @@
-"""What each family of sources becomes. Every builder is one lazy plan."""
+"""What each family of sources becomes, and what is checked on it.
+
+Builders return lazy plans; those that complete events from the snapshot first take a sketch of the
+events' keys. A flow of one's own is a ``Flow`` added with ``register``.
+"""
 
 from __future__ import annotations
 
@@ -19,11 +23,19 @@ from rosterloom.functions import (
     month_start,
     previous_month_key,
 )
-from rosterloom.operators.joins import fill_from_reference
-from rosterloom.operators.rows import FILE, FILE_ORDER, latest_per_key, newest_file_per_period
+from rosterloom.operators.joins import fill_from_reference, same_month_counterpart
+from rosterloom.operators.rows import (
+    FILE,
+    FILE_ORDER,
+    latest_per_key,
+    newest_file_per_period,
+    periods_in_several_files,
+)
 from rosterloom.operators.stack import ROW_LABEL
+from rosterloom.plans import rules
 from rosterloom.plans.config import FlowConfig
-from rosterloom.plans.people import CONTRACTOR_LABELS
+from rosterloom.plans.people import CONTRACTOR_KEYS, CONTRACTOR_LABELS
+from rosterloom.plans.rules import Check, RuleResult
 
 #: Value that classifies a contractor row; read next to the contract columns, never published.
 CLASS = "_class"
@@ -40,17 +52,42 @@ Tables = Mapping[str, DataFrame]
 Builder = Callable[[DataFrame, FlowConfig, dt.date, Tables], DataFrame]
 
 
+@dataclass(frozen=True)
+class Built:
+    """A flow on its way, as its checks and rules see it."""
+
+    #: Cleaned text under contract names, the same with types, and what the flow made of it (written).
+    raw: DataFrame
+    typed: DataFrame
+    table: DataFrame
+    settings: FlowConfig
+    reference_date: dt.date
+    sample_rows: int
+
+
+def _one_key(name: str, built: Built) -> list[RuleResult]:
+    return rules.unique_key(built.table, built.settings.key, name, built.sample_rows)
+
+
 @dataclass(frozen=True)
 class Flow:
-    """A source family: its builder, its date columns and the flows it reads from."""
+    """A source family: its builder, its date columns, the flows it reads from, and its hooks."""
 
     name: str
     build: Builder
     date_columns: tuple[str, ...] = ()
     depends_on: tuple[str, ...] = ()
     labels: tuple[str, ...] = ()
-    #: (other flow, its date column): an event there in the same month explains a missing snapshot
-    counterpart: tuple[str, str] | None = None
+    #: Changes the rows as they were read, before they are cleaned.
+    prepare: Callable[[DataFrame, FlowConfig], DataFrame] | None = None
+    #: Further conditions on rows, counted in the same pass as the usual ones.
+    checks: Callable[[Built], list[Check]] | None = None
+    #: What must be unique.
+    key_rule: Callable[[str, Built], list[RuleResult]] = _one_key
+    #: Rules that need more than counts of rows.
+    rules: Callable[[str, Built], list[RuleResult]] | None = None
+    #: Flags (``NO_COUNTERPART``) rows that cannot be in the snapshot, given all tables.
+    expected_absent: Callable[[DataFrame, Tables], DataFrame] | None = None
 
 
 def with_snapshot_period(df: DataFrame, default: dt.date | None) -> DataFrame:
@@ -161,34 +198,96 @@ def build_budget(
     return df
 
 
-FLOWS: dict[str, Flow] = {
-    flow.name: flow
-    for flow in (
-        Flow("snapshot", build_snapshot, ("hire_date", "birth_date")),
-        Flow(
-            "hires",
-            _event_builder("hire_date"),
-            ("hire_date",),
-            ("snapshot",),
-            counterpart=("leavers", "leave_date"),
-        ),
-        Flow(
-            "leavers",
-            build_leavers,
-            ("hire_date", "leave_date"),
-            ("snapshot",),
-            counterpart=("hires", "hire_date"),
-        ),
-        Flow("movements", _event_builder("movement_date"), ("movement_date",), ("snapshot",)),
-        Flow(
-            "contractors",
-            build_contractors,
-            ("hire_date", "leave_date"),
-            labels=CONTRACTOR_LABELS,
-        ),
-        Flow("budget", build_budget, ("period",)),
+def _event_of(other: str, date_column: str) -> Callable[[DataFrame, Tables], DataFrame]:
+    """An event of the other kind in the same month explains why the snapshot lacks the person."""
+
+    def flag(df: DataFrame, tables: Tables) -> DataFrame:
+        return same_month_counterpart(df, tables.get(other), date_column, rules.NO_COUNTERPART)
+
+    return flag
+
+
+def _months_in_several_files(name: str, built: Built) -> list[RuleResult]:
+    """Months of the snapshot found in several files, before any of them is dropped."""
+    parameters = built.settings.parameters
+    default = built.reference_date.replace(day=1)
+    dated = with_snapshot_period(
+        built.typed, default if parameters.get("default_period_to_reference") else None
     )
-}
+    repeated = periods_in_several_files(dated.select("period", FILE, FILE_ORDER))
+    return rules.overlapping_periods(
+        repeated, name, parameters.get("overlap", "newest") == "newest"
+    )
+
+
+def _contractor_labels(built: Built) -> list[Check]:
+    hint = (
+        "a value has no label in the 'classes' parameter"
+        if built.settings.parameters.get("class_header")
+        else "set the 'class_header' and 'classes' parameters"
+    )
+    return [rules.unclassified_check(ROW_LABEL, CONTRACTOR_LABELS, hint)]
+
+
+def _key_of_each_label(name: str, built: Built) -> list[RuleResult]:
+    own = {k.upper(): tuple(v) for k, v in built.settings.parameters.get("keys", {}).items()}
+    keys = {**dict.fromkeys(CONTRACTOR_LABELS, built.settings.key), **CONTRACTOR_KEYS, **own}
+    return rules.unique_key_per_label(
+        built.table,
+        ROW_LABEL,
+        {label: keys[label] for label in CONTRACTOR_LABELS},
+        name,
+        built.sample_rows,
+    )
+
+
+FLOWS: dict[str, Flow] = {}
+
+
+def register(flow: Flow) -> Flow:
+    """Make a flow known to runs under its name; a known name is replaced."""
+    FLOWS[flow.name] = flow
+    return flow
+
+
+for _flow in (
+    Flow(
+        "snapshot",
+        build_snapshot,
+        ("hire_date", "birth_date"),
+        rules=_months_in_several_files,
+    ),
+    Flow(
+        "hires",
+        _event_builder("hire_date"),
+        ("hire_date",),
+        ("snapshot",),
+        expected_absent=_event_of("leavers", "leave_date"),
+    ),
+    Flow(
+        "leavers",
+        build_leavers,
+        ("hire_date", "leave_date"),
+        ("snapshot",),
+        expected_absent=_event_of("hires", "hire_date"),
+    ),
+    Flow("movements", _event_builder("movement_date"), ("movement_date",), ("snapshot",)),
+    Flow(
+        "contractors",
+        build_contractors,
+        ("hire_date", "leave_date"),
+        labels=CONTRACTOR_LABELS,
+        checks=_contractor_labels,
+        key_rule=_key_of_each_label,
+    ),
+    Flow(
+        "budget",
+        build_budget,
+        ("period",),
+        rules=lambda name, built: rules.budget_months(built.table, name),
+    ),
+):
+    register(_flow)
 
 
 def kept_headers(config: FlowConfig) -> dict[str, str]:

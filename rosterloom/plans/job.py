@@ -6,25 +6,27 @@ import datetime as dt
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterloom.operators.joins import same_month_counterpart
-from rosterloom.operators.rows import FILE, FILE_ORDER, periods_in_several_files
-from rosterloom.operators.shape import apply_types, clean_all_text, drop_blank_rows
+from rosterloom.operators.shape import apply_types, clean_all_text, drop_blank_rows, is_internal
 from rosterloom.operators.skew import spread
-from rosterloom.operators.stack import ROW_LABEL, rows_per_label, stack_labelled
+from rosterloom.operators.stack import rows_per_label, stack_labelled
 from rosterloom.plans import rules
-from rosterloom.plans.config import FlowConfig, JobConfig
-from rosterloom.plans.flows import FLOWS, Flow, kept_headers, with_snapshot_period
-from rosterloom.plans.people import CONTRACTOR_KEYS, CONTRACTOR_LABELS
+from rosterloom.plans.config import JobConfig
+from rosterloom.plans.flows import FLOWS, Built, Flow, kept_headers
 from rosterloom.plans.rules import RuleResult, Severity
 from rosterloom.plans.scratch import scratch_path, written
 from rosterloom.sources.publish import publish
 from rosterloom.sources.staged import read_staged
 
+_RUNS = (
+    "reference_date date, started timestamp, seconds double, severity string, published boolean, "
+    "written array<string>"
+)
 _HISTORY = "run_id string, run_at timestamp, reference_date date, label string, rows bigint"
 
 
@@ -55,8 +57,19 @@ def flow_order(flows: Sequence[str], config: JobConfig) -> list[str]:
     inactive = [f for f in flows if not config.flow(f).active]
     if inactive:
         raise RunError(f"flow(s) switched off in the configuration: {', '.join(inactive)}")
-    ordered = [d for f in flows for d in (*FLOWS[f].depends_on, f) if config.flow(d).active]
-    return list(dict.fromkeys(ordered))
+    ordered: list[str] = []
+
+    def add(name: str, above: tuple[str, ...] = ()) -> None:
+        if name in above:
+            raise RunError(f"flows read from each other: {' <- '.join((*above, name))}")
+        for needed in FLOWS[name].depends_on:
+            add(needed, (*above, name))
+        if name not in ordered and config.flow(name).active:
+            ordered.append(name)
+
+    for name in flows:
+        add(name)
+    return ordered
 
 
 def active_flows(config: JobConfig) -> list[str]:
@@ -67,70 +80,32 @@ def flow_labels(flow: Flow, config: JobConfig) -> list[str]:
     return list(flow.labels) or [config.label(flow.name)]
 
 
-def _flow_rules(
-    flow: Flow,
-    config: JobConfig,
-    settings: FlowConfig,
-    table: DataFrame,
-    raw: DataFrame,
-    reference_date: dt.date,
-) -> list[RuleResult]:
+def _flow_rules(flow: Flow, config: JobConfig, built: Built) -> list[RuleResult]:
     """The rules that need this flow only, in a fixed order."""
-    limits = config.limits
+    table, settings = built.table, built.settings
     results = rules.missing_columns(table, settings.required, flow.name)
     checks = [
         rules.no_rows_check(),
         *rules.required_checks(table, settings.required),
         *rules.period_start_check(table),
-        *rules.plausible_date_checks(table, flow.date_columns, reference_date),
+        *rules.plausible_date_checks(table, flow.date_columns, built.reference_date),
+        *(flow.checks(built) if flow.checks else ()),
     ]
-    if flow.labels:
-        hint = (
-            "a value has no label in the 'classes' parameter"
-            if settings.parameters.get("class_header")
-            else "set the 'class_header' and 'classes' parameters"
-        )
-        checks.append(rules.unclassified_check(ROW_LABEL, CONTRACTOR_LABELS, hint))
     results += rules.evaluate(
-        table, checks, flow.name, limits.sample_rows, settings.key or settings.required
+        table, checks, flow.name, built.sample_rows, settings.key or settings.required
     )
-    if flow.labels:
-        own_keys = settings.parameters.get("keys", {})
-        keys = {**CONTRACTOR_KEYS, **{k.upper(): tuple(v) for k, v in own_keys.items()}}
-        results += rules.unique_key_per_label(
-            table,
-            ROW_LABEL,
-            {label: keys.get(label, settings.key) for label in flow.labels},
-            flow.name,
-            limits.sample_rows,
-        )
-    else:
-        results += rules.unique_key(table, settings.key, flow.name, limits.sample_rows)
-    results += rules.parse_failures(raw, config.contract, flow.name)
-    if flow.name == "budget":
-        results += rules.budget_months(table, flow.name)
-    return results
-
-
-def _overlap_rule(typed: DataFrame, settings: FlowConfig, reference_date: dt.date):
-    """Months of the snapshot found in several files, before any of them is dropped."""
-    by_default = settings.parameters.get("default_period_to_reference")
-    dated = with_snapshot_period(typed, reference_date.replace(day=1) if by_default else None)
-    repeated = periods_in_several_files(dated.select("period", FILE, FILE_ORDER))
-    resolved = settings.parameters.get("overlap", "newest") == "newest"
-    return rules.overlapping_periods(repeated, "snapshot", resolved)
+    results += flow.key_rule(flow.name, built)
+    results += rules.parse_failures(built.raw, config.contract, flow.name)
+    return results + (flow.rules(flow.name, built) if flow.rules else [])
 
 
 def _coverage_rule(flow: Flow, config: JobConfig, tables: dict[str, DataFrame]):
     """How many events were found in the snapshot, without those that cannot be in one."""
-    table = tables[flow.name]
+    table, excluded = tables[flow.name], None
     if not config.flow(flow.name).enrich.active:
         return []
-    excluded = None
-    if flow.counterpart and rules.FOUND in table.columns:
-        other, date_column = flow.counterpart
-        excluded = rules.NO_COUNTERPART
-        table = same_month_counterpart(table, tables.get(other), date_column, excluded)
+    if flow.expected_absent and rules.FOUND in table.columns:
+        table, excluded = flow.expected_absent(table, tables), rules.NO_COUNTERPART
     return rules.reference_coverage(
         table, flow.name, config.limits.minimum_coverage, excluded=excluded
     )
@@ -155,14 +130,13 @@ def _build_and_check(
         kept_headers(settings),
         restage,
     )
+    if flow.prepare:
+        staged = flow.prepare(staged, settings)
     raw = clean_all_text(drop_blank_rows(spread(staged)))
     typed = apply_types(raw, config.contract, cleaned=True)
-    built = flow.build(typed, settings, reference_date, tables)
-    table = written(built, f"{scratch}/{flow.name}")
-    results = _flow_rules(flow, config, settings, table, raw, reference_date)
-    if flow.name == "snapshot":
-        results += _overlap_rule(typed, settings, reference_date)
-    return table, results
+    table = written(flow.build(typed, settings, reference_date, tables), f"{scratch}/{flow.name}")
+    built = Built(raw, typed, table, settings, reference_date, config.limits.sample_rows)
+    return table, _flow_rules(flow, config, built)
 
 
 def read_history(spark: SparkSession, config: JobConfig) -> DataFrame | None:
@@ -189,17 +163,40 @@ def _write_history(counts: DataFrame, config: JobConfig, result: RunResult) -> N
     ).coalesce(1).write.mode("append").parquet(f"{config.reports}/run_history")
 
 
-def _write_report(spark: SparkSession, config: JobConfig, result: RunResult) -> None:
-    """All rule outcomes, and a sample of rows (as JSON) for every rule that has one."""
+def _flow_sizes(result: RunResult) -> DataFrame:
+    """(flow, rows, columns) of every table that the run built."""
+    return reduce(
+        DataFrame.unionByName,
+        [
+            table.agg(F.count(F.lit(1)).alias("rows")).select(
+                F.lit(name).alias("flow"),
+                "rows",
+                F.lit(sum(not is_internal(c) for c in table.columns)).alias("columns"),
+            )
+            for name, table in result.tables.items()
+        ],
+    )
+
+
+def _write_report(
+    spark: SparkSession, config: JobConfig, result: RunResult, started: dt.datetime
+) -> None:
+    """The run, its flows, all rule outcomes, and sample rows (as JSON) for rules that have some."""
+
+    def append(table: DataFrame, name: str) -> None:
+        table.withColumn("run_id", F.lit(result.run_id)).coalesce(1).write.mode(
+            "append"
+        ).partitionBy("run_id").parquet(f"{config.reports}/{name}")
+
     outcomes = rules.results_table(spark, result.results)
-    outcomes.withColumns(
-        {
-            "run_id": F.lit(result.run_id),
-            "reference_date": F.lit(result.reference_date),
-            "published": F.lit(result.published),
-        }
-    ).coalesce(1).write.mode("append").partitionBy("run_id").parquet(
-        f"{config.reports}/rule_results"
+    append(
+        outcomes.withColumns(
+            {
+                "reference_date": F.lit(result.reference_date),
+                "published": F.lit(result.published),
+            }
+        ),
+        "rule_results",
     )
     samples = None
     for position, r in enumerate(result.results, 1):
@@ -207,7 +204,6 @@ def _write_report(spark: SparkSession, config: JobConfig, result: RunResult) ->
             continue
         shown = [c for c in r.sample.columns if c != rules.FOUND]
         rows = r.sample.select(
-            F.lit(result.run_id).alias("run_id"),
             F.lit(position).alias("position"),
             F.lit(r.rule).alias("rule"),
             F.lit(r.scope).alias("scope"),
@@ -215,9 +211,13 @@ def _write_report(spark: SparkSession, config: JobConfig, result: RunResult) ->
         )
         samples = rows if samples is None else samples.unionByName(rows)
     if samples is not None:
-        samples.coalesce(1).write.mode("append").partitionBy("run_id").parquet(
-            f"{config.reports}/rule_samples"
-        )
+        append(samples, "rule_samples")
+    append(_flow_sizes(result), "run_flows")
+    seconds = (dt.datetime.now(dt.timezone.utc) - started).total_seconds()
+    summary = (
+        result.reference_date, started, seconds, result.severity.name, result.published, result.written,
+    )
+    append(spark.createDataFrame([summary], _RUNS), "runs")
 
 
 def run(
@@ -235,7 +235,8 @@ def run(
     the rule report is always written. ``restage`` reads all source files anew.
     """
     reference_date = reference_date or dt.date.today()
-    run_id = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d-%H%M%S-%f")
+    started = dt.datetime.now(dt.timezone.utc)
+    run_id = started.strftime("%Y%m%d-%H%M%S-%f")
     result = RunResult(run_id, reference_date)
     order = flow_order(flows or active_flows(config), config)
     scratch = scratch_path(spark, run_id)
@@ -253,8 +254,9 @@ def run(
     # fill the cluster where one small job after the other would leave it idle.
     found: dict[str, list[RuleResult]] = {}
     with ThreadPoolExecutor(max_workers=len(order)) as pool:
-        for dependent in (False, True):
-            wave = [name for name in order if bool(FLOWS[name].depends_on) == dependent]
+        while len(found) < len(order):
+            waiting = [name for name in order if name not in found]
+            wave = [n for n in waiting if not set(FLOWS[n].depends_on) & set(waiting)]
             for name, (table, outcome) in zip(wave, pool.map(build_and_check, wave)):
                 result.tables[name], found[name] = table, outcome
         coverage = list(
@@ -303,5 +305,5 @@ def run(
         # Only complete runs are kept, so that volumes are compared like with like.
         if set(order) == set(active_flows(config)):
             _write_history(counts, config, result)
-    _write_report(spark, config, result)
+    _write_report(spark, config, result, started)
     return result

@@ -45,6 +45,23 @@ class RuleResult:
     message: str
     occurrences: int = 0
     sample: DataFrame | None = field(default=None, repr=False)
+    #: The column the rule looked at, where it is one.
+    subject: str = ""
+
+
+def outcome(
+    rule: str,
+    scope: str,
+    occurrences: int,
+    found: str,
+    fine: str,
+    sample: DataFrame | None = None,
+    severity: Severity = Severity.WARN,
+) -> list[RuleResult]:
+    """One result: ``fine`` without occurrences, else ``found`` with its severity and sample."""
+    if not occurrences:
+        return [RuleResult(rule, scope, Severity.OK, fine)]
+    return [RuleResult(rule, scope, severity, found, occurrences, sample)]
 
 
 def worst(results: Sequence[RuleResult]) -> Severity:
@@ -204,6 +221,7 @@ def evaluate(
                     message,
                     0 if check.condition is None else n,
                     offending,
+                    check.subject,
                 )
             )
         if check.ok_rule:
@@ -237,14 +255,8 @@ def parse_failures(
     by_column = {c.subject: c for c in checks}
     results = evaluate(raw, checks, scope, examples)
     for result in results:
-        column = next(c for c in by_column if result.message.startswith(f"'{c}' "))
-        result.sample = (
-            raw.filter(by_column[column].condition)
-            .select(column)
-            .distinct()
-            .orderBy(column)
-            .limit(examples)
-        )
+        unread = raw.filter(by_column[result.subject].condition).select(result.subject)
+        result.sample = unread.distinct().orderBy(result.subject).limit(examples)
     return results
 
 
@@ -429,35 +441,27 @@ def reconcile(
     tolerance: float,
     outside_headcount: Sequence[str] = (),
 ) -> list[RuleResult]:
-    skipped = RuleResult(
+    """Periods whose headcount departs from the expected one by more than ``tolerance`` of it."""
+    checked = 0
+    if "period" in snapshot.columns:
+        table = reconciliation(snapshot, hires, leavers, outside_headcount)
+        off = table.filter(F.col("deviation") > tolerance).orderBy("period")
+        # A row for each period but the first.
+        checked, unlike = table.agg(
+            F.count(F.lit(1)), F.count_if(F.col("deviation") > tolerance)
+        ).first()
+    if not checked:
+        alone = "skipped: the snapshot has fewer than two periods"
+        return [RuleResult("reconciliation", CONSOLIDATED, Severity.INFO, alone)]
+    return outcome(
         "reconciliation",
         CONSOLIDATED,
-        Severity.INFO,
-        "skipped: the snapshot has fewer than two periods",
+        unlike,
+        f"{unlike} period(s) where previous + hires - leavers is not the headcount "
+        f"(tolerance {tolerance:.1%})",
+        f"headcount reconciled over {checked} period(s)",
+        off,
     )
-    if "period" not in snapshot.columns:
-        return [skipped]
-    table = reconciliation(snapshot, hires, leavers, outside_headcount)
-    periods = exclude_status(snapshot, "status", outside_headcount).select("period").distinct()
-    if periods.limit(2).count() < 2:
-        return [skipped]
-    counts = table.agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("deviation") > tolerance).alias("off")
-    ).first()
-    if not counts["off"]:
-        message = f"headcount reconciled over {counts['n']} period(s)"
-        return [RuleResult("reconciliation", CONSOLIDATED, Severity.OK, message)]
-    return [
-        RuleResult(
-            "reconciliation",
-            CONSOLIDATED,
-            Severity.WARN,
-            f"{counts['off']} period(s) where previous + hires - leavers is not the headcount "
-            f"(tolerance {tolerance:.1%})",
-            counts["off"],
-            table.filter(F.col("deviation") > tolerance).orderBy("period"),
-        )
-    ]
 
 
 # -------------------------------------------------------------------------- budget and volume
@@ -471,26 +475,21 @@ def months_per_year(df: DataFrame) -> DataFrame:
 
 
 def budget_months(df: DataFrame, scope: str) -> list[RuleResult]:
-    if "period" not in df.columns:
-        return []
-    years = months_per_year(df).orderBy("year")
-    found = years.collect()  # one row per calendar year
-    short = [r for r in found if r["months"] != 12]
-    if not found:
+    """Years in which the budget does not have all twelve months."""
+    years = months_per_year(df).collect() if "period" in df.columns else []  # one row a year
+    if not years:
         return []
-    if not short:
-        return [RuleResult("budget_periods", scope, Severity.OK, "12 months in every year")]
+    short = sorted((r for r in years if r["months"] != 12), key=lambda r: r["year"] or 0)
+    sample = df.sparkSession.createDataFrame(short, "year int, months bigint") if short else None
     listed = ", ".join(f"{r['year']} ({r['months']})" for r in short)
-    return [
-        RuleResult(
-            "budget_months",
-            scope,
-            Severity.WARN,
-            f"year(s) without 12 months: {listed}",
-            len(short),
-            years.filter("months <> 12"),
-        )
-    ]
+    return outcome(
+        "budget_months" if short else "budget_periods",
+        scope,
+        len(short),
+        f"year(s) without 12 months: {listed}",
+        "12 months in every year",
+        sample,
+    )
 
 
 def volume_change(current: DataFrame, previous: DataFrame, label: str, limit: float) -> DataFrame:
@@ -513,62 +512,52 @@ def volume_results(
     if previous is None:
         return [RuleResult("volume_change", CONSOLIDATED, Severity.INFO, "first run")]
     moved = volume_change(current, previous, label, limit).orderBy(label).collect()
-    if not moved:
-        message = f"volumes within +/-{limit:.0%}"
-        return [RuleResult("volume_change", CONSOLIDATED, Severity.OK, message)]
-    return [
-        RuleResult(
-            "volume_change",
-            r[label],
-            Severity.WARN,
-            f"rows changed by {r['change']:+.1%} since the last run ({r['before']} -> {r['rows']})",
-            abs(r["rows"] - r["before"]),
-        )
-        for r in moved
-    ]
+    results = []
+    for row in moved:  # at most one per label
+        before, now = row["before"], row["rows"]
+        text = f"rows changed by {row['change']:+.1%} since the last run ({before} -> {now})"
+        results += outcome("volume_change", row[label], abs(now - before), text, "")
+    return results or outcome("volume_change", CONSOLIDATED, 0, "", f"volumes within +/-{limit:.0%}")
 
 
 # ------------------------------------------------------------------------------------- schema
+def schema_differences(df: DataFrame, contract: TableContract) -> DataFrame:
+    """(column, expected, found) for every column that ``df`` and the contract see differently. No job runs."""
+    rows = [
+        (d.column, *(t.simpleString() if t else None for t in (d.expected, d.found)))
+        for d in contract.differences(df.schema)
+    ]
+    return df.sparkSession.createDataFrame(rows, "column string, expected string, found string")
+
+
 def output_contract(
     df: DataFrame, contract: TableContract, label_column: str
 ) -> list[RuleResult]:
-    """The stacked table has exactly the columns and types of the contract. No job runs."""
-    expected = {c.name: c.spark_type for c in contract.columns}
-    public = {
-        f.name: f.dataType
-        for f in df.schema.fields
-        if not is_internal(f.name) and f.name != label_column
-    }
-    problems = []
-    if missing := [c for c in expected if c not in public]:
-        problems.append(f"missing {missing}")
-    if extra := [c for c in public if c not in expected]:
-        problems.append(f"outside the contract {extra}")
-    if wrong := [c for c, t in public.items() if c in expected and t != expected[c]]:
-        problems.append(
-            "wrong type " + ", ".join(f"{c}={public[c].simpleString()}" for c in wrong)
-        )
-    if problems:
-        message = "stacked table: " + "; ".join(problems)
-        return [RuleResult("output_contract", CONSOLIDATED, Severity.ERROR, message)]
-    message = f"{len(expected)} columns as in the contract"
-    return [RuleResult("output_contract", CONSOLIDATED, Severity.OK, message)]
+    """The table that is published has the columns and types of the contract, behind its label."""
+    public = df.drop(label_column, *[c for c in df.columns if is_internal(c)])
+    unlike = contract.differences(public.schema)
+    return outcome(
+        "output_contract",
+        CONSOLIDATED,
+        len(unlike),
+        "; ".join(map(str, unlike)),
+        f"{len(contract.columns)} columns and their types are those of the contract",
+        schema_differences(public, contract) if unlike else None,
+        Severity.ERROR,
+    )
 
 
 def columns_outside_contract(
     df: DataFrame, contract: TableContract, scope: str
 ) -> list[RuleResult]:
-    extra = sorted(c for c in df.columns if not is_internal(c) and c not in contract.by_name)
-    if not extra:
-        return []
-    return [
-        RuleResult(
-            "column_outside_contract",
-            scope,
-            Severity.WARN,
-            f"column(s) {extra} made by the flow are not in the contract and were dropped",
-        )
-    ]
+    """Columns a flow made that nobody will see, because the contract does not have them."""
+    unknown = sorted(
+        d.column
+        for d in contract.differences(df.schema)
+        if d.expected is None and not is_internal(d.column)
+    )
+    dropped = f"not in the contract, so not published: {', '.join(unknown)}"
+    return outcome("column_outside_contract", scope, len(unknown), dropped, "") if unknown else []
 
 
 def overlapping_periods(
@@ -578,23 +567,20 @@ def overlapping_periods(
     n = repeated.count()
     if not n:
         return []
-    shown = repeated.orderBy("period").limit(examples).collect()
-    listed = "; ".join(
-        f"{r['period']:%m/%Y} in {r['files']}" + (f", used {r['used_file']}" if resolved else "")
-        if r["period"]
-        else f"no period in {r['files']}"
-        for r in shown
+    told = []
+    for row in repeated.orderBy("period").limit(examples).collect():
+        month = f"{row['period']:%m/%Y}" if row["period"] else "no period"
+        used = f", used {row['used_file']}" if resolved and row["period"] else ""
+        told.append(f"{month} in {row['files']}{used}")
+    return outcome(
+        "period_in_several_files",
+        scope,
+        n,
+        f"{n} period(s) in more than one file: {'; '.join(told)}",
+        "",
+        repeated.withColumn("files", F.array_join("files", " | ")).orderBy("period"),
+        Severity.WARN if resolved else Severity.ERROR,
     )
-    return [
-        RuleResult(
-            "period_in_several_files",
-            scope,
-            Severity.WARN if resolved else Severity.ERROR,
-            f"{n} period(s) in more than one file: {listed}",
-            n,
-            repeated.withColumn("files", F.array_join("files", " | ")),
-        )
-    ]
 
 
 def results_table(spark, results: Sequence[RuleResult]) -> DataFrame:
