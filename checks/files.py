@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from checks import flows, tables
 from checks.tables import load
+from checks.workbooks import write_workbooks
 from rosterloom.functions import parse_date, parse_decimal
+from rosterloom.operators.rows import FILE, FILE_ORDER, SHEET
 from rosterloom.plans import JobConfig, PEOPLE_CONTRACT, run
 from rosterloom.plans.config import PEOPLE_FLOWS, people_flow
+from rosterloom.plans.job import read_history
 from rosterloom.plans.scratch import scratch_path
 from rosterloom.sources import (
     PublishOptions,
@@ -20,6 +23,7 @@ from rosterloom.sources import (
     read_staged,
     write_csv,
 )
+from rosterloom.sources.folder import MODIFIED, PATH, SIZE
 
 #: Two layouts of the customer table: other column order, other headers, one column less.
 _LAYOUTS = {
@@ -63,6 +67,47 @@ def staged_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _people(read_staged(spark, source, PEOPLE_CONTRACT, stage))
 
 
+def recursive_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A glob that spans folders, with what is known of each row's file."""
+    folder = _customer_folder(spark, sf_dir, "csv")
+    rows = read_folder(spark, Source(f"{folder}/**"), PEOPLE_CONTRACT)
+    return rows.select(
+        "person_id",
+        F.regexp_extract(PATH, r"layout (\d)\+/[^/]+$", 1).alias("layout"),
+        (F.col(FILE) == F.element_at(F.split(PATH, "/"), -1)).alias("named"),
+        F.col(FILE_ORDER).endswith(F.col(FILE)).alias("ordered"),
+        ((F.col(MODIFIED) > 0) & (F.col(SIZE) > 0)).alias("versioned"),
+    )
+
+
+def staged_after_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged, then one layout is written anew: its old rows are replaced and no others are read."""
+    folder = _customer_folder(spark, sf_dir, "csv")
+    source, stage = Source(f"{folder}/**/*.csv"), scratch_path(spark, "staged")
+    read_staged(spark, source, PEOPLE_CONTRACT, stage).count()
+    changed = load(spark, sf_dir, "customer").filter("c_custkey % 2 = 0")
+    changed.selectExpr(
+        "cast(c_custkey as string) as CHAPA", "concat(c_name, ' novo') as NOME"
+    ).write.mode("overwrite").csv(f"{folder}/layout 0+", sep=";", header=True)
+    return read_staged(spark, source, PEOPLE_CONTRACT, stage).select("person_id", "full_name")
+
+
+def workbook_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spreadsheets of 500 customers each, on two sheets, with two lines above the headers."""
+    folder = scratch_path(spark, "workbooks")
+    customers = load(spark, sf_dir, "customer").selectExpr(
+        "concat('clientes ', c_custkey div 500) as book",
+        "if(c_custkey % 2 = 0, 'pares', 'outros') as page",
+        "cast(c_custkey as string) as Chapa",
+        "c_name as ` Nome `",
+        "if(c_custkey % 3 = 0, null, c_mktsegment) as Diretoria",
+    )
+    write_workbooks(customers, ("Chapa", " Nome ", "Diretoria"), folder)
+    source = Source(f"{folder}/*.xlsx", format="workbook", sheet="*", header_row=2)
+    rows = read_folder(spark, source, PEOPLE_CONTRACT)
+    return rows.select("person_id", "full_name", "directorate", FILE, SHEET)
+
+
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = load(spark, sf_dir, "orders").selectExpr(
         "o_orderkey",
@@ -131,3 +176,22 @@ def consolidated_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = job(folder)
     run(spark, config, reference_date=tables.REFERENCE, force=True)
     return read_published(spark, config.output_path, PEOPLE_CONTRACT, "BASE")
+
+
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an unforced run says: one class of contractor has no label, so nothing is published."""
+    folder = scratch_path(spark, "report")
+    source_files(spark, sf_dir, folder)
+    config = job(folder)
+    run(spark, config, reference_date=tables.REFERENCE)
+    report = spark.read.parquet(f"{config.reports}/rule_results")
+    return report.select("rule", "scope", "severity", "occurrences", "published")
+
+
+def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per label, as a published run leaves them for the next one."""
+    folder = scratch_path(spark, "history")
+    source_files(spark, sf_dir, folder)
+    config = job(folder)
+    run(spark, config, reference_date=tables.REFERENCE, force=True)
+    return read_history(spark, config)

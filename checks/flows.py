@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from checks import tables
 from rosterloom.functions import value_code
-from rosterloom.operators.joins import same_month_counterpart
+from rosterloom.operators.joins import FOUND, same_month_counterpart
 from rosterloom.operators.shape import conform, standardise
-from rosterloom.operators.stack import rows_per_label, stack_labelled
+from rosterloom.operators.stack import ROW_LABEL, rows_per_label, stack_labelled
 from rosterloom.plans import FLOWS, PEOPLE_CONTRACT, rules
 from rosterloom.plans.config import FlowConfig, people_flow
 from rosterloom.plans.people import LABELS
@@ -58,7 +58,9 @@ def build_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def flow_query(name: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return conform(build(spark, sf_dir, name), PEOPLE_CONTRACT, keep_internal=False)
+        built = conform(build(spark, sf_dir, name), PEOPLE_CONTRACT)
+        marks = [c for c in (FOUND, ROW_LABEL) if c in built.columns]
+        return built.select(*PEOPLE_CONTRACT.names, *marks)
 
     return query
 

@@ -446,13 +446,25 @@ def _(spark, sf):
 @query(
     "overlapping_periods",
     f"""WITH {_FILES}, g AS (SELECT period, list_sort(list(DISTINCT _source_file)) AS names,
-        max(_file_order || _source_file) AS newest FROM f WHERE period IS NOT NULL GROUP BY period)
+        max(_file_order || _source_file) AS newest FROM f GROUP BY period)
       SELECT period, array_to_string(names, ' | ') AS files, newest[2:] AS used_file
       FROM g WHERE len(names) > 1""",
 )
 def _(spark, sf):
-    dated = _in_files(spark, sf).filter("period is not null")
-    return periods_in_several_files(dated).withColumn("files", F.array_join("files", " | "))
+    repeated = periods_in_several_files(_in_files(spark, sf))
+    return repeated.withColumn("files", F.array_join("files", " | "))
+
+
+@query(
+    "rule_overlapping_periods",
+    f"""WITH {_FILES}, g AS (SELECT period FROM f GROUP BY period HAVING count(DISTINCT _source_file) > 1)
+      SELECT 'period_in_several_files' AS rule, 'snapshot' AS scope,
+        unnest(['WARN', 'ERROR']) AS severity, count(*) AS occurrences FROM g""",
+)
+def _(spark, sf):
+    repeated = periods_in_several_files(_in_files(spark, sf))
+    found = [r for used in (True, False) for r in rules.overlapping_periods(repeated, "snapshot", used)]
+    return rules.results_table(spark, found).select("rule", "scope", "severity", "occurrences")
 
 
 @query(
@@ -560,15 +572,16 @@ def _(spark, sf):
 
 
 # ------------------------------------------------------------------------------------ flows
-for _name, _short in {
+_SHORT = {
     "snapshot": "snap",
     "hires": "hire",
     "leavers": "leave",
     "movements": "move",
     "contractors": "terc",
     "budget": "budg",
-}.items():
-    query(f"{_name}_build", sql.flow(_short))(flows.flow_query(_name))
+}
+for _name in _SHORT:
+    query(f"{_name}_build", sql.flow(_SHORT[_name]))(flows.flow_query(_name))
 
 query("stack_labelled", sql.stacked())(flows.stack)
 query(
@@ -752,21 +765,23 @@ def _(spark, sf):
 
 @query(
     "rule_volume_change",
-    """WITH a AS (SELECT o_orderpriority AS label, count(*) FILTER (year(o_orderdate) = 1997) AS rows,
-        count(*) FILTER (year(o_orderdate) = 1995) AS before FROM orders GROUP BY 1)
+    """WITH a AS (SELECT l_returnflag AS label, count(*) FILTER (l_orderkey % 5 >= 2) AS rows,
+        count(*) FILTER (l_orderkey % 5 < 2) AS before FROM lineitem GROUP BY 1)
       SELECT label, rows, before, round((rows - before) / before::DOUBLE, 9) AS change FROM a
-      WHERE rows > 0 AND before > 0 AND abs((rows - before) / before::DOUBLE) > 0.01""",
+      WHERE rows > 0 AND before > 0 AND abs((rows - before) / before::DOUBLE) > 0.5""",
 )
 def _(spark, sf):
-    rows = orders(spark, sf)
+    """Every line item belongs to one of two runs."""
+    rows = load(spark, sf, "lineitem")
 
-    def volumes(year):
-        in_year = rows.filter(F.year("d") == year)
-        return in_year.groupBy(F.col("o_orderpriority").alias("label")).agg(
+    def volumes(which):
+        return rows.filter(which).groupBy(F.col("l_returnflag").alias("label")).agg(
             F.count(F.lit(1)).alias("rows")
         )
 
-    moved = rules.volume_change(volumes(1997), volumes(1995), "label", 0.01)
+    moved = rules.volume_change(
+        volumes("l_orderkey % 5 >= 2"), volumes("l_orderkey % 5 < 2"), "label", 0.5
+    )
     return moved.withColumn("change", F.round("change", 9))
 
 
@@ -785,7 +800,14 @@ def _(spark, sf):
           (SELECT DISTINCT c_mktsegment AS v FROM customer ORDER BY v LIMIT 3))
       UNION ALL SELECT 'MATRICULA', 'person_id', 'text', 'repeated', 1.0,
         (SELECT string_agg(v, ' | ' ORDER BY v) FROM
-          (SELECT DISTINCT c_name AS v FROM customer ORDER BY v LIMIT 3))""",
+          (SELECT DISTINCT c_name AS v FROM customer ORDER BY v LIMIT 3))
+      UNION ALL SELECT NULL, name, kind, 'missing', 0.0, '' FROM (VALUES """
+    + ", ".join(
+        f"('{c.name}', '{c.kind}')"
+        for c in PEOPLE_CONTRACT.columns
+        if c.name not in ("person_id", "cost_center")
+    )
+    + ") AS c(name, kind)",
 )
 def _(spark, sf):
     df = load(spark, sf, "customer").selectExpr(
@@ -797,7 +819,6 @@ def _(spark, sf):
     )
     return (
         profile_columns(df, PEOPLE_CONTRACT)
-        .filter("status <> 'missing'")
         .withColumn("fill_ratio", F.round("fill_ratio", 9))
         .withColumn("examples", F.array_join("examples", " | "))
         .drop("approx_distinct")
@@ -879,6 +900,23 @@ _CUSTOMERS = """SELECT c_custkey::VARCHAR AS person_id, c_name AS full_name,
 query("folder_with_mixed_headers", _CUSTOMERS)(files.mixed_headers)
 query("staged_folder", _CUSTOMERS)(files.staged_folder)
 query("parquet_folder", _CUSTOMERS)(files.parquet_folder)
+query(
+    "recursive_folder",
+    """SELECT c_custkey::VARCHAR AS person_id, (c_custkey % 2)::VARCHAR AS layout,
+      TRUE AS named, TRUE AS ordered, TRUE AS versioned FROM customer""",
+)(files.recursive_folder)
+query(
+    "staged_after_change",
+    """SELECT c_custkey::VARCHAR AS person_id,
+      c_name || CASE WHEN c_custkey % 2 = 0 THEN ' novo' ELSE '' END AS full_name FROM customer""",
+)(files.staged_after_change)
+query(
+    "workbook_folder",
+    """SELECT c_custkey::VARCHAR AS person_id, c_name AS full_name,
+      CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS directorate,
+      'clientes ' || (c_custkey // 500) || '.xlsx' AS _source_file,
+      CASE WHEN c_custkey % 2 = 0 THEN 'pares' ELSE 'outros' END AS _source_sheet FROM customer""",
+)(files.workbook_folder)
 query(
     "csv_round_trip",
     """SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate::DATE AS day,
@@ -891,4 +929,8 @@ query(
         WHERE "BASE" = 'MOVIMENTACOES'""",
 )(files.published_label)
 query("consolidated_run", sql.stacked(with_files=False, published=True))(files.consolidated_run)
-
+query("run_report", sql.report(_SHORT))(files.run_report)
+query(
+    "run_history",
+    f'SELECT "BASE", count(*) AS rows FROM ({sql.stacked(with_files=False)}) GROUP BY "BASE"',
+)(files.run_history)

@@ -130,9 +130,15 @@ LABEL_OF = {
 }
 
 
+_MARKS = {
+    **dict.fromkeys(("hire", "leave", "move"), ', found AS "_found_in_reference"'),
+    "terc": ', label AS "_row_label"',
+}
+
+
 def flow(name: str) -> str:
-    """One flow in contract order."""
-    return f"WITH {people()} SELECT {contract_columns(FILLED[name])} FROM {name}"
+    """One flow in contract order, with its marks."""
+    return f"WITH {people()} SELECT {contract_columns(FILLED[name])}{_MARKS.get(name, '')} FROM {name}"
 
 
 def stacked(with_files: bool = True, published: bool = False) -> str:
@@ -142,3 +148,39 @@ def stacked(with_files: bool = True, published: bool = False) -> str:
         for name, label in LABEL_OF.items()
     ]
     return f"WITH {people(with_files)} " + " UNION ALL ".join(parts)
+
+
+def report(flows: dict[str, str]) -> str:
+    """Outcomes of all rules of an unforced first run over all flows."""
+    passed = [(rule, flow) for flow in flows for rule in ("no_rows", "required")]
+    passed += [("unique_key", flow) for flow in flows if flow not in ("movements", "contractors")]
+    passed += [
+        ("unique_key", f"contractors/{label}-TERCEIROS") for label in ("QUADRO", "ADMITIDOS", "DEMITIDOS")
+    ]
+    passed += [("budget_periods", "budget"), ("output_contract", "consolidated")]
+    fine = ", ".join(f"('{rule}', '{scope}')" for rule, scope in passed)
+    return f"""WITH {people(with_files=False)},
+    event AS (
+      SELECT 'hires' AS scope, found, EXISTS (SELECT 1 FROM leave
+        WHERE leave.person_id = hire.person_id AND leave.period = hire.period) AS excluded FROM hire
+      UNION ALL SELECT 'leavers', found, coalesce(date_trunc('month', hire_date) = period, FALSE)
+        OR EXISTS (SELECT 1 FROM hire WHERE hire.person_id = leave.person_id
+          AND hire.period = leave.period) FROM leave
+      UNION ALL SELECT 'movements', found, FALSE FROM move),
+    covered AS (SELECT scope, count(*) AS n, count(*) FILTER (NOT found) AS lost
+      FROM event WHERE NOT excluded GROUP BY scope),
+    heads AS (SELECT period, count(DISTINCT person_id) AS headcount FROM snap GROUP BY period),
+    came AS (SELECT period, count(DISTINCT person_id) AS n FROM hire GROUP BY period),
+    went AS (SELECT period, count(DISTINCT person_id) AS n FROM leave GROUP BY period),
+    step AS (SELECT headcount, lag(headcount) OVER (ORDER BY period) + coalesce(came.n, 0)
+        - coalesce(went.n, 0) AS expected
+      FROM heads LEFT JOIN came USING (period) LEFT JOIN went USING (period)),
+    off AS (SELECT count(*) FILTER (headcount <> expected) AS n FROM step)
+    SELECT *, FALSE AS published FROM (
+      SELECT rule, scope, 'OK' AS severity, 0::BIGINT AS occurrences
+        FROM (VALUES {fine}) AS fine(rule, scope)
+      UNION ALL SELECT 'unclassified', 'contractors', 'ERROR', count(*) FROM terc WHERE label IS NULL
+      UNION ALL SELECT 'reference_coverage', scope,
+        CASE WHEN (n - lost) / n::DOUBLE >= 0.95 THEN 'OK' ELSE 'WARN' END, lost FROM covered
+      UNION ALL SELECT 'reconciliation', 'consolidated', CASE WHEN n = 0 THEN 'OK' ELSE 'WARN' END, n FROM off
+      UNION ALL SELECT 'volume_change', 'consolidated', 'INFO', 0)"""

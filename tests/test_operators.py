@@ -36,19 +36,17 @@ def rows(df, *order):
 
 # ------------------------------------------------------------------------------------- shape
 def test_rename_drops_unknown_headers_and_keeps_internal(spark, contract):
-    df = spark.createDataFrame([("1", "x", "1", "a")], ["Chapa", " Data de Admissão", "Lixo", "_f"])
-    assert rename_by_alias(df, contract).columns == ["person_id", "hire_date", "_f"]
-    assert rename_by_alias(df, contract, keep_extras=True).columns == [
-        "person_id",
-        "hire_date",
-        "Lixo",
-        "_f",
-    ]
+    df = spark.createDataFrame([("v", "w", "x", "y")], ["_at", "Ramal", "cód. seção ", "nome"])
+    headers = [c.name for c in contract.columns if "CODSECAO" in (c.published_name, *c.aliases)]
+    known = rename_by_alias(df.withColumnRenamed("cód. seção ", "CodSecao"), contract)
+    assert known.columns == ["_at", *headers, "full_name"]
+    kept = rename_by_alias(df, contract, keep_extras=True)
+    assert kept.columns[:2] == ["_at", "Ramal"] and kept.columns[-1] == "full_name"
 
 
 def test_rename_first_header_wins(spark, contract):
-    df = spark.createDataFrame([("1", "2", "3")], ["CHAPA", "MATRICULA", "chapa"])
-    assert rows(rename_by_alias(df, contract)) == [("1",)]
+    df = spark.createDataFrame([("first", "second", "third")], ["matricula", "Chapa", "MATRÍCULA"])
+    assert rows(rename_by_alias(df, contract)) == [("first",)]
 
 
 def test_clean_all_text_leaves_numbers(spark):
@@ -58,15 +56,16 @@ def test_clean_all_text_leaves_numbers(spark):
 
 def test_apply_types(spark, contract):
     df = spark.createDataFrame(
-        [("123", "01/02/2020", "12"), ("12345678901", None, "1.234,0")],
-        ["tax_id", "hire_date", "tenure_months"],
+        [("98765432100", "31-12-1999", "2.000,5"), ("42", "nada", "-3"), (None, None, None)],
+        "tax_id string, hire_date string, tenure_months string",
     )
     typed = apply_types(df, contract)
     assert rows(typed, "tax_id") == [
-        ("00000000123", date(2020, 2, 1), 12),
-        ("12345678901", None, 1234),
+        (None, None, None),
+        ("00000000042", None, -3),
+        ("98765432100", date(1999, 12, 31), 2000),
     ]
-    assert dict(typed.dtypes)["tenure_months"] == "bigint"
+    assert [kind for _, kind in typed.dtypes] == ["string", "date", "bigint"]
 
 
 def test_apply_types_on_typed_columns(spark):
@@ -187,35 +186,38 @@ def test_duplicates(spark):
 
 
 # ------------------------------------------------------------------------------------- joins
-REFERENCE = [
-    ("1", date(2026, 1, 1), "OLD", "G1"),
-    ("1", date(2026, 2, 1), "NEW", "G1b"),
-    ("2", date(2026, 2, 1), "CC2", "G2"),
+PLACES = [
+    ("k", date(2030, 5, 1), "Porto", "blue"),
+    ("k", date(2031, 5, 1), "Faro", "green"),
+    ("k", date(2029, 5, 1), "Braga", None),
+    ("m", date(2031, 5, 1), "Évora", "red"),
 ]
 
 
 @pytest.mark.parametrize(("hot_min_rows", "small_rows"), [(10**6, 100), (10**6, 0), (1, 0)])
 def test_fill_from_reference(spark, hot_min_rows, small_rows):
-    reference = spark.createDataFrame(REFERENCE, "person_id string, period date, cc string, boss string")
+    reference = spark.createDataFrame(PLACES, "id string, period date, place string, colour string")
     df = spark.createDataFrame(
-        [("1", None), ("2", "OWN"), ("3", None), (None, None), (None, "x")], "person_id string, cc string"
+        [("m", "here"), ("k", None), ("k", "there"), ("q", None), (None, "nowhere"), (None, None)],
+        "id string, place string",
     )
     out = fill_from_reference(
         df,
         reference,
-        ["person_id"],
+        ["id"],
         ignore=["period"],
         hot_min_rows=hot_min_rows,
         small_rows=small_rows,
     )
-    assert out.columns == ["person_id", "cc", "boss", FOUND]
+    assert out.columns == ["id", "place", "colour", FOUND]
     assert sorted(rows(out), key=str) == sorted(
         [
-            ("1", "NEW", "G1b", True),
-            ("2", "OWN", "G2", True),
-            ("3", None, None, False),
+            ("k", "Faro", "green", True),
+            ("k", "there", "green", True),
+            ("m", "here", "red", True),
+            ("q", None, None, False),
+            (None, "nowhere", None, False),
             (None, None, None, False),
-            (None, "x", None, False),
         ],
         key=str,
     )
@@ -223,15 +225,16 @@ def test_fill_from_reference(spark, hot_min_rows, small_rows):
 
 def test_fill_with_other_key_names(spark):
     reference = spark.createDataFrame(
-        [("01/04/2026_1", "Ana", date(2026, 4, 1)), ("01/05/2026_2", "Bia", date(2026, 5, 1))],
-        "month_key string, full_name string, period date",
-    )
-    df = spark.createDataFrame(
-        [("01/05/2026_1", "01/04/2026_1", None)],
-        "month_key string, prev_month_key string, full_name string",
+        [(10, "ten", date(2030, 1, 1)), (11, "eleven", date(2030, 1, 1))],
+        "here int, word string, period date",
     )
-    out = fill_from_reference(df, reference, ["prev_month_key"], ["month_key"], ignore=["period"])
-    assert rows(out.select("full_name", "month_key", FOUND)) == [("Ana", "01/05/2026_1", True)]
+    df = spark.range(10, 13).selectExpr("cast(id as int) as here", "cast(id - 1 as int) as before")
+    out = fill_from_reference(df, reference, ["before"], ["here"], ignore=["period"])
+    assert rows(out.select("here", "word", FOUND), "here") == [
+        (10, None, False),
+        (11, "ten", True),
+        (12, "eleven", True),
+    ]
 
 
 def test_fill_chosen_columns_and_nothing_to_fill(spark):

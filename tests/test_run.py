@@ -2,6 +2,7 @@
 
 import json
 import os
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -10,11 +11,21 @@ from pyspark.sql import functions as F
 
 from rosterloom.contract import ContractError
 from rosterloom.operators.stack import ROW_LABEL
-from rosterloom.plans import CheckLimits, ConfigError, Enrichment, JobConfig, RunError, Severity, run
+from rosterloom.plans import (
+    CheckLimits,
+    ConfigError,
+    Enrichment,
+    FlowConfig,
+    JobConfig,
+    RunError,
+    Severity,
+    run,
+)
 from rosterloom.plans import flows as people_flows
 from rosterloom.plans.config import PEOPLE_FLOWS
 from rosterloom.plans.job import flow_order, read_history
-from rosterloom.sources import PublishOptions, read_published
+from rosterloom.plans.rules import Check, outcome
+from rosterloom.sources import PublishOptions, Source, read_published
 
 ALL_LABELS = {
     "QUADRO",
@@ -93,6 +104,11 @@ def test_full_run(spark, folder, contract):
     sample = spark.read.parquet(f"{config.reports}/rule_samples").filter("rule = 'parse_failure'")
     assert json.loads(sample.first()["row"]) == {"birth_date": "31/02/1990"}
 
+    (summary,) = spark.read.parquet(f"{config.reports}/runs").collect()
+    assert summary["published"] and summary["seconds"] > 0 and summary["written"] == result.written
+    sizes = {r["flow"]: r["rows"] for r in spark.read.parquet(f"{config.reports}/run_flows").collect()}
+    assert sizes == {name: t.count() for name, t in result.tables.items()}
+
     # an unchanged second run reads nothing anew and finds stable volumes
     staged = f"{config.staging}/snapshot/manifest"
     before = sorted(os.listdir(staged))
@@ -133,8 +149,6 @@ def test_asking_for_a_flow_brings_the_snapshot(spark, folder):
 
 
 def test_published_names_follow_the_contract(spark, folder, contract):
-    from dataclasses import replace
-
     from rosterloom.contract import TableContract
 
     renamed = TableContract(
@@ -170,16 +184,12 @@ def test_contractors_who_left_are_keyed_by_period_and_name(spark, folder, monkey
     def same_name(*args):
         return usual.build(*args).withColumn("full_name", F.lit("Fulano de Tal"))
 
-    from dataclasses import replace
-
     monkeypatch.setitem(people_flows.FLOWS, "contractors", replace(usual, build=same_name))
     (r,) = rule(contractors(spark, folder), "duplicate_key")
     assert r.scope == "contractors/DEMITIDOS-TERCEIROS" and r.occurrences == 3
 
 
 def test_a_flow_that_makes_a_wrong_type_is_refused(spark, folder, monkeypatch):
-    from dataclasses import replace
-
     usual = people_flows.FLOWS["contractors"]
 
     def wrong(*args):
@@ -191,8 +201,6 @@ def test_a_flow_that_makes_a_wrong_type_is_refused(spark, folder, monkeypatch):
 
 
 def build(spark, rows, schema, **parameters):
-    from rosterloom.plans import FlowConfig
-
     df = spark.createDataFrame(rows, schema)
     config = FlowConfig(key=("period", "person_id"), parameters=parameters)
     return people_flows.build_snapshot(df, config, date(2026, 8, 15), {})
@@ -224,8 +232,6 @@ def test_snapshot_overlap_and_duplicates(spark):
 
 
 def test_budget_period_is_snapped_only_on_request(spark):
-    from rosterloom.plans import FlowConfig
-
     df = spark.createDataFrame([(date(2026, 5, 31),)], "period date")
     for snap, expected in ((False, date(2026, 5, 31)), (True, date(2026, 5, 1))):
         config = FlowConfig(parameters={"snap_period": snap})
@@ -256,3 +262,50 @@ def test_config_checks(tmp_path):
     assert config.label("snapshot") == "QUADRO" and not config.flow("snapshot").active
     assert config.flow("hires").enrich.keys == ("month_key",)
     assert ROW_LABEL not in config.contract.names
+
+
+def test_a_flow_of_ones_own(spark, folder, contract, monkeypatch):
+    """Another family of files: its rows are changed as read, it has its own check, key and rule."""
+    def without_tests(df, settings):
+        return df.filter("full_name <> 'Teste'")
+
+    def long_names(built):
+        return [Check("long_name", "full_name", Severity.WARN, F.length("full_name") > 6, "{n} long name(s)")]
+
+    def even(name, built):
+        return outcome("even", name, built.table.count() % 2, "odd number of rows", "even number of rows")
+
+    (folder / "interns").mkdir()
+    lines = ["CHAPA;NOME", "1;Rui", "2;Marcelino", "3;Teste", "3;Eva"]
+    (folder / "interns" / "all.csv").write_text("\n".join(lines))
+    monkeypatch.setitem(
+        people_flows.FLOWS,
+        "interns",
+        people_flows.Flow(
+            "interns", lambda df, *_: df, prepare=without_tests, checks=long_names, rules=even
+        ),
+    )
+    config = job(folder)
+    config = replace(
+        config,
+        flows={
+            **config.flows,
+            "interns": FlowConfig(Source(f"{folder}/interns/*.csv"), key=("person_id",)),
+        },
+    )
+    result = run(spark, config, ["interns"], REFERENCE)
+    found = {r.rule: (r.severity, r.occurrences) for r in result.results if r.scope == "interns"}
+    assert found["long_name"] == (Severity.WARN, 1) and found["even"] == (Severity.WARN, 1)
+    assert found["unique_key"] == (Severity.OK, 0)
+    rows = read_published(spark, config.output_path, contract, "BASE").collect()
+    assert {(r["BASE"], r["nome"]) for r in rows} == {("INTERNS", n) for n in ("Rui", "Marcelino", "Eva")}
+
+
+def test_flows_that_read_from_each_other_are_refused(tmp_path, monkeypatch):
+    for name, other in (("a", "b"), ("b", "a")):
+        monkeypatch.setitem(
+            people_flows.FLOWS, name, people_flows.Flow(name, lambda df, *_: df, depends_on=(other,))
+        )
+    config = JobConfig(output_path="x", flows={"a": FlowConfig(), "b": FlowConfig()})
+    with pytest.raises(RunError, match="each other"):
+        flow_order(["a"], config)
