@@ -24,7 +24,7 @@ from rosterloom.sources.folder import (
     wanted_columns,
 )
 
-#: Raise it when the way files are read changes, so that old staged copies are not used.
+#: Part of every fingerprint: a reader that understands files otherwise takes a new number and stages them anew.
 READER_VERSION = "1"
 FINGERPRINT = "file_fingerprint"
 #: Up to this many files are named in the partition filter itself.
