@@ -20,6 +20,8 @@ from rosterloom.llm.storage import stored
 from rosterloom.llm.text_arrays import Words, byte_set, grouped, mixed
 
 BUCKETS = 1 << 14
+#: Words whose vectors are in memory at a time (at most twice as many).
+_PIECE = 1 << 14
 DIMENSIONS = 32
 _NONZERO = 4
 _SHIFT = np.uint64(64 - BUCKETS.bit_length() + 1)
@@ -63,8 +65,10 @@ def _contexts(texts: Iterable[str | None], window: int = 2) -> np.ndarray:
     out = np.zeros(BUCKETS * DIMENSIONS)
 
     def add(target: np.ndarray, source: np.ndarray) -> None:
-        cells = (target[:, None] * DIMENSIONS + places[source]).reshape(-1)
-        out[:] += np.bincount(cells, signs[source].reshape(-1), minlength=len(out))
+        for begin in range(0, len(target), 4 * _PIECE):  # bounded memory, however long the text
+            to, of = target[begin : begin + 4 * _PIECE], source[begin : begin + 4 * _PIECE]
+            cells = (to[:, None] * DIMENSIONS + places[of]).reshape(-1)
+            out[:] += np.bincount(cells, signs[of].reshape(-1), minlength=len(out))
 
     for group in grouped(texts):
         b = _Buckets(group)
@@ -79,6 +83,24 @@ def _contexts(texts: Iterable[str | None], window: int = 2) -> np.ndarray:
     return out.reshape(BUCKETS, DIMENSIONS)
 
 
+def _pooled(vectors: np.ndarray, buckets: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the vectors of each text's words; whole texts, a bounded number of words at a time.
+
+    Texts are cut at multiples of `_PIECE` words from their own start, so a sum does not depend on the texts beside it.
+    """
+    out = np.zeros((len(first) - 1, vectors.shape[1]), np.float32)
+    pieces = -(-np.diff(first) // _PIECE)
+    owner = np.repeat(np.arange(len(pieces)), pieces)
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    starts = first[:-1][owner] + nth * _PIECE
+    ends = np.minimum(starts + _PIECE, first[1:][owner])
+    bounds = np.flatnonzero(np.diff(starts // _PIECE, prepend=-1)).tolist() + [len(starts)]
+    for low, high in zip(bounds, bounds[1:], strict=False):
+        a, z = starts[low], ends[high - 1]
+        np.add.at(out, owner[low:high], np.add.reduceat(vectors[buckets[a:z]], starts[low:high] - a))
+    return out
+
+
 def document_vectors(texts: Iterable[str | None], vectors: np.ndarray) -> Iterator[np.ndarray]:
     """For lists of texts in order: a row for each, of pooled word vectors, pooled shape vectors and ratios."""
     for group in grouped(texts):
@@ -91,7 +113,7 @@ def document_vectors(texts: Iterable[str | None], vectors: np.ndarray) -> Iterat
             size = n[some].astype(np.float32)
             doc = np.repeat(np.arange(len(group)), n)
             for at, buckets in ((0, b.word), (DIMENSIONS, b.shape)):
-                out[some, at : at + DIMENSIONS] = np.add.reduceat(vectors[buckets], begin) / size[:, None]
+                out[some, at : at + DIMENSIONS] = _pooled(vectors, buckets, b.first)[some] / size[:, None]
             distinct = np.unique(doc * BUCKETS + b.word)
             again = np.zeros(len(doc), np.float32)
             again[1:] = (b.word[1:] == b.word[:-1]) & (doc[1:] == doc[:-1])
