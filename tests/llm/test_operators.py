@@ -162,6 +162,37 @@ def test_repeated_runs_agree_with_brute_force():
     assert html_text.repeated(tokens, owner, 2).tolist() == want
 
 
+def test_repeats_are_counted_over_the_whole_host(spark):
+    """A notice on 10 % of the large pages of a large host goes as it does on a small host."""
+    notice = "this notice stands on some of the pages of the host and says nothing new"
+    random_ = random.Random(8)
+    words = ["".join(random_.choice("abcdefgh") for _ in range(6)) for _ in range(500)]
+    data = []
+    for i in range(60):
+        own = " ".join(random_.choice(words) for _ in range(6000))
+        shared = f"<p>{notice}</p>" if i % 10 == 0 else ""
+        data.append((i, "http://large.example/x", f"<p>own {i} {own}</p>{shared}<!--{'x' * 100_000}-->"))
+    data += [(100 + i, "http://two.example/x", f"<p>{notice} and the number {i}</p><p>own {i}</p>") for i in range(2)]
+    data += [(200 + i, "http://copies.example/x", f"<p>{notice}</p>") for i in range(4)]  # one page under four ids
+    data += [(300, "http://versions.example/x", f"<p>{notice}</p><p>own {i}</p>") for i in range(4)]  # four texts of one page
+    df = spark.createDataFrame(data, "page_id long, url string, html string").repartition(7)
+    got = rows(html_text.main_text(df), "page_id", "text")
+    assert len(got) == len(data)
+    assert [i for i, t in got if notice in t] == [100, 101, 200, 201, 202, 203, 300, 300, 300, 300]
+    assert all(t.startswith(f"own {i} ") for i, t in got if i < 60)
+
+
+def test_counted_runs_agree_with_the_suffix_order(spark):
+    random_ = random.Random(9)
+    lines_ = [" ".join(random_.choice("abc") for _ in range(random_.randrange(3, 15))) for _ in range(25)]
+    pages = ["".join(f"<p>{random_.choice(lines_)}</p>" for _ in range(random_.randrange(6))) for _ in range(40)]
+    pages += [f"<article>{pages[3]}</article>", f"<article>{pages[5]}</article>{pages[7]}"]
+    df = spark.createDataFrame([(i, "http://h.example/", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    want = html_text.main_texts(pages)
+    assert [t for _, t in rows(html_text.main_text(df), "page_id", "text")] == [t for _, t in sorted(enumerate(want), key=repr)]
+    assert any(want) and any(len(t) < len(" ".join(re.findall("[abc ]+", p))) / 2 for t, p in zip(want, pages, strict=True))
+
+
 # 5 and 9: classifiers
 
 
