@@ -193,6 +193,31 @@ def test_counted_runs_agree_with_the_suffix_order(spark):
     assert any(want) and any(len(t) < len(" ".join(re.findall("[abc ]+", p))) / 2 for t, p in zip(want, pages, strict=True))
 
 
+@pytest.mark.parametrize("kept", [
+    "<h2 id='search-and-rescue'>T</h2>", "<section id='related-work'><p>T</p></section>", "<h1 class='header'>T</h1>",
+    "<p id='notice-period'>T</p>", "<div class='alert-levels'>T</div>", "<p title='a hidden gem'>T</p>",
+    "<div class='header'><h1>T</h1>by me</div>", "<header><h2 id='notice'>T</h2>by me</header>", "<math><mi>T</mi></math>",
+    "<section aria-label='comments on the text'>T</section>",
+])
+def test_text_of_an_article_stays(kept):
+    assert html_text.main_texts([f"<article>{kept}<p>end</article>"]) == ["T\nend"]
+
+
+@pytest.mark.parametrize("gone", [
+    "<div class='x Ad'>T</div>", "<div role=search>T</div>", "<ul class=breadcrumbs><li>T</ul>", "<form>T</form>",
+    "<p class='notice'>T</p>", "<h2 hidden>T</h2>", "<h3 role='banner'>T</h3>", "<header><div class='share'><h2>T</h2></div></header>",
+])
+def test_furniture_in_an_article_goes(gone):
+    assert html_text.main_texts([f"<article>{gone}<p>end</article>"]) == ["end"]
+
+
+def test_quotes_open_values_only_after_equals_signs():
+    assert html_text.main_texts(["<article><p data-x=don't>Real text here. It's good.</p>"]) == ["Real text here. It's good."]
+    assert html_text.main_texts(["<article><p a='x>y' b = \"c>d\" e=f=\"g>One <b it's>two</b> isn't <i =>x</i>"]) == ["One two isn't x"]
+    assert html_text.main_texts(["<article><p>x + y = <math><mi>x</mi><mo>+</mo><mn>1</mn></math> holds"]) == ["x + y = x+1 holds"]
+    assert html_text.main_texts(["<article><p " + "a=b'c " * 30_000]) != [None]  # in linear time
+
+
 # 5 and 9: classifiers
 
 
