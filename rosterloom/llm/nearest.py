@@ -141,7 +141,7 @@ def _link_back(graph: Graph, new: np.ndarray, degree: int, relaxed: float) -> No
 def shard_nearest(
     ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, beam: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query_id, vec_id, score) of up to `k` best found for each query, without the query's own id."""
+    """(place of the query, vec_id, score) of up to `k` best found for each query, without the query's own id."""
     order = np.argsort(ids, kind="stable")
     ids, vectors = ids[order], vectors[order]
     # Equal vectors are one point of the graph; its ids ascend.
@@ -149,6 +149,7 @@ def shard_nearest(
     point_of = point_of.reshape(-1)
     members = np.argsort(point_of, kind="stable")
     at = np.concatenate(([0], np.cumsum(np.bincount(point_of, minlength=len(distinct)))))
+    member_ids = ids[members]
     squared = (distinct * distinct).sum(axis=1)
     lift = np.sqrt(np.maximum(squared.max() - squared, 0))
     # Points join in an order that has nothing to do with their values.
@@ -165,15 +166,29 @@ def shard_nearest(
             q = begin + row
             near = shuffled[near[near >= 0]]
             score = distinct[near] @ queries[q]
-            best = np.lexsort((near, -score))[: k + 1]
-            own = [members[at[p] : min(at[p + 1], at[p] + k + 1)] for p in near[best]]
-            which = np.concatenate(own) if own else np.zeros(0, np.int64)
-            value = np.repeat(score[best], [len(o) for o in own])
-            keep = ids[which] != query_ids[q]
-            which, value = which[keep], value[keep]
-            top = np.lexsort((ids[which], -value))[:k]
-            out.append((np.full(len(top), query_ids[q]), ids[which[top]], value[top]))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (ids[:0], ids[:0], np.zeros(0))
+            own = query_ids[q]
+            least = member_ids[at[near]]  # the smallest id of each point but the query's own
+            other = np.ones(len(near), bool)
+            for j in np.flatnonzero(least == own):
+                here = member_ids[at[near[j]] : at[near[j] + 1]]
+                after = np.searchsorted(here, own, "right")
+                other[j] = after < len(here)
+                least[j] = here[after] if other[j] else own
+            near, score, least = near[other], score[other], least[other]
+            best = np.lexsort((least, -score))[:k]
+            which = [_first_others(member_ids, at[p], at[p + 1], own, k) for p in near[best]]
+            value = np.repeat(score[best], [len(w) for w in which])
+            which = np.concatenate(which) if which else np.zeros(0, np.int64)
+            top = np.lexsort((member_ids[which], -value))[:k]
+            out.append((np.full(len(top), q), member_ids[which[top]], value[top]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), ids[:0], np.zeros(0))
+
+
+def _first_others(ids: np.ndarray, begin: int, end: int, own: int, k: int) -> np.ndarray:
+    """Places of the first `k` ids but `own` in ids[begin:end], which ascend."""
+    lo, hi = begin + np.searchsorted(ids[begin:end], own), begin + np.searchsorted(ids[begin:end], own, "right")
+    before = np.arange(begin, min(lo, begin + k))
+    return np.append(before, np.arange(hi, min(end, hi + k - len(before))))
 
 
 def _usable(vector: Column) -> Column:
@@ -185,7 +200,10 @@ def _usable(vector: Column) -> Column:
 def nearest(
     vectors: DataFrame, queries: DataFrame, k: int = 20, shard: int = 4096, block: int = 1 << 16, beam: int = 128
 ) -> DataFrame:
-    """query_id, rank, vec_id and score of the `k` nearest found for each row of `queries`, by inner product.
+    """query_id, rank, vec_id and score of the `k` nearest found for each query, by inner product.
+
+    Queries are the distinct (vec_id, vector) of `queries`, ranked each by itself: repeated rows are answered once, and an
+    id with several vectors has ranks for each.
 
     Both tables have vec_id and embedding. A query's own id is no candidate. Vectors that are null, zero or hold null or
     non-finite components take no part, nor do rows without vec_id; a query without usable vector has no rows. Scores are
@@ -198,30 +216,35 @@ def nearest(
         cast = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
         return cast.where(F.col("vec_id").isNotNull() & _usable(F.col("v"))).withColumn("size", F.size("v"))
 
-    base, asked = stored(clean(vectors), "vectors"), stored(clean(queries), "queries")
+    base, asked = stored(clean(vectors), "vectors"), stored(clean(queries).distinct(), "queries")
     shards = max(1, -(-base.count() // shard))
     blocks = max(1, -(-asked.count() // block))
     dealt = base.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int")).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     )
-    meeting = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).withColumn(
-        "shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
+    meeting = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int")).withColumns(
+        {"query": F.xxhash64("v"), "shard": F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))}
     )
 
     def search(points: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         if not len(points) or not len(wanted):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
+            return pd.DataFrame({"query_id": [], "query": [], "vec_id": [], "score": []}).astype(
+                {"query_id": "int64", "query": "int64", "vec_id": "int64"}
+            )
         q, p, s = shard_nearest(
             points["vec_id"].to_numpy(np.int64), np.stack(points["v"].to_numpy()),
             wanted["vec_id"].to_numpy(np.int64), np.stack(wanted["v"].to_numpy()), k, beam,
         )
-        return pd.DataFrame({"query_id": q, "vec_id": p, "score": s})
+        asked_ = wanted.iloc[q]
+        return pd.DataFrame({"query_id": asked_["vec_id"].to_numpy(), "query": asked_["query"].to_numpy(), "vec_id": p, "score": s})
 
     keys = ["size", "shard", "block"]
     found = (
-        dealt.groupBy(*keys).cogroup(meeting.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score double")
+        dealt.groupBy(*keys).cogroup(meeting.groupBy(*keys)).applyInPandas(
+            search, "query_id long, query long, vec_id long, score double"
+        )
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)

@@ -122,6 +122,27 @@ def test_nearest_finds_most_of_what_brute_force_finds(spark):
     assert rows(few, "rank") == [(1,), (2,), (3,), (4,)]
 
 
+def test_repeated_queries_keep_their_neighbours(spark):
+    random_ = np.random.default_rng(4)
+    v = random_.normal(size=(60, 4)).round(2)
+    v[30:45] = v[30]
+    data = [(i, [float(x) for x in row]) for i, row in enumerate(v)] + [(20, [1.0, 2.0, -1.0, 0.5])]
+    data += [(0, data[0][1])] * 30 + [(40, data[40][1])] * 9
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = nearest.nearest(df, df.where("vec_id % 20 = 0"), k=5, shard=50)
+    want = []
+    for q, vector in {(i, tuple(x)) for i, x in data if i % 20 == 0}:
+        scored = sorted((-sum(a * b for a, b in zip(vector, x, strict=True)), i) for i, x in data if i != q)[:5]
+        want += [(q, rank + 1, i, round(-score, 9)) for rank, (score, i) in enumerate(scored)]
+    assert rows(got.withColumn("score", F.round("score", 9)), "query_id", "rank", "vec_id", "score") == sorted(want, key=repr)
+
+
+def test_ties_within_a_shard_go_to_the_smaller_id():
+    vectors = np.array([[1.0, float(y)] for y in range(40)])  # all score the same for the query, sorted against their ids
+    place, ids, score = nearest.shard_nearest(np.arange(40)[::-1], vectors, np.array([0]), np.array([[1.0, 0.0]]), 5, 64)
+    assert ids.tolist() == [1, 2, 3, 4, 5] and place.tolist() == [0] * 5 and set(score) == {1.0}
+
+
 # 4: pages
 
 PAGE = (
