@@ -31,9 +31,9 @@ def with_kept_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) ->
 
     Lines end at line feeds; null and empty texts are one empty line. A key of at least `min_chars` code points that
     occurs in at least `min_docs` documents loses all its lines except in the largest doc_id that holds it; if that
-    document repeats the line, all its copies stay. Rows count as documents of their own even if they repeat a doc_id,
-    and those that share the largest one all keep the line. Rows without a doc_id count, and lose their shared lines
-    unless no row with the line has a doc_id. Columns of `docs` stay, whatever their names; `lines` gets underscores if
+    document repeats the line, all its copies stay. Rows that repeat a doc_id count as one document, and those that share
+    the largest one all keep the line. Rows without a doc_id count as a document each, and lose their shared lines unless
+    no row with the line has a doc_id. Columns of `docs` stay, whatever their names; `lines` gets underscores if
     the name is taken. An empty table gives no rows.
     """
     doc = unused(docs, "line_doc")
@@ -46,7 +46,9 @@ def with_kept_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) ->
         "lines",
     )
     # Written first: both sides of the join below are then plain shuffles, whose hot partitions Spark can split.
-    counted = held.groupBy("x", "y").agg(F.count("*").alias("n"), F.max(doc).alias("keeper"))
+    counted = held.groupBy("x", "y").agg(
+        (F.count_distinct(doc) + F.count_if(F.col(doc).isNull())).alias("n"), F.max(doc).alias("keeper")
+    )
     shared = stored(counted.where(F.col("n") >= min_docs).select("x", "y", "keeper"), "shared-lines")
     losses = (
         held.join(shared, ["x", "y"])

@@ -91,6 +91,15 @@ def test_line_dedup(spark, edge_docs, no_docs):
     assert lines.with_kept_lines(no_docs).count() == 0
 
 
+def test_repeated_rows_are_one_document(spark):
+    line = "a line that is long enough to count"
+    df = lambda *ids: spark.createDataFrame([(i, f"{line}\nown") for i in ids], "doc_id long, text string")
+    assert rows(lines.line_digest(df(5, 5, 6)), "doc_id", "n_dropped") == [(5, 0), (5, 0), (6, 0)]
+    assert rows(lines.line_digest(df(5, 5, 6, 7)), "doc_id", "n_dropped") == [(5, 1), (5, 1), (6, 1), (7, 0)]
+    assert rows(lines.line_digest(df(5, None, None)), "doc_id", "n_dropped") == [(5, 0), (None, 1), (None, 1)]
+    assert rows(lines.line_digest(df(5, 5, None)), "doc_id", "n_dropped") == [(5, 0), (5, 0), (None, 0)]
+
+
 def test_a_line_in_most_documents_is_kept_once(spark):
     docs = spark.range(500).select(F.col("id").alias("doc_id"), F.concat(F.lit("  A Line That Many Share \nown "), "id").alias("text"))
     got = lines.line_digest(docs)
