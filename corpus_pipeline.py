@@ -26,11 +26,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; rows without an id all stay."""
-    found = simhash.near_duplicates(docs)
-    other = unused(docs, "other_id")
-    copies = found.where(F.col("doc_id") > F.col("component_id")).select(F.col("doc_id").alias(other)).distinct()
-    return docs.join(copies, docs["doc_id"] == copies[other], "left_anti")
+    """One row of each group of near duplicates: the smallest id, ties by a hash of the text, rows without an id last."""
+    return simhash.without_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

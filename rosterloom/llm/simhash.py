@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterloom.llm.storage import stored
+from rosterloom.llm.storage import stored, unused
 
 PARTS = 5
 _EDGES = "a long, b long"
@@ -219,6 +219,37 @@ def contracted(edges: DataFrame) -> DataFrame:
     return now
 
 
+def rooted(classes: DataFrame, radius: int = 2) -> DataFrame:
+    """`classes`, which has distinct longs `fp`, with `root`: the fingerprint that stands for its group."""
+    classes = stored(classes, "fingerprint-classes")
+    roots = contracted(linked(classes.select("fp"), radius)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
+    return classes.join(roots, "fp", "left").select(*classes.columns, F.coalesce("root", "fp").alias("root"))
+
+
+def without_near_duplicates(docs: DataFrame, radius: int = 2) -> DataFrame:
+    """One row of each group of near duplicates: that with the smallest doc_id, ties by a hash of the text, nulls last.
+
+    Groups are of rows, not of ids: a doc_id that repeats with another text stays with it if that text is the first of
+    its group. Columns of `docs` stay. Only ids and hashes are shuffled to find the rows; texts are joined once.
+    """
+    key = ["i", "x", "y"]
+    id_, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    codes = [id_.alias("i"), F.xxhash64(text).alias("x"), F.xxhash64(F.lit(1), text).alias("y")]
+    marked = stored(docs.select(*codes, fingerprints(text).alias("fp")), "fingerprints")
+    named = stored(rooted(marked.select("fp").distinct(), radius), "fingerprint-groups")
+    # Equal texts have one fingerprint, so a key is in one group.
+    members = stored(marked.groupBy(*key, "fp").agg(F.count("*").alias("n")).join(named, "fp").select(*key, "n", "root"), "group-rows")
+    first = F.min(F.struct(F.col("i").isNull().alias("none"), *key)).alias("first")
+    firsts = stored(members.groupBy("root").agg(first), "group-firsts")
+    is_first = F.col("i").eqNullSafe(F.col("first.i")) & (F.col("x") == F.col("first.x")) & (F.col("y") == F.col("first.y"))
+    judged = members.join(firsts, "root").withColumn("stays", is_first).where("not stays or n > 1")
+    mark = unused(docs, "mark")
+    marks = stored(judged.select(F.struct(*key).alias("key"), F.col("stays").alias(mark)), "marks")
+    joined = docs.join(marks, F.struct(*codes) == marks["key"], "left")
+    once = joined.where(F.col(mark)).dropDuplicates(["key"])  # rows that agree in doc_id and text
+    return joined.where(F.col(mark).isNull()).select(*[docs[c] for c in docs.columns]).union(once.select(*[docs[c] for c in docs.columns]))
+
+
 def near_duplicates(docs: DataFrame, radius: int = 2) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id for every row of `docs` (doc_id, text).
 
@@ -230,11 +261,7 @@ def near_duplicates(docs: DataFrame, radius: int = 2) -> DataFrame:
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), fingerprints(F.col("text").cast("string")).alias("fp")),
         "fingerprints",
     )
-    classes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-classes")
-    roots = contracted(linked(classes.select("fp"), radius)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
-    named = classes.join(roots, "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    named = rooted(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), radius)
     groups = named.groupBy("root").agg(F.min("least").alias("component_id"))
     members = stored(named.join(groups, "root").select("fp", "component_id"), "fingerprint-groups")
     return marked.join(members, "fp").select(

@@ -1,5 +1,8 @@
+from collections import defaultdict
+
 import pytest
 from oracle import connect, difference
+from test_operators import brute_fingerprint, components
 
 import corpus_pipeline
 from rosterloom.llm.queries import ORACLE, QUERIES
@@ -41,3 +44,35 @@ def test_stages_take_effect(spark):
         counts.append(docs.count())
     assert counts == sorted(counts, reverse=True) and counts[-1] < counts[0]
     assert corpus_pipeline.run(spark, SMALL).count() == counts[-1]
+
+
+def test_one_row_of_each_group_of_near_duplicates_stays(spark):
+    """Compared with brute force over rows with repeated ids and without ids."""
+    text = lambda n: " ".join(f"w{n}x{k * k * (n + 3)}" for k in range(30))
+    data = [
+        (1, text(1)), (2, text(1)), (2, text(2)),  # one row of 2 is a copy, the other has a text of its own
+        (3, text(3)), (3, text(3)), (3, text(3).upper()), (4, text(3)),  # the smallest id three times
+        (None, text(4)), (None, text(4)), (None, text(4).upper()),  # no ids
+        (None, text(5)), (9, text(5)), (10, ""), (11, None), (None, None), (12, text(6)),
+    ]
+    df = spark.createDataFrame([(i, t, 1, "m") for i, t in data], "doc_id long, text string, i int, mark string").repartition(5)
+    got = corpus_pipeline.near_dedup(spark, df, SMALL)
+    assert got.columns == df.columns
+    kept = sorted(((r["doc_id"], brute_fingerprint(r["text"])) for r in got.collect()), key=repr)
+    groups = defaultdict(list)
+    values = [brute_fingerprint(t) for _, t in data]
+    for label, (i, _), value in zip(components(values), data, values, strict=True):
+        groups[label].append((i is None, i or 0, i, value))
+    assert kept == sorted((min(g)[2:] for g in groups.values()), key=repr)
+    again = corpus_pipeline.near_dedup(spark, df.union(df), SMALL)
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, got.collect()))
+
+
+def test_line_and_near_dedup_agree_with_brute_force(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(120)
+    docs = stored(docs.union(docs.where("doc_id % 3 = 0")), "repeated")
+    kept = stored(corpus_pipeline.line_dedup(spark, docs, SMALL), "kept")
+    values = [tuple(r) for r in kept.select("doc_id", "text").collect()]
+    label = components([brute_fingerprint(t) for _, t in values])
+    want = sorted(min(i for (i, _), b in zip(values, label, strict=True) if b == a) for a in set(label))
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, kept, SMALL).collect()) == want
