@@ -41,12 +41,19 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def plain_number(value: Column) -> Column:
-    """A double as text without an exponent, if its size is between 1e-18 and 1e38."""
+    """A double as text without an exponent, if its size is between 1e-18 and 1e38; every digit stays."""
     text = value.cast("string")
-    small = F.rtrim(text.try_cast("decimal(38,18)").cast("string"), F.lit("0"))
-    large = text.try_cast("decimal(38,0)").cast("string")
-    plain = F.when(F.abs(value) >= 1e20, large).otherwise(F.regexp_replace(small, r"\.$", ".0"))
-    return F.when(text.contains("E") & (F.abs(value) >= 1e-18), F.coalesce(plain, text)).otherwise(text)
+    part = lambda k: F.regexp_extract(text, r"^(-?)(\d)\.(\d+)E(-?\d+)$", k)
+    digits = F.concat(part(2), F.rtrim(part(3), F.lit("0")))
+    power = part(4).try_cast("int")
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    padded = F.rpad(digits, F.greatest(F.length(digits), power + 1), "0")
+    whole = F.substring(padded, F.lit(1), power + 1)
+    rest = F.substring(padded, power + 2, F.length(padded))
+    large = F.when(power >= 20, whole).otherwise(F.concat(whole, F.lit("."), F.when(rest == "", "0").otherwise(rest)))
+    plain = F.concat(part(1), F.when(power < 0, small).otherwise(large))
+    within = (F.abs(value) >= 1e-18) & (F.abs(value) < 1e38)
+    return F.when(text.contains("E") & within, plain).otherwise(text)
 
 
 def write_csv(df: DataFrame, path: str, options: PublishOptions = PublishOptions()) -> None:

@@ -85,6 +85,20 @@ def test_keys_are_not_narrowed(spark, kind, values):
         assert sorted(map(tuple, got.collect())) == [(1, None), (2, "hit")]
 
 
+def test_numbers_keep_every_digit(spark):
+    values = {
+        1.2345678901234566e-7: "0.00000012345678901234566", 1.5e-18: "0.0000000000000000015", -9.87654321e-4: "-0.000987654321",
+        1.2345678901234567e15: "1234567890123456.8", -1.5e7: "-15000000.0", 1.2345678901234566e25: "12345678901234566" + "0" * 9,
+        123456789012.5: "123456789012.5", 1.5e-19: "1.5E-19", 1e38: "1.0E38", 1.25e19: "12500000000000000000.0",
+    }
+    more = [(k * 7919 + 1) / 3 * 10.0 ** (k % 54 - 17) * (-1) ** k for k in range(500)]
+    df = spark.createDataFrame([(v,) for v in [*values, *more]], "x double").select("x", plain_number(F.col("x")).alias("t"))
+    got = dict(map(tuple, df.collect()))
+    assert {v: got[v] for v in values} == values
+    assert all(float(t) == v for v, t in got.items()) and all("E" not in got[v] for v in more if 1e-18 <= abs(v) < 1e38)
+    assert spark.createDataFrame([(float("nan"),), (None,), (float("-inf"),)], "x double").select(plain_number(F.col("x"))).count() == 3
+
+
 def test_numbers_are_written_plainly(spark):
     values = {12345678.9: "12345678.9", 0.0001: "0.0001", 1e22: "1" + "0" * 22, -2.5e-7: "-0.00000025", 3.0: "3.0", 1e7: "10000000.0"}
     df = spark.createDataFrame([(v,) for v in values], "x double").select("x", plain_number(F.col("x")).alias("t"))
