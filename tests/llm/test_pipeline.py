@@ -2,7 +2,7 @@ from collections import defaultdict
 
 import pytest
 from oracle import connect, difference
-from test_operators import brute_fingerprint, components
+from test_llm_operators import brute_fingerprint, components
 
 import corpus_pipeline
 from rosterloom.llm.queries import ORACLE, QUERIES
