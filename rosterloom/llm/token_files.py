@@ -152,8 +152,13 @@ class TextEncoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values()):
+            raise ValueError("added tokens that look at what stands around them are not supported")
+        self.added = {t.content: np.array([k], "<u4").tobytes() for k, t in added.items()}
+        # The longest first, as the library matches them.
+        self.cut = re.compile(f"({'|'.join(map(re.escape, sorted(self.added, key=len, reverse=True)))})") if added else None
         self.limit = limit
         self.letters = _byte_letters()
 
@@ -169,8 +174,15 @@ class TextEncoder(dict):
         return coded
 
     def ids(self, text: str | None) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        return b"".join(map(self.__getitem__, _PIECE.findall(text))) if text else b""
+        """Little-endian unsigned 32-bit ids; strings of added tokens in the text are those tokens."""
+        if not text:
+            return b""
+        if not any(map(text.__contains__, self.added)):
+            return b"".join(map(self.__getitem__, _PIECE.findall(text)))
+        return b"".join(
+            self.added[part] if k % 2 else b"".join(map(self.__getitem__, _PIECE.findall(part)))
+            for k, part in enumerate(self.cut.split(text))
+        )
 
 
 _ENCODERS: dict[str, TextEncoder] = {}  # one for each file, kept while the worker lives
