@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterloom.llm import decontamination, html_text, language, lines, nearest, pieces, pseudonyms, quality, simhash, token_files
+from rosterloom.llm import (
+    conversations,
+    decontamination,
+    html_text,
+    language,
+    lines,
+    nearest,
+    pieces,
+    pseudonyms,
+    quality,
+    simhash,
+    token_files,
+)
 from rosterloom.llm.storage import table
 
 #: Where the public tokenizers are on every machine; their files are parameters of the operators.
@@ -63,11 +75,16 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digest(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired_after_damage(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_simple8b, op2_line_dedup, op3_graph_nearest, op4_main_text, op5_quality, op6_pseudonyms,
         op7_decontamination, op8_simhash, op9_language, op10_pieces,
+        op12_conversation_repair,
     )
 }
 
