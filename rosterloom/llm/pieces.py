@@ -3,6 +3,8 @@
 Pieces never cross the beginning of a word (a run of spaces and what follows), nor a line feed, so the distinct words of
 a batch are segmented once each. Words of equal length advance together: at every end position, hashes of all substrings
 of a length probe the sorted hashes of the pieces of that length, and maxima over lengths are kept with backpointers.
+A word without equals in length (a line of Han, an encoded file) is probed at all its positions at once instead, and only
+what matched is walked through.
 Characters without a piece of their own fall back to the pieces of their bytes.
 
 A vocabulary trained by merges carries merge ranks as scores; the best sum of scores then cuts some words otherwise than
@@ -20,25 +22,22 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterloom.llm.text_arrays import _POWERS, mixed
+from rosterloom.llm.text_arrays import _POWERS, byte_sums, give_back, mixed, stretch_hashes
 
 _SPACE = 0xFF  # stands for the space mark U+2581 inside this module; no UTF-8 text has this byte
 _MARK = "▁"
 _PENALTY = 10.0
+#: Words of more bytes than this are segmented one by one: all matches of a stretch are probed at once, then walked through.
+_LONG = 96
+_STRETCH = 1 << 15
+#: Bytes of words that are segmented together.
+_TOGETHER = 1 << 19
 
 
 def _hash(sums: np.ndarray, begin: np.ndarray | int, end: np.ndarray | int, down: np.ndarray) -> np.ndarray:
     return mixed((sums[..., end] - sums[..., begin]) * down[begin])
 
 
-def _sums(data: np.ndarray) -> np.ndarray:
-    """Sums from which hashes of substrings follow, along the last axis."""
-    up, _ = _POWERS.to(data.shape[-1] + 1)
-    out = np.zeros((*data.shape[:-1], data.shape[-1] + 1), np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:-1], axis=-1, out=out[..., 1:])
-    return out
-
-
 class Pieces:
     """The pieces of a model file, ready for probing."""
 
@@ -61,7 +60,7 @@ class Pieces:
         for length in sorted({len(p) for p in raw if p}, reverse=True):
             ids = np.array([k for k, p in enumerate(raw) if len(p) == length])
             data = np.frombuffer(b"".join(raw[k] for k in ids), np.uint8).reshape(len(ids), length)
-            keys = _hash(_sums(data), 0, length, down)
+            keys = _hash(byte_sums(data), 0, length, down)
             order = np.argsort(keys)
             score = np.array([vocabulary[k][1] for k in ids])
             self.by_length.append((length, keys[order], ids[order], score[order]))
@@ -79,7 +78,7 @@ class Pieces:
     def _segment(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For words of one length (a row each): piece ids in order, and how many each word has."""
         m, n = words.shape
-        sums = _sums(words)
+        sums = byte_sums(words)
         _, down = _POWERS.to(n + 1)
         best = np.full((m, n + 1), -np.inf)
         best[:, 0] = 0
@@ -120,6 +119,80 @@ class Pieces:
         used = table >= 0
         return table[used], used.sum(axis=1)
 
+    def _segment_long(self, word: np.ndarray) -> np.ndarray:
+        """Piece ids of one long word, in order: the same choice as `_segment`, a stretch of ends at a time."""
+        n = len(word)
+        piece, step = self.byte_ids[word].astype(np.int32), np.ones(n, np.uint16)
+        longest = self.by_length[0][0] if self.by_length else 1
+        keep = max(longest, 4)
+        follows = (word & 0xC0) == 0x80
+        best, origin = [0.0], 0  # best[k] is the largest sum up to the byte origin + k
+        begun = 0
+        for low in range(0, n, _STRETCH):
+            high = min(n, low + _STRETCH)
+            ends, ids, scores = self._matches(word, low, high)
+            lengths = ids[1]
+            turn = np.searchsorted(ends, np.arange(low + 1, high + 2)).tolist()
+            whole = (~np.append(follows[low + 1 : high], follows[high] if high < n else False)).tolist()
+            starts_here = (~follows[low:high]).tolist()
+            lengths, named, scores = lengths.tolist(), ids[0].tolist(), scores.tolist()
+            here_piece, here_step, changed = [], [], []
+            for k in range(high - low):
+                end = low + k + 1
+                if starts_here[k]:
+                    begun = end - 1
+                here, chosen, size, alone = -np.inf, -1, 1, False
+                for m in range(turn[k], turn[k + 1]):
+                    length = lengths[m]
+                    value = best[end - length - origin] + scores[m]
+                    if value > here:
+                        here, chosen, size = value, named[m], length
+                    alone = alone or end - length == begun
+                if not alone and whole[k]:
+                    value = best[begun - origin] + self.unknown
+                    if value > here:
+                        here, chosen = value, -1
+                best.append(here)
+                if chosen >= 0:
+                    changed.append(end - 1)
+                    here_piece.append(chosen)
+                    here_step.append(size)
+            piece[changed], step[changed] = here_piece, here_step
+            if len(best) > keep + 1:
+                origin += len(best) - keep - 1
+                best = best[-keep - 1 :]
+        found, at, piece_of, step_of = [], n, memoryview(piece), memoryview(step)
+        while at > 0:
+            found.append(piece_of[at - 1])
+            at -= step_of[at - 1]
+        return np.array(found[::-1], np.int64)
+
+    def _matches(self, word: np.ndarray, low: int, high: int) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray], np.ndarray]:
+        """Ends (low < end <= high), ids and lengths, and scores of all pieces in the word; by end, longer pieces first."""
+        longest = self.by_length[0][0] if self.by_length else 1
+        begin = max(0, low - longest + 1)
+        sums = byte_sums(word[begin:high])
+        _, down = _POWERS.to(len(sums))
+        all_ends, all_ids, all_lengths, all_scores = ([] for _ in range(4))
+        for length, keys, ids, score in self.by_length:
+            ends = np.arange(max(low + 1, length), high + 1)
+            if not len(ends):
+                continue
+            h = _hash(sums, ends - length - begin, ends - begin, down)
+            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+            known = np.flatnonzero(keys[at] == h)
+            all_ends.append(ends[known])
+            all_ids.append(ids[at[known]])
+            all_lengths.append(np.full(len(known), length))
+            all_scores.append(score[at[known]])
+        if not all_ends:
+            none = np.zeros(0, np.int64)
+            return none, (none, none), none
+        ends = np.concatenate(all_ends)
+        order = np.argsort(ends, kind="stable")
+        pick = lambda parts: np.concatenate(parts)[order]
+        return ends[order], (pick(all_ids), pick(all_lengths)), pick(all_scores)
+
     def _plain(self, text: str | None) -> bytes:
         raw = (text or "").replace(_MARK, " ").encode()
         return (b" " + raw if raw and self.dummy_prefix else raw).replace(b" ", b"\xff")
@@ -140,17 +213,23 @@ class Pieces:
         cut[text_at] = True
         edges = np.flatnonzero(cut)
         starts, ends = edges[:-1], edges[1:]
-        _, down = _POWERS.to(len(data) + 1)
         # Word hashes, told apart by length as well.
-        key = _hash(_sums(data), starts, ends, down) ^ (ends - starts).astype(np.uint64)
+        key = stretch_hashes(data, starts, ends) ^ (ends - starts).astype(np.uint64)
         _, first, which = np.unique(key, return_index=True, return_inverse=True)
         begin, size = starts[first], ends[first] - starts[first]
         counts = np.zeros(len(first), np.int64)
         parts, owners = [], []
         for n in np.unique(size).tolist():
             rows = np.flatnonzero(size == n)
-            for k in range(0, len(rows), max(1, (1 << 20) // n)):  # bounded memory
-                some = rows[k : k + max(1, (1 << 20) // n)]
+            if n > _LONG:
+                for row in rows:
+                    ids = self._segment_long(data[begin[row] : begin[row] + n])
+                    counts[row] = len(ids)
+                    parts.append(ids)
+                    owners.append(np.array([row]))
+                continue
+            for k in range(0, len(rows), _TOGETHER // n):  # bounded memory
+                some = rows[k : k + _TOGETHER // n]
                 ids, each = self._segment(data[begin[some][:, None] + np.arange(n)])
                 counts[some] = each
                 parts.append(ids)
@@ -186,7 +265,7 @@ def _loaded(path: str) -> Pieces:
     return _LOADED[path]
 
 
-def _lists(texts: Iterable[str | None], size: int = 1 << 21) -> Iterator[list[str | None]]:
+def _lists(texts: Iterable[str | None], size: int = 1 << 20) -> Iterator[list[str | None]]:
     group: list[str | None] = []
     total = 0
     for text in texts:
@@ -195,8 +274,10 @@ def _lists(texts: Iterable[str | None], size: int = 1 << 21) -> Iterator[list[st
         if total >= size:
             yield group
             group, total = [], 0
+            give_back()
     if group:
         yield group
+    give_back()
 
 
 def encoded(text: Column, path: str) -> Column:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 
 _FACTOR = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
@@ -18,16 +20,30 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+#: Bytes whose 64-bit sums are in memory at a time; a word that is longer stands alone.
+BLOCK = 1 << 18
+_LIBC = ctypes.CDLL(None)
+
+
+def give_back() -> None:
+    """What freed arrays held goes back to the machine, so that a worker which waits for its next task holds little."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
 class _Powers:
-    """Powers of the factor and of its inverse, grown to the longest text seen."""
+    """Powers of the factor and of its inverse; `BLOCK` of them are kept, more are made for one use."""
 
     def __init__(self) -> None:
         self.up = self.down = np.ones(1, np.uint64)
 
     def to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > BLOCK + 1:
+            return self._of(_FACTOR, n), self._of(_INVERSE, n)
         if len(self.up) < n:
-            self.up = self._of(_FACTOR, n)
-            self.down = self._of(_INVERSE, n)
+            self.up = self._of(_FACTOR, BLOCK + 1)
+            self.down = self._of(_INVERSE, BLOCK + 1)
         return self.up[:n], self.down[:n]
 
     @staticmethod
@@ -40,6 +56,32 @@ class _Powers:
 _POWERS = _Powers()
 
 
+def byte_sums(data: np.ndarray) -> np.ndarray:
+    """Sums along the last axis, from which hashes of stretches follow."""
+    up, _ = _POWERS.to(data.shape[-1] + 1)
+    out = np.zeros((*data.shape[:-1], data.shape[-1] + 1), np.uint64)
+    values = data.astype(np.uint64)
+    values += np.uint64(1)
+    values *= up[:-1]
+    np.cumsum(values, axis=-1, out=out[..., 1:])
+    return out
+
+
+def stretch_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the bytes starts[i]:ends[i], independent of where they stand; both ascend and stretches don't overlap."""
+    out = np.empty(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        begin = starts[first]
+        last = max(first + 1, int(np.searchsorted(ends, begin + BLOCK, "right")))
+        sums = byte_sums(data[begin : ends[last - 1]])
+        _, down = _POWERS.to(len(sums))
+        low, high = starts[first:last] - begin, ends[first:last] - begin
+        out[first:last] = mixed((sums[high] - sums[low]) * down[low])
+        first = last
+    return out
+
+
 def byte_set(*ranges: tuple[int, int]) -> np.ndarray:
     """A lookup table over bytes, true in the given inclusive ranges."""
     out = np.zeros(256, bool)
@@ -67,10 +109,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """Hashes of the words' bytes, independent of where a word stands."""
-        up, down = _POWERS.to(len(self.data) + 1)
-        sums = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
-        return mixed((sums[self.ends] - sums[self.starts]) * down[self.starts])
+        return stretch_hashes(self.data, self.starts, self.ends)
 
     def text(self, begin: int, end: int) -> bytes:
         """The words begin..end-1, parted by single spaces."""
@@ -89,7 +128,9 @@ def grouped(texts: Iterable[str | None], size: int = 1 << 20) -> Iterator[list[b
         if group and total + len(raw) > size:
             yield group
             group, total = [], 0
+            give_back()
         group.append(raw)
         total += len(raw)
     if group:
         yield group
+    give_back()
