@@ -8,14 +8,13 @@ lanes that move together, so the search is a few numpy operations a step.
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterloom.llm.storage import stored, unused
@@ -163,16 +162,19 @@ def _runs(hit: np.ndarray) -> list[int]:
     return np.flatnonzero(np.diff(hit.view(np.int8), prepend=0, append=0)).tolist() if hit.any() else []
 
 
-def _summary(hits: pd.Series, items: pd.Series) -> pd.DataFrame:
-    rows = []
-    for runs, found in zip(hits, items, strict=True):
-        n, reach = 0, 0
-        for begin, end in sorted(np.asarray(runs, np.int64).reshape(-1, 2).tolist()):
-            n += max(0, end - max(begin, reach))
-            reach = max(reach, end)
-        names = sorted(set(found))
-        rows.append((n, len(names), hashlib.sha256(",".join(names).encode()).hexdigest()))
-    return pd.DataFrame(rows, columns=["n_hit", "n_items", "items_sha256"])
+def _covered(hits: Column) -> Column:
+    """How many words the runs cover, which may overlap."""
+    pairs = F.filter(F.transform(hits, lambda x, k: F.when(k % 2 == 0, F.struct(x.alias("begin"), hits[k + 1].alias("end")))), F.isnotnull)
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("reach"))
+    return F.aggregate(
+        F.array_sort(pairs),
+        start,
+        lambda s, run: F.struct(
+            (s["n"] + F.greatest(F.lit(0), run["end"] - F.greatest(run["begin"], s["reach"]))).alias("n"),
+            F.greatest(s["reach"], run["end"]).alias("reach"),
+        ),
+        lambda s: s["n"].cast("long"),
+    )
 
 
 def with_contamination(
@@ -206,13 +208,16 @@ def with_contamination(
         out = found.select(
             *docs.columns, F.col(f"{result}.n_words").alias(n_words), empty[0].alias(all_hits), empty[1].alias(all_items)
         )
-    summary = F.pandas_udf(_summary, "n_hit long, n_items long, items_sha256 string")
-    out = out.withColumn(result, summary(all_hits, all_items))
-    hit = F.col(f"{result}.n_hit")
-    return out.select(
+    names = F.array_sort(F.array_distinct(all_items))
+    n_hit, summed = F.col(f"{result}.n_hit"), F.struct(
+        _covered(F.col(all_hits)).alias("n_hit"),
+        F.size(names).cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+    )
+    return out.withColumn(result, summed).select(
         *docs.columns,
         F.struct(
             F.col(n_words).alias("n_words"), f"{result}.n_hit", f"{result}.n_items", f"{result}.items_sha256",
-            ((hit > 0) & (share * hit >= F.col(n_words))).alias("contaminated"),
+            ((n_hit > 0) & (share * n_hit >= F.col(n_words))).alias("contaminated"),
         ).alias(unused(docs, "contamination")),
     )
