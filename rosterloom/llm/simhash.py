@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterloom.llm.storage import stored, unused
+from rosterloom.llm.text_arrays import give_back
 
 PARTS = 5
 _EDGES = "a long, b long"
@@ -35,15 +36,13 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = len(words) - shingle + 1
+    starts, ends = starts[:n], ends[shingle - 1 :]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter(
-        [digest(raw[a:z], 42) for a, z in zip(starts[:n].tolist(), ends[shingle - 1 :].tolist(), strict=True)],
-        np.uint64,
-        n,
-    )
     set_bits = np.zeros(64, np.int64)
-    for begin in range(0, n, 1 << 16):  # whole texts, in bounded memory
-        bits = np.unpackbits(hashes[begin : begin + (1 << 16)].astype("<u8").view(np.uint8), bitorder="little")
+    for begin in range(0, n, 1 << 14):  # whole texts, in bounded memory
+        some = slice(begin, begin + (1 << 14))
+        hashes = np.array([digest(raw[a:z], 42) for a, z in zip(starts[some].tolist(), ends[some].tolist(), strict=True)], "<u8")
+        bits = np.unpackbits(hashes.view(np.uint8), bitorder="little")
         set_bits += bits.reshape(-1, 64).sum(axis=0, dtype=np.int64)
     return int(sum(1 << k for k in np.flatnonzero(2 * set_bits > n).tolist()))
 
@@ -52,7 +51,9 @@ def fingerprints(text: Column) -> Column:
     """Fingerprints as signed longs with the same bits."""
 
     def of(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64), dtype="int64")
+        found = pd.Series(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64), dtype="int64")
+        give_back()
+        return found
 
     return F.pandas_udf(of, "long")(text)
 
