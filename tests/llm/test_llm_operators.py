@@ -454,3 +454,35 @@ def test_pieces_decode_to_the_text(spark, edge_docs, no_docs):
     assert set(rows(got, "doc_id", "decoded_sha256")) == want and got.count() == 11
     assert rows(got.where("doc_id in (1, 2)"), "n_pieces") == [(0,), (0,)]
     assert pieces.piece_digest(no_docs, MODEL).count() == 0
+
+
+@pytest.mark.parametrize("stretch", [37, 1 << 15])
+def test_long_words_are_cut_like_short_ones(monkeypatch, stretch):
+    model, random_ = pieces.Pieces.load(MODEL), random.Random(1)
+    letters = "abcdefghij漢字é🎉1-"
+    texts = ["".join(random_.choices(letters, k=random_.randrange(90, 400))) for _ in range(40)]
+    texts += ["a" * 300, "é" * 200, "漢字" * 100, "information" * 40, "x y" * 50]
+    monkeypatch.setattr(pieces, "_LONG", 1 << 30)
+    want = model.encode(texts)
+    monkeypatch.setattr(pieces, "_LONG", 96)
+    monkeypatch.setattr(pieces, "_STRETCH", stretch)
+    got = model.encode(texts)
+    assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
+
+
+def test_a_text_without_any_space_comes_back():
+    model = pieces.Pieces.load(MODEL)
+    text = "".join(chr(0x4E00 + k * 7919 % 20000) for k in range(100_000)) + "a1" * 100_000
+    ids, _ = model.encode([text])
+    assert model.decode(ids).decode() == text
+
+
+def test_hashes_do_not_depend_on_blocks(monkeypatch):
+    from rosterloom.llm import text_arrays as t
+
+    texts = [b"ab  cd " + b"x" * 700 + b" ab", b"", b"cd ab " * 100]
+    want = t.Words(texts, decontamination.WORD_BYTES).hashes()
+    monkeypatch.setattr(t, "BLOCK", 64)
+    monkeypatch.setattr(t, "_POWERS", t._Powers())
+    got = t.Words(texts, decontamination.WORD_BYTES).hashes()
+    assert (got == want).all() and got[0] == got[3] and got[1] != got[0]
