@@ -17,6 +17,7 @@ from rosterloom.llm import (
     quality,
     simhash,
     token_files,
+    vector_codes,
 )
 from rosterloom.llm.storage import table
 
@@ -79,12 +80,16 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repaired_after_damage(table(spark, sf_dir, "conversations"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_simple8b, op2_line_dedup, op3_graph_nearest, op4_main_text, op5_quality, op6_pseudonyms,
         op7_decontamination, op8_simhash, op9_language, op10_pieces,
-        op12_conversation_repair,
+        op12_conversation_repair, op13_vector_codes,
     )
 }
 
@@ -139,4 +144,53 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM doc d LEFT JOIN word USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLE = {"op2_line_dedup": _LINE_DEDUP, "op7_decontamination": _DECONTAMINATION}
+
+
+def _vector_codes(rounds: int = 4) -> str:
+    """One pair of table expressions for each round: what every part is nearest to, and where the entries move."""
+    near = """near{0} AS MATERIALIZED (
+  SELECT p, vec_id, any_value(x.v) AS v, min(d) AS d, arg_min(k, d * 256 + k) AS k
+  FROM (
+    SELECT x.p, x.vec_id, x.v, b.k,
+      CAST(list_inner_product(x.v, x.v) - 2 * list_inner_product(x.v, b.v) + list_inner_product(b.v, b.v) AS BIGINT) AS d
+    FROM part x JOIN book{0} b ON x.p = b.p
+  ) x GROUP BY p, vec_id
+)"""
+    move = """cell{0} AS (
+  SELECT p, k, i, CAST(sum(v[i]) AS BIGINT) AS s, count(*) AS c
+  FROM near{0}, unnest(range(1, len(v) + 1)) AS t(i) GROUP BY p, k, i
+),
+book{1} AS MATERIALIZED (
+  SELECT b.p, b.k, coalesce(m.v, b.v) AS v FROM book{0} b LEFT JOIN (
+    SELECT p, k, list(CAST((s - (((s % c) + c) % c)) // c AS DOUBLE) ORDER BY i) AS v FROM cell{0} GROUP BY p, k
+  ) m ON b.p = m.p AND b.k = m.k
+)"""
+    steps = ",\n".join(f"{near.format(r)},\n{move.format(r, r + 1)}" for r in range(rounds))
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+part AS MATERIALIZED (
+  SELECT vec_id, p, v[p * (len(v) // 4) + 1 : (p + 1) * (len(v) // 4)] AS v FROM kept, unnest(range(4)) AS t(p)
+),
+book0 AS MATERIALIZED (
+  SELECT * FROM (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS k, v FROM part) WHERE k < 256
+),
+{steps},
+{near.format(rounds)},
+final AS (
+  SELECT kept.vec_id, any_value(label) AS label, string_agg(lower(printf('%02x', k)), '' ORDER BY p) AS code,
+    CAST(sum(d) AS BIGINT) AS error
+  FROM near{rounds} n JOIN kept ON n.vec_id = kept.vec_id GROUP BY kept.vec_id
+),
+hashed AS (
+  SELECT sha256(string_agg(CAST(CAST(v[i] AS BIGINT) AS VARCHAR), ',' ORDER BY p, k, i)) AS codebooks_sha256
+  FROM book{rounds}, unnest(range(1, len(v) + 1)) AS t(i)
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM final, hashed
+"""
+
+
+ORACLE = {"op2_line_dedup": _LINE_DEDUP, "op7_decontamination": _DECONTAMINATION, "op13_vector_codes": _vector_codes()}
