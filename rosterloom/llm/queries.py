@@ -17,6 +17,7 @@ from rosterloom.llm import (
     quality,
     simhash,
     token_files,
+    toxicity,
     vector_codes,
 )
 from rosterloom.llm.storage import table
@@ -76,6 +77,10 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digest(table(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repaired_after_damage(table(spark, sf_dir, "conversations"))
 
@@ -89,7 +94,7 @@ QUERIES = {
     for f in (
         op1_simple8b, op2_line_dedup, op3_graph_nearest, op4_main_text, op5_quality, op6_pseudonyms,
         op7_decontamination, op8_simhash, op9_language, op10_pieces,
-        op12_conversation_repair, op13_vector_codes,
+        op11_toxicity, op12_conversation_repair, op13_vector_codes,
     )
 }
 

@@ -111,6 +111,11 @@ class Words:
         """Hashes of the words' bytes, independent of where a word stands."""
         return stretch_hashes(self.data, self.starts, self.ends)
 
+    def prefix_hashes(self, which: np.ndarray, size: int) -> np.ndarray:
+        """Hashes of the first `size` bytes of the words `which`, all at least that long."""
+        low = self.starts[which]
+        return stretch_hashes(self.data, low, low + size)
+
     def text(self, begin: int, end: int) -> bytes:
         """The words begin..end-1, parted by single spaces."""
         raw = self.raw
