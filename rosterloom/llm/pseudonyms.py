@@ -1,9 +1,10 @@
 """Personal data replaced by pseudonyms of the same format, equal for equal values in all documents.
 
 Only DataFrame functions. One pattern finds the candidates; each is validated by its kind. Digits of numbers and days of
-dates go through a keyed Feistel network over exactly the values of their format, which permutes them: different values
-get different pseudonyms, and who has the key can undo it. Check digits are computed anew. Addresses and secrets, which
-have no fixed format, get a keyed name.
+dates go through a keyed Feistel network over exactly the valid values of their format, which permutes them: different
+values of a format get different pseudonyms of it, valid themselves, and who has the key can undo it. Check digits are
+computed anew. Phone numbers keep all but their last ten digits. Addresses and secrets, which have no fixed format, get a
+keyed name of 128 bits.
 """
 
 from __future__ import annotations
@@ -16,19 +17,27 @@ from rosterloom.llm.storage import unused
 _ROUNDS = 8
 _DAYS = 146097  # of 400 years, 1700-01-01 to 2099-12-31: 189 * 773
 _FIRST_DAY = -98615  # 1700-01-01, counted from 1970-01-01
+_LONG_DAYS = _DAYS - 400 * 12 * 12  # days after the twelfth of a month: 88,497 of 297 * 298 numbers
+_AREAS, _GROUPS, _SERIALS = 898, 99, 9999  # of social security numbers: no area 000, 666 or from 900, no zeros
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-#: In order of preference; names are those of the counts.
+_LOCAL = "A-Za-z0-9._%+-"
+_LABEL = "[A-Za-z0-9]++(?:-++[A-Za-z0-9]++)*+"
+#: What ends here is not the beginning of an e-mail address.
+_END = f"(?![{_LOCAL}]{{1,64}}+@)"
+#: In order of preference; names are those of the counts. Possessive, and addresses begin where a run of their letters
+#: begins, so that time is in proportion to the text and no repetition needs the stack.
 _KINDS = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+",
-    "secret": r"\bAKIA[0-9A-Z]{16}\b"
-    r"|\b(?i:password|passwd|pwd|secret|token|api_?key)\b\s{0,3}[=:]\s{0,3}(?:\"[^\"\s]{6,}\"|'[^'\s]{6,}'|[^\s\"',;]{6,})"
-    r"|\b(?:sk|ghp|gho|xox[bp])[_-][0-9A-Za-z_-]{16,}\b",
-    "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\d]|\.\d)",
-    "date": r"(?<!\d)\d{4}-\d{2}-\d{2}(?!\d)|(?<!\d)\d{2}/\d{2}/\d{4}(?!\d)",
-    "card": r"(?<!\d)(?:\d{13,19}|\d{4} \d{4} \d{4} \d{1,7}|\d{4}-\d{4}-\d{4}-\d{1,7}|\d{4}[ -]\d{6}[ -]\d{4,5})(?!\d)",
-    "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)"
-    r"|(?<![\w+(])\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\d)",
+    "email": rf"(?<![{_LOCAL}])[{_LOCAL}]++@{_LABEL}(?:\.{_LABEL})++",
+    "secret": r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)"
+    r"|(?<!\w)(?i:password|passwd|pwd|secret|token|api_?key)(?!\w)\s{0,3}[=:]\s{0,3}(?:\"[^\"\s]{6,}+\"|'[^'\s]{6,}+'|[^\s\"',;]{6,}+)"
+    r"|(?<!\w)(?:sk|ghp|gho|xox[bp])[_-][0-9A-Za-z_-]{15,}\w",
+    "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\d]|\.\d){_END}",
+    "date": rf"(?:(?<!\d)\d{{4}}-\d{{2}}-\d{{2}}(?!\d)|(?<!\d)\d{{2}}/\d{{2}}/\d{{4}}(?!\d)){_END}",
+    "card": r"(?<!\d)(?:\d{13,19}|\d{4} \d{4} \d{4} \d{1,7}|\d{4}-\d{4}-\d{4}-\d{1,7}|\d{4}[ -]\d{6}[ -]\d{4,5})(?!\d)" + _END,
+    "ssn": rf"(?<![\d-])\d{{3}}-\d{{2}}-\d{{4}}(?![\d-]){_END}",
+    "phone": r"(?:(?<![\w+])\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+    rf"|(?<![\w+])\+\d{{1,3}}[ .-]?(?:\(\d{{1,4}}\)[ .-]?)?\d{{2,4}}(?:[ .-]?(?!{_OCTET}(?:\.{_OCTET}){{3}})\d{{2,4}}){{1,4}}(?!\d)"
+    r"|(?<![\w+(])\(?\d{3}\)?[ .-]\d{3}[ .-]\d{4}(?!\d))" + _END,
 }
 PATTERN = "|".join(f"(?:{p})" for p in _KINDS.values())
 
@@ -80,6 +89,73 @@ def _luhn_sum(digits: Column, offset: int) -> Column:
     return F.aggregate(each, F.lit(0), lambda s, d: s + F.coalesce(d, F.lit(0)))
 
 
+def _number(text: Column, at: int, size: int) -> Column:
+    return F.substring(text, at, size).try_cast("long")
+
+
+def _padded(n: Column, size: int) -> Column:
+    return F.lpad(n.cast("string"), size, "0")
+
+
+def permuted_ssn(digits: Column, key: str) -> Column:
+    """Nine digits of a valid number to those of another, with hyphens."""
+    area, group, serial = _number(digits, 1, 3), _number(digits, 4, 2), _number(digits, 6, 4)
+    place = area - 1 - F.when(area > 666, 1).otherwise(0)
+    value = (place * _GROUPS + group - 1) * _SERIALS + serial - 1
+    moved = feistel(value, _AREAS * _GROUPS, _SERIALS, key, F.lit("ssn"))
+    first = F.floor(moved / (_GROUPS * _SERIALS)).cast("long") + 1
+    parts = [
+        _padded(first + F.when(first >= 666, 1).otherwise(0), 3),
+        _padded(F.pmod(F.floor(moved / _SERIALS).cast("long"), F.lit(_GROUPS)) + 1, 2),
+        _padded(F.pmod(moved, F.lit(_SERIALS)) + 1, 4),
+    ]
+    return F.concat_ws("-", *parts)
+
+
+def _day(n: Column) -> Column:
+    """The date of a number of days since the first."""
+    return F.date_add(F.lit("1970-01-01").cast("date"), (n + _FIRST_DAY).cast("int"))
+
+
+def _days(date: Column) -> Column:
+    return (F.datediff(date, F.lit("1970-01-01").cast("date")) - _FIRST_DAY).cast("long")
+
+
+def _month_begins(month: Column) -> Column:
+    """How many of the days after the twelfth of a month come before a month, counted from January 1700."""
+    return _days(F.add_months(_day(F.lit(0)), month.cast("int"))) - 12 * month
+
+
+def permuted_date(found: Column, key: str) -> Column:
+    """A date to another of the same spelling, one to one within each set that can be told apart by its spelling.
+
+    Those sets are yyyy-MM-dd; two numbers up to 12 and a year, which may be read either way and are moved as numbers;
+    dd/MM/yyyy and MM/dd/yyyy with a day after the twelfth.
+    """
+    iso = F.substring(found, 5, 1) == "-"
+    number = feistel(_days(F.try_to_date(found, "yyyy-MM-dd")), 189, 773, key, F.lit("date"))
+    first, second, year = _number(found, 1, 2), _number(found, 4, 2), _number(found, 7, 4) - 1700
+    slashed = lambda a, b, y: F.concat_ws("/", _padded(a, 2), _padded(b, 2), _padded(y + 1700, 4))
+    either = feistel((year * 12 + first - 1) * 12 + second - 1, 240, 240, key, F.lit("date 12/12"))
+    twelfths = slashed(
+        F.pmod(F.floor(either / 12).cast("long"), F.lit(12)) + 1, F.pmod(either, F.lit(12)) + 1, F.floor(either / 144).cast("long")
+    )
+    # Days after the twelfth are counted through; numbers beyond the last of them are moved again, and as there are nine
+    # such numbers, ten moves always end at a day.
+    month, day = F.least(first, second), F.greatest(first, second)
+    since = _days(F.try_to_date(F.concat_ws("-", _padded(year + 1700, 4), _padded(month, 2), _padded(day, 2)), "yyyy-MM-dd"))
+    rank = since - 12 * (year * 12 + month)
+    tweak = F.when(first > 12, "date dd/MM").otherwise("date MM/dd")
+    step = lambda n: feistel(n, 297, 298, key, tweak)
+    again = F.array(*[F.lit(k) for k in range(9)])
+    moved = F.aggregate(again, step(rank), lambda n, _: F.when(n >= _LONG_DAYS, step(n)).otherwise(n))
+    guess = F.floor(moved * 4800 / _LONG_DAYS).cast("long")  # right but for one month
+    at = guess + F.when(_month_begins(guess + 1) <= moved, 1).when(_month_begins(guess) <= moved, 0).otherwise(-1)
+    other = _day(moved + 12 * (at + 1))
+    late = F.when(first > 12, F.date_format(other, "dd/MM/yyyy")).otherwise(F.date_format(other, "MM/dd/yyyy"))
+    return F.when(iso, F.date_format(_day(number), "yyyy-MM-dd")).when(day <= 12, twelfths).otherwise(late)
+
+
 def _refilled(shape: Column, digits: Column) -> Column:
     """`shape` with its digits replaced, in order, by `digits`."""
     parts = F.split(shape, r"\d", -1)
@@ -100,26 +176,18 @@ def _pseudonym(found: Column, kind: Column, key: str) -> Column:
     address = F.aggregate(octets, F.lit(0).cast("long"), lambda s, o: s * 256 + o)
     moved = feistel(address, 65536, 65536, key, F.lit("ip"))
     dotted = F.concat_ws(".", *[F.pmod(F.floor(moved / (256**k)), F.lit(256)).cast("string") for k in (3, 2, 1, 0)])
-    iso = F.substring(found, 5, 1) == "-"
-    day = F.when(iso, F.try_to_date(found, "yyyy-MM-dd")).otherwise(F.try_to_date(found, "dd/MM/yyyy"))
-    us = F.try_to_date(found, "MM/dd/yyyy")
-    number = F.datediff(F.coalesce(day, us), F.lit("1970-01-01").cast("date")) - _FIRST_DAY
-    other = F.date_add(F.lit("1970-01-01").cast("date"), (feistel(number.cast("long"), 189, 773, key, F.lit("date")) + _FIRST_DAY).cast("int"))
-    dated = F.when(iso, F.date_format(other, "yyyy-MM-dd")).when(day.isNotNull(), F.date_format(other, "dd/MM/yyyy")).otherwise(
-        F.date_format(other, "MM/dd/yyyy")
-    )
     # Country code and the exchange stay a phone's format; the last ten digits at most are permuted.
     tail = F.least(n, F.lit(10))
     phone = F.concat(F.substr(digits, F.lit(1), n - tail), permuted_digits(F.substr(digits, n - tail + 1, tail), key, "phone"))
-    name = F.substring(F.sha2(F.concat_ws("|", F.lit(key), kind, F.lower(found)), 256), 1, 16)
-    secret = F.substring(F.sha2(F.concat_ws("|", F.lit(key), kind, found), 256), 1, 16)
+    name = F.substring(F.sha2(F.concat_ws("|", F.lit(key), kind, F.lower(found)), 256), 1, 32)
+    secret = F.substring(F.sha2(F.concat_ws("|", F.lit(key), kind, found), 256), 1, 32)
     return (
         F.when(kind == "email", F.concat(F.lit("user-"), name, F.lit("@example.invalid")))
         .when(kind == "secret", F.concat(F.lit("secret-"), secret))
         .when(kind == "ip", dotted)
-        .when(kind == "date", dated)
+        .when(kind == "date", permuted_date(found, key))
         .when(kind == "card", _refilled(found, F.concat(body, check)))
-        .when(kind == "ssn", _refilled(found, permuted_digits(digits, key, "ssn")))
+        .when(kind == "ssn", permuted_ssn(digits, key))
         .when(kind == "phone", _refilled(found, phone))
         .otherwise(found)
     )
