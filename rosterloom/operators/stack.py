@@ -37,10 +37,20 @@ def stack_labelled(
     labels: Mapping[str, str],
 ) -> DataFrame:
     """UNION ALL of the tables, each ``labelled``."""
-    return reduce(
-        DataFrame.union,
-        [labelled(df, contract, label_column, labels[n], n) for n, df in tables.items()],
-    )
+    return reduce(DataFrame.union, [df for _, df in labelled_parts(tables, contract, label_column, labels)])
+
+
+def labelled_parts(
+    tables: Mapping[str, DataFrame],
+    contract: TableContract,
+    label_column: str,
+    labels: Mapping[str, str],
+) -> list[tuple[str | None, DataFrame]]:
+    """Each table ``labelled``, behind its label, or None if its rows bring labels of their own."""
+    return [
+        (None if ROW_LABEL in df.columns else labels[n], labelled(df, contract, label_column, labels[n], n))
+        for n, df in tables.items()
+    ]
 
 
 def rows_per_label(stacked: DataFrame, label_column: str) -> DataFrame:

@@ -56,7 +56,7 @@ Builder = Callable[[DataFrame, FlowConfig, dt.date, Tables], DataFrame]
 class Built:
     """A flow on its way, as its checks and rules see it."""
 
-    #: Cleaned text under contract names, the same with types, and what the flow made of it (written).
+    #: Cleaned text under contract names; the same with types, and what the flow made of it (both written).
     raw: DataFrame
     typed: DataFrame
     table: DataFrame

@@ -4,22 +4,22 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from concurrent.futures import Future, ThreadPoolExecutor
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterloom.operators.shape import apply_types, clean_all_text, drop_blank_rows, is_internal
+from rosterloom.operators.shape import clean_all_text, drop_blank_rows, is_internal
 from rosterloom.operators.skew import spread
-from rosterloom.operators.stack import rows_per_label, stack_labelled
+from rosterloom.operators.stack import labelled_parts, rows_per_label
 from rosterloom.plans import rules
 from rosterloom.plans.config import JobConfig
 from rosterloom.plans.flows import FLOWS, Built, Flow, kept_headers
 from rosterloom.plans.rules import RuleResult, Severity
-from rosterloom.plans.scratch import scratch_path, written
+from rosterloom.plans.scratch import scratch_path, written_and_counted
 from rosterloom.sources.publish import publish
 from rosterloom.sources.staged import read_staged
 
@@ -39,6 +39,8 @@ class RunResult:
     run_id: str
     reference_date: dt.date
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    #: Rows of each table.
+    rows: dict[str, int] = field(default_factory=dict)
     results: list[RuleResult] = field(default_factory=list)
     stacked: DataFrame | None = None
     written: list[str] = field(default_factory=list)
@@ -80,22 +82,34 @@ def flow_labels(flow: Flow, config: JobConfig) -> list[str]:
     return list(flow.labels) or [config.label(flow.name)]
 
 
-def _flow_rules(flow: Flow, config: JobConfig, built: Built) -> list[RuleResult]:
-    """The rules that need this flow only, in a fixed order."""
+def _row_checks(flow: Flow, built: Built) -> list[rules.Check]:
+    """The conditions on single rows of the flow's table, in a fixed order."""
     table, settings = built.table, built.settings
-    results = rules.missing_columns(table, settings.required, flow.name)
-    checks = [
+    return [
         rules.no_rows_check(),
         *rules.required_checks(table, settings.required),
         *rules.period_start_check(table),
         *rules.plausible_date_checks(table, flow.date_columns, built.reference_date),
         *(flow.checks(built) if flow.checks else ()),
     ]
+
+
+def _flow_rules(flow: Flow, config: JobConfig, made: _Made) -> list[RuleResult]:
+    """The rules that need this flow only, in a fixed order. Counts of rows were taken on the way."""
+    built, settings = made.built, made.built.settings
+    results = rules.missing_columns(built.table, settings.required, flow.name)
     results += rules.evaluate(
-        table, checks, flow.name, built.sample_rows, settings.key or settings.required
+        built.table,
+        made.checks,
+        flow.name,
+        built.sample_rows,
+        settings.key or settings.required,
+        made.counts,
     )
     results += flow.key_rule(flow.name, built)
-    results += rules.parse_failures(built.raw, config.contract, flow.name)
+    results += rules.parse_failures(
+        built.raw, config.contract, flow.name, counts=made.unread
+    )
     return results + (flow.rules(flow.name, built) if flow.rules else [])
 
 
@@ -111,16 +125,27 @@ def _coverage_rule(flow: Flow, config: JobConfig, tables: dict[str, DataFrame]):
     )
 
 
-def _build_and_check(
-    spark: SparkSession,
-    flow: Flow,
-    config: JobConfig,
-    reference_date: dt.date,
-    tables: dict[str, DataFrame],
-    scratch: str,
-    restage: bool,
-) -> tuple[DataFrame, list[RuleResult]]:
-    """One flow from its files to its checked table."""
+@dataclass(frozen=True)
+class _Read:
+    """A flow's rows as text and with types, and how many cells of each column could not be read."""
+
+    raw: DataFrame
+    typed: DataFrame
+    unread: dict[str, int]
+
+
+@dataclass(frozen=True)
+class _Made:
+    """A flow's written table, the conditions on its rows, and the counts taken while it was written."""
+
+    built: Built
+    checks: list[rules.Check]
+    counts: dict[str, int]
+    unread: dict[str, int]
+
+
+def _read(spark: SparkSession, flow: Flow, config: JobConfig, scratch: str, restage: bool) -> _Read:
+    """From a flow's files to its typed rows. Text is parsed once, here, whatever reads the rows later."""
     settings = config.flow(flow.name)
     staged = read_staged(
         spark,
@@ -133,10 +158,29 @@ def _build_and_check(
     if flow.prepare:
         staged = flow.prepare(staged, settings)
     raw = clean_all_text(drop_blank_rows(spread(staged)))
-    typed = apply_types(raw, config.contract, cleaned=True)
-    table = written(flow.build(typed, settings, reference_date, tables), f"{scratch}/{flow.name}")
-    built = Built(raw, typed, table, settings, reference_date, config.limits.sample_rows)
-    return table, _flow_rules(flow, config, built)
+    both, counts, columns = rules.typed_beside(raw, config.contract)
+    typed, unread = written_and_counted(both, f"{scratch}/{flow.name}/typed", counts, columns)
+    return _Read(raw, typed, unread)
+
+
+def _build(
+    flow: Flow,
+    config: JobConfig,
+    reference_date: dt.date,
+    read: _Read,
+    tables: dict[str, DataFrame],
+    scratch: str,
+) -> _Made:
+    settings = config.flow(flow.name)
+    table = flow.build(read.typed, settings, reference_date, tables)
+    built = Built(
+        read.raw, read.typed, table, settings, reference_date, config.limits.sample_rows
+    )
+    checks = _row_checks(flow, built)
+    table, counts = written_and_counted(
+        table, f"{scratch}/{flow.name}/table", rules.check_counts(checks)
+    )
+    return _Made(replace(built, table=table), checks, counts, read.unread)
 
 
 def read_history(spark: SparkSession, config: JobConfig) -> DataFrame | None:
@@ -163,19 +207,13 @@ def _write_history(counts: DataFrame, config: JobConfig, result: RunResult) -> N
     ).coalesce(1).write.mode("append").parquet(f"{config.reports}/run_history")
 
 
-def _flow_sizes(result: RunResult) -> DataFrame:
+def _flow_sizes(spark: SparkSession, result: RunResult) -> DataFrame:
     """(flow, rows, columns) of every table that the run built."""
-    return reduce(
-        DataFrame.unionByName,
-        [
-            table.agg(F.count(F.lit(1)).alias("rows")).select(
-                F.lit(name).alias("flow"),
-                "rows",
-                F.lit(sum(not is_internal(c) for c in table.columns)).alias("columns"),
-            )
-            for name, table in result.tables.items()
-        ],
-    )
+    sizes = [
+        (name, result.rows[name], sum(not is_internal(c) for c in table.columns))
+        for name, table in result.tables.items()
+    ]
+    return spark.createDataFrame(sizes, "flow string, rows bigint, columns int")
 
 
 def _write_report(
@@ -188,15 +226,11 @@ def _write_report(
             "append"
         ).partitionBy("run_id").parquet(f"{config.reports}/{name}")
 
-    outcomes = rules.results_table(spark, result.results)
-    append(
-        outcomes.withColumns(
-            {
-                "reference_date": F.lit(result.reference_date),
-                "published": F.lit(result.published),
-            }
-        ),
-        "rule_results",
+    outcomes = rules.results_table(spark, result.results).withColumns(
+        {
+            "reference_date": F.lit(result.reference_date),
+            "published": F.lit(result.published),
+        }
     )
     samples = None
     for position, r in enumerate(result.results, 1):
@@ -210,9 +244,10 @@ def _write_report(
             F.to_json(F.struct(*shown), {"ignoreNullFields": "false"}).alias("row"),
         )
         samples = rows if samples is None else samples.unionByName(rows)
-    if samples is not None:
-        append(samples, "rule_samples")
-    append(_flow_sizes(result), "run_flows")
+    parts = [(outcomes, "rule_results"), (_flow_sizes(spark, result), "run_flows")]
+    parts += [(samples, "rule_samples")] if samples is not None else []
+    with ThreadPoolExecutor(max_workers=len(parts)) as pool:
+        list(pool.map(lambda part: append(*part), parts))
     seconds = (dt.datetime.now(dt.timezone.utc) - started).total_seconds()
     summary = (
         result.reference_date, started, seconds, result.severity.name, result.published, result.written,
@@ -220,6 +255,19 @@ def _write_report(
     append(spark.createDataFrame([summary], _RUNS), "runs")
 
 
+def _reconciled(config: JobConfig, tables: dict[str, DataFrame]) -> list[RuleResult]:
+    if "snapshot" not in tables:
+        return []
+    limits = config.limits
+    return rules.reconcile(
+        tables["snapshot"],
+        tables.get("hires"),
+        tables.get("leavers"),
+        limits.reconciliation_tolerance,
+        limits.statuses_outside_headcount,
+    )
+
+
 def run(
     spark: SparkSession,
     config: JobConfig,
@@ -245,48 +293,56 @@ def run(
     if missing:
         raise RunError(f"flow(s) without a source: {', '.join(missing)}")
 
-    def build_and_check(name: str) -> tuple[DataFrame, list[RuleResult]]:
-        return _build_and_check(
-            spark, FLOWS[name], config, reference_date, result.tables, scratch, restage
-        )
+    # What does not wait for each other is submitted together: small jobs one after the other would
+    # leave the cluster idle. Sources are read at once, a table is built when those that it reads
+    # from are written, and it is checked while others are built.
+    with ThreadPoolExecutor(max_workers=3 * len(order)) as pool:
+        reading = {
+            name: pool.submit(_read, spark, FLOWS[name], config, scratch, restage) for name in order
+        }
+        building: dict[str, Future[_Made]] = {}
+
+        def build(name: str) -> _Made:
+            needed = [n for n in order if n in FLOWS[name].depends_on]
+            tables = {n: building[n].result().built.table for n in needed}
+            return _build(
+                FLOWS[name], config, reference_date, reading[name].result(), tables, scratch
+            )
 
-    # Flows that do not read from each other are independent Spark jobs; submitted together they
-    # fill the cluster where one small job after the other would leave it idle.
-    found: dict[str, list[RuleResult]] = {}
-    with ThreadPoolExecutor(max_workers=len(order)) as pool:
-        while len(found) < len(order):
-            waiting = [name for name in order if name not in found]
-            wave = [n for n in waiting if not set(FLOWS[n].depends_on) & set(waiting)]
-            for name, (table, outcome) in zip(wave, pool.map(build_and_check, wave)):
-                result.tables[name], found[name] = table, outcome
-        coverage = list(
-            pool.map(lambda name: _coverage_rule(FLOWS[name], config, result.tables), order)
-        )
-    result.tables = {name: result.tables[name] for name in order}
-    result.results += [r for name in order for r in found[name]]
-    result.results += [r for outcome in coverage for r in outcome]
-    for name in order:
-        result.results += rules.columns_outside_contract(
-            result.tables[name], config.contract, name
+        def check(name: str) -> list[RuleResult]:
+            return _flow_rules(FLOWS[name], config, building[name].result())
+
+        for name in order:  # each after those it reads from
+            building[name] = pool.submit(build, name)
+        checking = {name: pool.submit(check, name) for name in order}
+        made = {name: building[name].result() for name in order}
+        result.tables = {name: m.built.table for name, m in made.items()}
+        result.rows = {name: m.counts["rows"] for name, m in made.items()}
+        labels = {name: config.label(name) for name in order}
+        parts = labelled_parts(result.tables, config.contract, config.label_column, labels)
+        stacked = reduce(DataFrame.union, [df for _, df in parts])
+        later = [
+            pool.submit(_coverage_rule, FLOWS[name], config, result.tables) for name in order
+        ]
+        counting = pool.submit(rows_per_label(stacked, config.label_column).collect)
+        history = pool.submit(read_history, spark, config)
+        balance = pool.submit(_reconciled, config, result.tables)
+        result.results += [r for name in order for r in checking[name].result()]
+        result.results += [r for outcome in later for r in outcome.result()]
+        for name in order:
+            result.results += rules.columns_outside_contract(
+                result.tables[name], config.contract, name
+            )
+        result.stacked = stacked
+        counts = spark.createDataFrame(  # one row per label
+            counting.result(), f"`{config.label_column}` string, rows bigint"
         )
-
-    labels = {name: config.label(name) for name in order}
-    stacked = stack_labelled(result.tables, config.contract, config.label_column, labels)
-    result.stacked = stacked
-    counts = rows_per_label(stacked, config.label_column)
-    counts = spark.createDataFrame(counts.collect(), counts.schema)  # one row per label
-    result.results += rules.output_contract(stacked, config.contract, config.label_column)
+        result.results += rules.output_contract(stacked, config.contract, config.label_column)
+        result.results += balance.result()
+        before = history.result()
     limits = config.limits
-    if "snapshot" in result.tables:
-        result.results += rules.reconcile(
-            result.tables["snapshot"],
-            result.tables.get("hires"),
-            result.tables.get("leavers"),
-            limits.reconciliation_tolerance,
-            limits.statuses_outside_headcount,
-        )
     result.results += rules.volume_results(
-        counts, read_history(spark, config), config.label_column, limits.volume_change_limit
+        counts, before, config.label_column, limits.volume_change_limit
     )
 
     blocked = limits.block_on_error and result.severity >= Severity.ERROR and not force
@@ -300,6 +356,7 @@ def run(
             run_id,
             config.publish,
             per_flow if config.publish_per_flow else None,
+            parts,
         )
         result.published = True
         # Only complete runs are kept, so that volumes are compared like with like.

@@ -1,14 +1,15 @@
 """Data-quality rules. Their outcomes are rows; ERROR blocks publishing.
 
 Most rules count offending rows, and all counts over one table are taken in a single aggregation
-(``count_checks``). Samples are separate, limited reads made only for rules that failed.
+(``check_counts``), in a run while the table is written. Samples are separate, limited reads made
+only for rules that failed.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from enum import IntEnum
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,6 +27,7 @@ NO_COUNTERPART = "_no_snapshot_expected"
 EARLIEST_DATE = dt.date(1950, 1, 1)
 DAYS_AHEAD = 400
 VALUE_EXAMPLES = 10
+_TYPED = "_typed_"
 
 
 class Severity(IntEnum):
@@ -165,16 +167,21 @@ def parse_failure_checks(raw: DataFrame, contract: TableContract) -> list[Check]
     ]
 
 
-def count_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """(rule, subject, severity, occurrences, rows) for every check, from one pass over ``df``."""
-    counts = df.agg(
+def check_counts(checks: Sequence[Check]) -> list[Column]:
+    """Aggregates ``rows``, and ``n0``, ``n1``, ... for the checks that have a condition."""
+    return [
         F.count(F.lit(1)).alias("rows"),
         *[
             F.count_if(c.condition).alias(f"n{i}")
             for i, c in enumerate(checks)
             if c.condition is not None
         ],
-    )
+    ]
+
+
+def count_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """(rule, subject, severity, occurrences, rows) for every check, from one pass over ``df``."""
+    counts = df.agg(*check_counts(checks))
     entries = [
         F.struct(
             F.lit(c.rule).alias("rule"),
@@ -198,14 +205,19 @@ def evaluate(
     scope: str,
     sample_rows: int = 50,
     sample_order: Sequence[str] = (),
+    counts: Mapping[str, int] | None = None,
 ) -> list[RuleResult]:
-    """Run the checks in one job. Each ``ok_rule`` whose checks all pass adds one OK result."""
+    """Run the checks in one job, or take the ``check_counts`` that a write has left.
+
+    Each ``ok_rule`` whose checks all pass adds one OK result.
+    """
     if not checks:
         return []
-    counted = count_checks(df, checks).collect()
+    if counts is None:
+        counts = df.agg(*check_counts(checks)).first().asDict()
     results, passed = [], {}
-    for check, found in zip(checks, counted, strict=True):
-        n = found["occurrences"]
+    for i, check in enumerate(checks):
+        n = int(not counts["rows"]) if check.condition is None else counts[f"n{i}"]
         if n:
             offending = None
             if check.condition is not None:
@@ -229,7 +241,7 @@ def evaluate(
     for rule, outcomes in passed.items():
         if all(outcomes):
             results.append(
-                RuleResult(rule, scope, Severity.OK, f"{counted[0]['rows']} row(s) checked")
+                RuleResult(rule, scope, Severity.OK, f"{counts['rows']} row(s) checked")
             )
     return results
 
@@ -247,13 +259,36 @@ def missing_columns(df: DataFrame, columns: Sequence[str], scope: str) -> list[R
     ]
 
 
+def typed_beside(raw: DataFrame, contract: TableContract) -> tuple[DataFrame, list[Column], list[Column]]:
+    """``raw`` with the typed columns beside it, the ``check_counts`` of its parse failures, and the typed table's columns.
+
+    A cell is parsed once: what is counted and what is kept come from the same column.
+    """
+    specs = contract.by_name
+    kinds = {f.name: f.dataType for f in raw.schema.fields}
+    beside = {n: f"{_TYPED}{n}" for n in raw.columns if n in specs}
+    both = raw.withColumns(
+        {b: typed(F.col(f"`{n}`"), specs[n], kinds[n], cleaned=True) for n, b in beside.items()}
+    )
+    unread = [
+        replace(c, condition=F.col(c.subject).isNotNull() & F.col(beside[c.subject]).isNull())
+        for c in parse_failure_checks(raw, contract)
+    ]
+    columns = [F.col(beside.get(n, n)).alias(n) for n in raw.columns]
+    return both, check_counts(unread), columns
+
+
 def parse_failures(
-    raw: DataFrame, contract: TableContract, scope: str, examples: int = VALUE_EXAMPLES
+    raw: DataFrame,
+    contract: TableContract,
+    scope: str,
+    examples: int = VALUE_EXAMPLES,
+    counts: Mapping[str, int] | None = None,
 ) -> list[RuleResult]:
     """Parse failures of every column, with examples of the values of failing columns."""
     checks = parse_failure_checks(raw, contract)
     by_column = {c.subject: c for c in checks}
-    results = evaluate(raw, checks, scope, examples)
+    results = evaluate(raw, checks, scope, examples, counts=counts)
     for result in results:
         unread = raw.filter(by_column[result.subject].condition).select(result.subject)
         result.sample = unread.distinct().orderBy(result.subject).limit(examples)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -33,3 +34,17 @@ def written(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written_and_counted(
+    df: DataFrame, path: str, counts: Sequence[Column], columns: Sequence[Column] | None = None
+) -> tuple[DataFrame, dict[str, int]]:
+    """``written``, and aggregates over the rows of ``df`` as they pass, by name.
+
+    They are taken in the tasks that write, so nothing is read twice, and a task that is repeated
+    after a lost executor counts once. Of ``df`` only ``columns`` are written, if given.
+    """
+    seen = Observation()
+    passing = df.observe(seen, *counts)
+    table = written(passing if columns is None else passing.select(*columns), path)
+    return table, seen.get

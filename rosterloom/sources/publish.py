@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,6 +78,26 @@ def write_csv(df: DataFrame, path: str, options: PublishOptions = PublishOptions
     )
 
 
+#: Labelled rows, and their label if it is the same for all of them.
+Part = tuple[str | None, DataFrame]
+
+
+def _write_by_label(path: str, label_column: str, parts: Sequence[Part]) -> None:
+    """One folder per label. Rows of a table with one label need not be sorted by it; such tables are written side by side."""
+    mixed = [df for label, df in parts if label is None or not re.fullmatch(r"\w+", label, re.ASCII)]
+    single = [(label, df) for label, df in parts if label and re.fullmatch(r"\w+", label, re.ASCII)]
+    # First, because it replaces what a broken attempt of the same run may have left.
+    first = reduce(DataFrame.union, mixed) if mixed else single[0][1].limit(0)
+    write_parquet(first, path, [label_column])
+
+    def append(part: Part) -> None:
+        rows = part[1].drop(label_column).write.mode("append").option("compression", "zstd")
+        rows.parquet(f"{path}/{label_column}={part[0]}")
+
+    with ThreadPoolExecutor(max_workers=max(1, len(single))) as pool:
+        list(pool.map(append, single))
+
+
 def publish(
     stacked: DataFrame,
     contract: TableContract,
@@ -83,11 +106,13 @@ def publish(
     run_id: str,
     options: PublishOptions = PublishOptions(),
     flows: Mapping[str, Sequence[str]] | None = None,
+    parts: Sequence[Part] | None = None,
 ) -> list[str]:
     """Write the stacked table under its run, then make that run the current one.
 
     Parquet is partitioned by label, so each flow can be read by itself; ``flows`` (name ->
-    labels) asks for one CSV folder per flow as well. Readers follow the
+    labels) asks for one CSV folder per flow as well. ``parts`` are the tables that ``stacked`` is the
+    union of; where they are given, they are written side by side. Readers follow the
     ``publications`` log, whose one-row append is the last thing written and is committed as a
     whole: they see the previous run or this one, never half of it.
     """
@@ -96,7 +121,8 @@ def publish(
     for kind in options.formats:
         target = f"{output_path}/{kind}/run_id={run_id}"
         if kind == "parquet":
-            write_parquet(table, target, [label_column])
+            shown = [(label, publish_projection(df, contract)) for label, df in parts or [(None, stacked)]]
+            _write_by_label(target, label_column, shown)
         else:
             write_csv(table, target, options)
         written.append(target)
