@@ -13,7 +13,7 @@ from rosterloom.operators.rows import FILE, FILE_ORDER, SHEET
 from rosterloom.plans import JobConfig, PEOPLE_CONTRACT, run
 from rosterloom.plans.config import PEOPLE_FLOWS, people_flow
 from rosterloom.plans.job import read_history
-from rosterloom.plans.scratch import scratch_path
+from rosterloom.scratch import scratch_path
 from rosterloom.sources import (
     PublishOptions,
     Source,

@@ -13,7 +13,7 @@ from rosterloom.operators.stack import ROW_LABEL, rows_per_label, stack_labelled
 from rosterloom.plans import FLOWS, PEOPLE_CONTRACT, rules
 from rosterloom.plans.config import FlowConfig, people_flow
 from rosterloom.plans.people import LABELS
-from rosterloom.plans.scratch import scratch_path, written
+from rosterloom.scratch import scratch_path, written
 
 RAW = {
     "snapshot": tables.snapshot_raw,

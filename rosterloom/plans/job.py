@@ -19,7 +19,7 @@ from rosterloom.plans import rules
 from rosterloom.plans.config import JobConfig
 from rosterloom.plans.flows import FLOWS, Built, Flow, kept_headers
 from rosterloom.plans.rules import RuleResult, Severity
-from rosterloom.plans.scratch import scratch_path, written_and_counted
+from rosterloom.scratch import scratch_path, written_and_counted
 from rosterloom.sources.publish import publish
 from rosterloom.sources.staged import read_staged
 

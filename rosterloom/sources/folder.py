@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import json
 import re
 from collections import defaultdict
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
-from threading import Lock
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +18,9 @@ from rosterloom.functions import header_code
 from rosterloom.operators.profile import profile_columns
 from rosterloom.operators.rows import FILE, FILE_ORDER, SHEET
 from rosterloom.operators.shape import clean_all_text, header_matches
-from rosterloom.sources.intask import WorkbookSource, header_scan
+from rosterloom.operators.skew import SMALL_ROWS
+from rosterloom.scratch import scratch_path, written
+from rosterloom.sources.intask import header_scan, workbook_rows
 
 #: Which file, and which version of it, a row comes from.
 PATH, MODIFIED, SIZE = "_source_path", "_source_modified", "_source_size"
@@ -34,7 +34,13 @@ PROVENANCE = T.StructType(
 )
 
 
-_REGISTERING = Lock()
+#: The code of the header line of a row's file.
+LAYOUT = "_source_layout"
+#: Up to this many files are named one by one. Of more, only what their layouts share passes through the driver.
+FEW_FILES = 1_000
+#: At most this many files are named in a message.
+NAMED_FILES = 20
+TABLES_PER_TASK = 50
 
 
 class SourceError(RuntimeError):
@@ -89,9 +95,9 @@ def _listing(spark: SparkSession, pattern: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, source: Source) -> DataFrame:
-    """(path, modified, size) of every file once, in path order; ``modified`` in microseconds.
+    """(path, modified, size) of every file once; ``modified`` in microseconds.
 
-    Editor lock files (``~$``) are left out.
+    Editor lock files (``~$``) are left out. The listing is taken when this is called.
     """
     found = []
     for pattern in source.paths:
@@ -101,9 +107,9 @@ def list_files(spark: SparkSession, source: Source) -> DataFrame:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
     name = F.element_at(F.split("path", "/"), -1)
-    listed = []
+    files = None
     if found:
-        files = (
+        listed = (
             reduce(DataFrame.unionByName, found)
             .filter(~name.startswith("~$"))
             .select(
@@ -112,16 +118,61 @@ def list_files(spark: SparkSession, source: Source) -> DataFrame:
                 F.col("length").alias("size"),
             )
         )
-        listed = sorted(set(files.collect()))  # names and sizes; Spark plans scans from the same
-    if not listed:
+        rows = few_rows(listed)
+        if rows is not None:
+            files = spark.createDataFrame(sorted(set(rows)), listed.schema) if rows else None
+        else:
+            files = written(listed.distinct(), scratch_path(spark, "listing"))
+    if files is None:
         raise SourceError("no file found for: " + ", ".join(source.paths))
-    return spark.createDataFrame(listed, "path string, modified bigint, size bigint")
+    return files
 
 
-def scan_headers(spark: SparkSession, files: DataFrame, source: Source) -> list:
-    """One (path, modified, size, sheet, headers) row per table, in path order.
+def few_rows(df: DataFrame) -> list | None:
+    """The rows of a listing, or None if there are more than ``FEW_FILES``."""
+    rows = df.limit(FEW_FILES + 1).collect()
+    return rows if len(rows) <= FEW_FILES else None
 
-    Reads the start of each file only, in tasks. What reaches the driver is the file listing.
+
+def held(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as it is now: up to ``FEW_FILES`` rows with the plan itself, more of them in a written table."""
+    rows = few_rows(df)
+    if rows is None:
+        return written(df, scratch_path(df.sparkSession, name))
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
+@dataclass(frozen=True)
+class Layout:
+    """A header line: its code, the headers, how many files or sheets have it, and one of those."""
+
+    code: int
+    headers: tuple[str, ...]
+    tables: int
+    path: str
+    sheet: str
+
+
+@dataclass(frozen=True)
+class Scanned:
+    """The tables found in files: (path, modified, size, sheet, layout) in Spark, and their layouts."""
+
+    tables: DataFrame
+    layouts: list[Layout]
+
+    @property
+    def count(self) -> int:
+        return sum(layout.tables for layout in self.layouts)
+
+    def only(self, layout: Layout) -> Scanned:
+        return Scanned(self.tables.filter(F.col("layout") == layout.code), [layout])
+
+
+def scan_headers(spark: SparkSession, files: DataFrame, source: Source) -> Scanned:
+    """Header lines of all files, read in tasks. Only one row per distinct header line reaches the driver.
+
+    Empty files and empty sheets beside others hold nothing and are left out; a file that holds
+    something without a header line is an error, so that no row is lost unseen.
     """
     options = {
         "format": source.format,
@@ -130,14 +181,39 @@ def scan_headers(spark: SparkSession, files: DataFrame, source: Source) -> list:
         "sep": source.sep,
         "encoding": source.encoding,
     }
-    return (
-        files.mapInArrow(
+    headers = F.col("headers")
+    found = held(
+        files.repartition(spread_over(files), "path")
+        .mapInArrow(
             header_scan(options),
             "path string, modified bigint, size bigint, sheet string, headers array<string>",
         )
-        .orderBy("path", "sheet")
-        .collect()
+        .withColumn("layout", F.when(F.size(headers) > 0, F.xxhash64(F.to_json(headers)))),
+        "tables",
     )
+    least = F.min(F.struct("path", "sheet"))
+    groups = found.groupBy("layout", "headers").agg(F.count("*").alias("n"), least.alias("first")).collect()
+    if any(g["layout"] is None for g in groups):
+        empty = found.groupBy("path").agg(F.max("size").alias("size"), F.count("layout").alias("read"))
+        lost = empty.filter("size > 0 and read = 0").orderBy("path").limit(NAMED_FILES).collect()
+        if lost:
+            raise SourceError("no header line in: " + ", ".join(r["path"] for r in lost))
+    layouts = [
+        Layout(g["layout"], tuple(g["headers"]), g["n"], g["first"]["path"], g["first"]["sheet"])
+        for g in groups
+        if g["layout"] is not None
+    ]
+    if not layouts:
+        raise SourceError("no file has a header line: " + ", ".join(source.paths))
+    if len({layout.code for layout in layouts}) < len(layouts):
+        raise SourceError("two header lines have the same code")
+    layouts.sort(key=lambda layout: (layout.path, layout.sheet))
+    return Scanned(found.filter("layout is not null").drop("headers"), layouts)
+
+
+def spread_over(files: DataFrame) -> int:
+    """Partitions for work on whole files, each of which takes a while: some for every core."""
+    return 4 * files.sparkSession.sparkContext.defaultParallelism
 
 
 def plain_path(path: Column) -> Column:
@@ -168,38 +244,55 @@ def _as_text(field_: T.StructField) -> Column:
     return c.cast("string")
 
 
-def _read_tables(spark: SparkSession, tables: list, source: Source) -> DataFrame:
-    """Tables with the same headers, in columns c0, c1, ..., plus their provenance."""
-    width = len(tables[0]["headers"])
-    names = [f"c{i}" for i in range(width)]
+def _read_tables(spark: SparkSession, scanned: Scanned, source: Source) -> DataFrame:
+    """The rows of all tables in columns c0, c1, ... as they stand in each, their provenance and layout."""
+    names = [f"c{i}" for i in range(max(len(layout.headers) for layout in scanned.layouts))]
     if source.format == "workbook":
-        with _REGISTERING:  # flows are read at the same time
-            spark.dataSource.register(WorkbookSource)
-        listed = [
-            [t["path"], t["sheet"], t["modified"], t["size"]] for t in tables
-        ]
-        cells = [T.StructField(n, T.StringType()) for n in names]
-        return (
-            spark.read.format("workbook")
-            .option("tables", json.dumps(listed))
-            .option("header_row", source.header_row)
-            .schema(T.StructType([*cells, *PROVENANCE.fields]))
-            .load()
-        )
-    paths = [t["path"] for t in tables]
+        return _read_workbooks(scanned, names, source)
     if source.format == "parquet":
-        rows = spark.read.options(**source.options).parquet(*paths)
-        cells = [_as_text(f).alias(n) for f, n in zip(rows.schema.fields, names, strict=True)]
-    else:
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        rows = (
-            spark.read.schema(schema)
-            .options(header=True, sep=source.sep, encoding=source.encoding, escape='"')
-            .options(**source.options)
-            .csv(paths)
-        )
-        cells = [F.col(n) for n in names]
-    return rows.select(*cells, *metadata_columns())
+        # A typed format: what has the same columns is read together.
+        parts = [_read_parquet(spark, scanned.only(layout), source) for layout in scanned.layouts]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    reader = (
+        spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+        .options(header=True, sep=source.sep, encoding=source.encoding, escape='"')
+        .options(**source.options)
+    )
+    few = scanned.count <= FEW_FILES
+    if few:
+        rows = reader.csv([r["path"] for r in scanned.tables.select("path").collect()])
+    else:  # the same files by their patterns, so that their names need not pass through here
+        rows = reduce(DataFrame.unionByName, [_by_pattern(reader, p) for p in source.paths])
+    rows = rows.select(*[F.col(n) for n in names], *metadata_columns())
+    if few and len(scanned.layouts) == 1:
+        return rows.withColumn(LAYOUT, F.lit(scanned.layouts[0].code))
+    where = scanned.tables.select(F.col("path").alias(PATH), F.col("layout").alias(LAYOUT))
+    return rows.join(F.broadcast(where) if scanned.count <= SMALL_ROWS else where, PATH)
+
+
+def _by_pattern(reader, pattern: str) -> DataFrame:
+    if "**" not in pattern:
+        return reader.csv(pattern)
+    folder = pattern[: pattern.index("**")].rpartition("/")[0] or ("/" if pattern[0] == "/" else ".")
+    return reader.option("recursiveFileLookup", "true").csv(folder)
+
+
+def _read_parquet(spark: SparkSession, scanned: Scanned, source: Source) -> DataFrame:
+    # Names of files, which Spark's reader takes one by one and keeps in its plan.
+    paths = [r["path"] for r in scanned.tables.select("path").distinct().toLocalIterator()]
+    rows = spark.read.options(**source.options).parquet(*paths)
+    cells = [_as_text(f).alias(f"c{i}") for i, f in enumerate(rows.schema.fields)]
+    return rows.select(*cells, *metadata_columns(), F.lit(scanned.layouts[0].code).alias(LAYOUT))
+
+
+def _read_workbooks(scanned: Scanned, names: list[str], source: Source) -> DataFrame:
+    """A workbook cannot be split; its sheets are read by tasks that get some of all sheets each."""
+    cells = [T.StructField(n, T.StringType()) for n in names]
+    schema = T.StructType([*cells, *PROVENANCE.fields, T.StructField(LAYOUT, T.LongType())])
+    parts = min(scanned.count, max(spread_over(scanned.tables), scanned.count // TABLES_PER_TASK))
+    listed = scanned.tables.select("path", "sheet", "modified", "size", "layout")
+    reader = workbook_rows(schema.names, source.header_row)
+    return listed.repartition(parts, "path", "sheet").mapInArrow(reader, schema)
 
 
 def read_folder(
@@ -211,20 +304,19 @@ def read_folder(
 ) -> DataFrame:
     """Stack all files of a source by column name, with the provenance of every row.
 
-    Headers are matched to the contract per file, before stacking: one read per distinct header
-    line, then a union by name. (One read of the whole folder would assign the cells of files
-    with another column order to the wrong columns.) ``keep`` maps an internal column name to a
-    source header that is not in the contract but is needed later.
+    Headers are matched to the contract per file: all files are read by position at once, and each
+    row finds its columns by the header line of its own file. ``keep`` maps an internal column name
+    to a source header that is not in the contract but is needed later.
     """
     files = list_files(spark, source) if files is None else files
     return stack_tables(spark, scan_headers(spark, files, source), source, contract, keep)
 
 
 def wanted_columns(
-    headers: list[str], contract: TableContract, keep: Mapping[str, str] | None = None
+    headers: Sequence[str], contract: TableContract, keep: Mapping[str, str] | None = None
 ) -> list[tuple[int, str]]:
     """(position, name) of the contract columns, and of the kept ones, in a header line."""
-    found = header_matches(headers, contract)
+    found = header_matches(list(headers), contract)
     codes = [header_code(h) for h in headers]
     for name, header in (keep or {}).items():
         if header and header_code(header) in codes:
@@ -232,40 +324,34 @@ def wanted_columns(
     return found
 
 
-def by_layout(tables: list) -> dict[tuple[str, ...], list]:
-    """Tables grouped by their header line.
-
-    Empty files and empty sheets beside others hold nothing and are left out; a file that holds
-    something without a header line is an error, so that no row is lost unseen.
-    """
-    groups: dict[tuple[str, ...], list] = defaultdict(list)
-    read = {t["path"] for t in tables if t["headers"]}
-    lost = sorted({t["path"] for t in tables if t["size"] and t["path"] not in read})
-    if lost:
-        raise SourceError("no header line in: " + ", ".join(lost))
-    for table in tables:
-        if table["headers"]:
-            groups[tuple(table["headers"])].append(table)
-    return groups
-
-
 def stack_tables(
     spark: SparkSession,
-    tables: list,
+    scanned: Scanned,
     source: Source,
     contract: TableContract,
     keep: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """The tables found by ``scan_headers``: one read per header line, a union by name."""
-    parts = []
-    for headers, group in by_layout(tables).items():
-        cells = [
-            F.col(f"c{i}").alias(name) for i, name in wanted_columns(list(headers), contract, keep)
-        ]
-        parts.append(_read_tables(spark, group, source).select(*cells, *PROVENANCE.names))
-    if not parts:
-        raise SourceError("no file has a header line: " + ", ".join(source.paths))
-    return with_file_order(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts))
+    """The tables found by ``scan_headers``, each cell under the contract's name for its own header."""
+    places: dict[str, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
+    for layout in scanned.layouts:
+        for position, name in wanted_columns(layout.headers, contract, keep):
+            places[name][position].append(layout.code)
+    every = len(scanned.layouts)
+
+    def cell(name: str) -> Column:
+        found = None
+        for position, codes in places[name].items():
+            own = F.col(f"c{position}")
+            if len(codes) == every:
+                return own
+            holds = F.col(LAYOUT).isin(*codes)
+            found = F.when(holds, own) if found is None else found.when(holds, own)
+        return found
+
+    rows = _read_tables(spark, scanned, source)
+    return with_file_order(
+        rows.select(*[cell(name).alias(name) for name in places], *PROVENANCE.names)
+    )
 
 
 def profile_source(spark: SparkSession, source: Source, contract: TableContract) -> DataFrame:
@@ -274,18 +360,16 @@ def profile_source(spark: SparkSession, source: Source, contract: TableContract)
     ``tables`` counts the files or sheets that share the header line; ``example`` names one.
     """
     parts = []
-    for headers, group in by_layout(scan_headers(spark, list_files(spark, source), source)).items():
-        cells = _read_tables(spark, group, source).select(
-            *[F.col(f"c{i}") for i in range(len(headers))]
-        )
-        example = group[0]["path"].rsplit("/", 1)[-1]
+    scanned = scan_headers(spark, list_files(spark, source), source)
+    for layout in scanned.layouts:
+        rows = _read_tables(spark, scanned.only(layout), source)
+        cells = rows.select(*[F.col(f"c{i}") for i in range(len(layout.headers))])
+        example = layout.path.rsplit("/", 1)[-1]
         parts.append(
-            profile_columns(clean_all_text(cells).toDF(*_distinct_names(headers)), contract)
-            .withColumn("tables", F.lit(len(group)))
-            .withColumn("example", F.lit(f"{example}, sheet {group[0]['sheet']}"))
+            profile_columns(clean_all_text(cells).toDF(*_distinct_names(layout.headers)), contract)
+            .withColumn("tables", F.lit(layout.tables).cast("int"))
+            .withColumn("example", F.lit(f"{example}, sheet {layout.sheet}"))
         )
-    if not parts:
-        raise SourceError("no file has a header line: " + ", ".join(source.paths))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -11,7 +11,6 @@ from __future__ import annotations
 import csv
 import datetime as dt
 import io
-import json
 import re
 import sys
 import zipfile
@@ -20,7 +19,6 @@ from xml.etree import ElementTree
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -190,51 +188,33 @@ def header_scan(options: dict):
     return scan
 
 
-class WorkbookReader(DataSourceReader):
-    def __init__(self, schema, options) -> None:
-        self._width = len(schema.names) - 4
-        self._names = list(schema.names)
-        self._tables = json.loads(options["tables"])
-        self._header_row = int(options.get("header_row", 0))
-
-    def partitions(self) -> list[InputPartition]:
-        return [InputPartition(table) for table in self._tables]
-
-    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        path, sheet, *_ = partition.value
-        rows = Workbook(path).rows(sheet, self._width)
-        for _ in range(self._header_row + 1):
-            next(rows, None)
-        batch: list[list[str | None]] = []
-        for row in rows:
-            batch.append(row)
-            if len(batch) == _BATCH_ROWS:
-                yield self._arrow(batch, partition.value)
-                batch = []
-        if batch:
-            yield self._arrow(batch, partition.value)
-
-    def _arrow(self, rows: list, provenance: list) -> pa.RecordBatch:
-        columns = [pa.array(c, pa.string()) for c in zip(*rows, strict=True)]
-        for constant in provenance:
-            kind = pa.string() if isinstance(constant, str) else pa.int64()
-            columns.append(pa.array([constant] * len(rows), kind))
-        return pa.RecordBatch.from_arrays(columns, names=self._names)
-
-
-class WorkbookSource(DataSource):
-    """``spark.read.format("workbook")``: one task per sheet, every cell as text.
+def workbook_rows(names: list[str], header_row: int):
+    """Function for ``mapInArrow``: (path, sheet, modified, size, layout) in, the rows of those sheets out.
 
-    Options: ``tables`` (JSON list of [path, sheet, modified, size]) and ``header_row``. The
-    schema names the leading columns of the sheet, all strings, followed by those four.
+    ``names`` are the leading cells as text, and then the five columns that came in.
     """
+    width = len(names) - 5
 
-    @classmethod
-    def name(cls) -> str:
-        return "workbook"
-
-    def schema(self) -> str:
-        raise ValueError("the workbook source needs a schema")
-
-    def reader(self, schema) -> WorkbookReader:
-        return WorkbookReader(schema, self.options)
+    def arrow(batch: list[list[str | None]], table: dict) -> pa.RecordBatch:
+        columns = [pa.array(c, pa.string()) for c in zip(*batch, strict=True)]
+        for constant in table.values():
+            kind = pa.string() if isinstance(constant, str) else pa.int64()
+            columns.append(pa.array([constant] * len(batch), kind))
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    def read(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for listed in tables:
+            for table in listed.to_pylist():
+                rows = Workbook(table["path"]).rows(table["sheet"], width)
+                for _ in range(header_row + 1):
+                    next(rows, None)
+                batch: list[list[str | None]] = []
+                for row in rows:
+                    batch.append(row)
+                    if len(batch) == _BATCH_ROWS:
+                        yield arrow(batch, table)
+                        batch = []
+                if batch:
+                    yield arrow(batch, table)
+
+    return read

@@ -12,12 +12,15 @@ from pyspark.sql import types as T
 from rosterloom.contract import TableContract
 from rosterloom.operators.rows import FILE, FILE_ORDER, SHEET
 from rosterloom.operators.skew import SMALL_ROWS
+from rosterloom.scratch import scratch_path, written
 from rosterloom.sources.folder import (
-    SourceError,
     MODIFIED,
+    NAMED_FILES,
     PATH,
     SIZE,
     Source,
+    SourceError,
+    few_rows,
     list_files,
     scan_headers,
     stack_tables,
@@ -27,8 +30,6 @@ from rosterloom.sources.folder import (
 #: Part of every fingerprint: a reader that understands files otherwise takes a new number and stages them anew.
 READER_VERSION = "1"
 FINGERPRINT = "file_fingerprint"
-#: Up to this many files are named in the partition filter itself.
-FEW_FILES = 1_000
 _MANIFEST = f"{FINGERPRINT} string, path string, columns array<string>"
 
 
@@ -80,27 +81,42 @@ def read_staged(
         F.col("path"), F.col("modified"), F.col("size"), source, contract, keep
     )
     current = list_files(spark, source).withColumn(FINGERPRINT, identity)
-    # What is exchanged with the driver here are file listings, never rows.
-    manifest = _manifest(spark, staging_path).drop("path")
-    known = current.join(manifest, FINGERPRINT, "left").select(
-        *current.columns,
-        F.coalesce("columns", F.array().cast("array<string>")).alias("columns"),
-        F.isnotnull("columns").alias("loaded"),
-    )
-    listed = known.collect()
-    seen = {c for f in listed for c in f["columns"]}
-    pending = [f[: len(current.columns)] for f in listed if restage or not f["loaded"]]
-    if pending:
-        files = spark.createDataFrame(list(set(pending)), current.schema)
-        seen |= _load(spark, source, contract, staging_path, keep, files)
-    versions = sorted({f[FINGERPRINT] for f in listed})
-    return _read(spark, contract, staging_path, versions, keep, seen)
+    manifest = _manifest(spark, staging_path)
+    listed = few_rows(current)
+    if listed is not None:  # what a few files are known by is compared here, without a job for it
+        versions = sorted(r[FINGERPRINT] for r in listed)
+        of_these = manifest.filter(F.col(FINGERPRINT).isin(*versions))
+        loaded = {r[FINGERPRINT]: r["columns"] for r in of_these.collect()}
+        seen = {c for columns in loaded.values() for c in columns}
+        new = [r for r in listed if restage or r[FINGERPRINT] not in loaded]
+        if new:
+            pending = spark.createDataFrame(new, current.schema)
+            seen |= _load(spark, source, contract, staging_path, keep, pending)
+        return _rows(spark, contract, staging_path, keep, seen).filter(
+            F.col(FINGERPRINT).isin(*versions)
+        ).drop(FINGERPRINT)
+    # A load that died after its last write but one may have left a version in the manifest twice.
+    once = manifest.dropDuplicates([FINGERPRINT]).select(FINGERPRINT, "columns")
+    known = written(current.join(once, FINGERPRINT, "left"), scratch_path(spark, "versions"))
+    state = known.agg(
+        F.count("*").alias("files"),
+        F.count_if(F.col("columns").isNull()).alias("new"),
+        F.collect_set("columns").alias("columns"),  # one entry for each layout
+    ).first()
+    seen = {c for columns in state["columns"] for c in columns}
+    if restage or state["new"]:
+        pending = known if restage else known.filter("columns is null")
+        seen |= _load(spark, source, contract, staging_path, keep, pending.select(*current.columns))
+    versions = known.select(FINGERPRINT)
+    versions = F.broadcast(versions) if state["files"] <= SMALL_ROWS else versions
+    rows = _rows(spark, contract, staging_path, keep, seen)
+    return rows.join(versions, FINGERPRINT, "left_semi").drop(FINGERPRINT)
 
 
 def _load(spark, source, contract, staging_path, keep, pending: DataFrame) -> set[str]:
     """Stage the pending files; returns the columns they provide."""
-    tables = scan_headers(spark, pending.drop(FINGERPRINT), source)
-    rows = stack_tables(spark, tables, source, contract, keep)
+    scanned = scan_headers(spark, pending.drop(FINGERPRINT), source)
+    rows = stack_tables(spark, scanned, source, contract, keep)
     identity = _fingerprint(F.col(PATH), F.col(MODIFIED), F.col(SIZE), source, contract, keep)
     (
         rows.withColumn(FINGERPRINT, identity)
@@ -116,24 +132,30 @@ def _load(spark, source, contract, staging_path, keep, pending: DataFrame) -> se
     kept = list_files(spark, source).select(_fingerprint(
         F.col("path"), F.col("modified"), F.col("size"), source, contract, keep
     ).alias(FINGERPRINT))
-    changed = [r["path"] for r in pending.join(kept, FINGERPRINT, "left_anti").collect()]
-    if changed:
-        raise SourceError("changed while they were read, load again: " + ", ".join(sorted(changed)))
-    provided: dict[str, set[str]] = {}
-    for t in tables:
-        names = {name for _, name in wanted_columns(t["headers"], contract, keep)}
-        provided.setdefault(t["path"], set()).update(names)
-    loaded = [
-        (f[FINGERPRINT], f["path"], sorted(provided.get(f["path"], ()))) for f in pending.collect()
-    ]
-    spark.createDataFrame(loaded, _MANIFEST).write.mode("append").parquet(
-        f"{staging_path}/manifest"
+    gone = pending.join(kept, FINGERPRINT, "left_anti").orderBy("path").limit(NAMED_FILES).collect()
+    if gone:
+        raise SourceError("changed while they were read, load again: " + ", ".join(r["path"] for r in gone))
+    provided = {
+        layout.code: sorted({name for _, name in wanted_columns(layout.headers, contract, keep)})
+        for layout in scanned.layouts
+    }
+    by_layout = spark.createDataFrame(list(provided.items()), "layout bigint, provided array<string>")
+    of_path = (
+        scanned.tables.join(F.broadcast(by_layout), "layout")
+        .groupBy("path")
+        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("provided")))).alias("columns"))
     )
-    return set().union(*provided.values())
+    nothing = F.array().cast("array<string>")
+    (
+        pending.join(of_path, "path", "left")
+        .select(FINGERPRINT, "path", F.coalesce("columns", nothing).alias("columns"))
+        .write.mode("append").parquet(f"{staging_path}/manifest")
+    )
+    return {name for names in provided.values() for name in names}
 
 
-def _read(spark, contract, staging_path, versions: list[str], keep, seen) -> DataFrame:
-    """The rows of these file versions. Other partitions are pruned; staged rows never move."""
+def _rows(spark, contract, staging_path, keep, seen) -> DataFrame:
+    """All staged rows, to be filtered by version: other partitions are pruned, and staged rows never move."""
     names = [
         *[n for n in contract.names if n in seen],
         *[k for k in (keep or {}) if k in seen],
@@ -144,10 +166,4 @@ def _read(spark, contract, staging_path, versions: list[str], keep, seen) -> Dat
         FINGERPRINT,
     ]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    rows = spark.read.schema(schema).parquet(f"{staging_path}/rows")
-    if len(versions) <= FEW_FILES:
-        return rows.filter(F.col(FINGERPRINT).isin(*versions)).drop(FINGERPRINT)
-    current = spark.createDataFrame([(v,) for v in versions], f"{FINGERPRINT} string")
-    if len(versions) <= SMALL_ROWS:
-        current = F.broadcast(current)
-    return rows.join(current, FINGERPRINT, "left_semi").drop(FINGERPRINT)
+    return spark.read.schema(schema).parquet(f"{staging_path}/rows")

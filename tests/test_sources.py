@@ -67,6 +67,26 @@ def test_headers_are_mapped_per_file(spark, tmp_path, contract):
     ]
 
 
+@pytest.mark.parametrize("few", [1000, 1])
+def test_many_files_of_several_layouts(spark, tmp_path, contract, monkeypatch, few):
+    """With more files than are named one by one, nothing is read twice and nothing else is read."""
+    monkeypatch.setattr("rosterloom.sources.folder.FEW_FILES", few)
+    lines = [("CHAPA;NOME", "{0};A{0}"), ("x;Nome;Chapa", "-;A{0};{0}"), ("NOME", "A{0}")]
+    for i in range(12):
+        header, row = lines[i % 3]
+        text_file(tmp_path / "in" / f"{i % 4}" / f"f {i}+.csv", header, row.format(i), *([row.format(100 + i) + ";more;cells"] * (i % 2)))
+    text_file(tmp_path / "in" / "0" / "~$f.csv", "CHAPA;NOME", "lock;lock")
+    text_file(tmp_path / "in" / "0" / "other.txt", "CHAPA;NOME", "other;other")
+    for paths in (f"{tmp_path}/in/*/*.csv", (f"{tmp_path}/in/**/*.csv",)):
+        df = read_folder(spark, Source(paths), contract)
+        got = sorted(map(tuple, df.select("person_id", "full_name", "_source_file").collect()), key=str)
+        want = []
+        for i in range(12):
+            for n in (i, 100 + i) if i % 2 else (i,):
+                want.append((None if i % 3 == 2 else str(n), f"A{n}", f"f {i}+.csv"))
+        assert got == sorted(want, key=str)
+
+
 def test_file_order_follows_modification_time(spark, tmp_path, contract):
     text_file(tmp_path / "new.csv", "CHAPA", "1")
     age(text_file(tmp_path / "old.csv", "CHAPA", "2"), 1000)
@@ -127,12 +147,13 @@ def test_workbook_sheets(spark, tmp_path, contract):
     assert people("*") == [("1", "A"), ("2", "B"), ("3", "B")]
 
 
-@pytest.mark.parametrize(("few", "small"), [(1000, 1000), (0, 1000), (0, 0)])
+@pytest.mark.parametrize(("few", "small"), [(1000, 1000), (1, 1000), (1, 0)])
 def test_staged_copy_is_used_until_a_file_changes(
     spark, tmp_path, contract, monkeypatch, few, small
 ):
-    monkeypatch.setattr("rosterloom.sources.staged.FEW_FILES", few)
     monkeypatch.setattr("rosterloom.sources.staged.SMALL_ROWS", small)
+    monkeypatch.setattr("rosterloom.sources.folder.FEW_FILES", few)
+    monkeypatch.setattr("rosterloom.sources.folder.SMALL_ROWS", small)
     first = text_file(tmp_path / "in" / "1.csv", "CHAPA", "1")
     text_file(tmp_path / "in" / "2.csv", "NOME", "B")
     source, stage = Source(f"{tmp_path}/in/*.csv"), f"{tmp_path}/stage"
@@ -154,7 +175,7 @@ def test_staged_copy_is_used_until_a_file_changes(
     after = {p: os.stat(f"{stage}/rows/{p}").st_mtime_ns for p in staged() if "=" in p}
     assert len(after) == 3 and all(after[p] == t for p, t in before.items())
     assert read(restage=True) == [("1", None), ("11", None), (None, "B")]
-    if few:
+    if few > 1:
         plan = read_staged(spark, source, contract, stage)._jdf.queryExecution().toString()
         assert "PartitionFilters: [file_fingerprint" in plan and "Exchange" not in plan
 
