@@ -31,7 +31,7 @@ _PENALTY = 10.0
 _LONG = 96
 _STRETCH = 1 << 15
 #: Bytes of words that are segmented together.
-_TOGETHER = 1 << 19
+_TOGETHER = 1 << 20
 
 
 def _hash(sums: np.ndarray, begin: np.ndarray | int, end: np.ndarray | int, down: np.ndarray) -> np.ndarray:
@@ -265,7 +265,7 @@ def _loaded(path: str) -> Pieces:
     return _LOADED[path]
 
 
-def _lists(texts: Iterable[str | None], size: int = 1 << 20) -> Iterator[list[str | None]]:
+def _lists(texts: Iterable[str | None], size: int = 1 << 21) -> Iterator[list[str | None]]:
     group: list[str | None] = []
     total = 0
     for text in texts:
