@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -80,3 +80,35 @@ def rows_on_one_side(old: DataFrame, new: DataFrame, keys: Sequence[str], n: int
     side = F.when(F.col("_n_new") == 0, "old").otherwise("new")
     found = grouped.filter(one_side).select(*keys, side.alias("side"))
     return found if n is None else found.orderBy(*keys).limit(n)
+
+
+def all_changes(
+    old: DataFrame,
+    new: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str] | None = None,
+    n: int | None = None,
+) -> DataFrame:
+    """(column, keys, old, new) for every differing cell of keys that stand once on either side, as text.
+
+    With ``n``, the first ``n`` of each column in key order, numbered by ``nth``. Both tables are read
+    once for all columns, and tasks keep ``n`` rows of each column before anything is sorted.
+    """
+    columns = list(columns or [c for c in old.columns if c in new.columns and c not in keys])
+    text = lambda prefix, c: F.col(f"{prefix}{c}").cast("string")
+    cells = [
+        F.when(
+            ~F.col(f"_old_{c}").eqNullSafe(F.col(f"_new_{c}")),
+            F.struct(F.lit(c).alias("column"), text("_old_", c).alias("old"), text("_new_", c).alias("new")),
+        )
+        for c in columns
+    ]
+    paired = _by_key(old, new, keys, columns).filter("_n_old = 1 and _n_new = 1")
+    changed = F.filter(F.array(*cells), lambda cell: cell.isNotNull())
+    found = paired.select(*keys, F.explode(changed).alias("_cell")).select(
+        "_cell.column", *keys, "_cell.old", "_cell.new"
+    )
+    if n is None:
+        return found
+    order = Window.partitionBy("column").orderBy(*keys)
+    return found.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= n)

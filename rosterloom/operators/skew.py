@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rosterloom.scratch import local_table
+
 #: A key is hot when it has at least this many rows: more than one task should take in a join.
 HOT_MIN_ROWS = 1_000_000
 #: At most this many hot keys are split off, which bounds the broadcast side to as many rows.
@@ -117,4 +119,4 @@ def copy_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         return None
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    return local_table(df.sparkSession, rows, df.schema)

@@ -13,13 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterloom.operators.shape import clean_all_text, drop_blank_rows, is_internal
+from rosterloom.operators.rows import FILE, FILE_ORDER, SHEET
 from rosterloom.operators.skew import spread
 from rosterloom.operators.stack import labelled_parts, rows_per_label
 from rosterloom.plans import rules
 from rosterloom.plans.config import JobConfig
 from rosterloom.plans.flows import FLOWS, Built, Flow, kept_headers
 from rosterloom.plans.rules import RuleResult, Severity
-from rosterloom.scratch import scratch_path, written_and_counted
+from rosterloom.scratch import local_table, scratch_path, written_and_counted
+from rosterloom.sources.folder import PATH
 from rosterloom.sources.publish import publish
 from rosterloom.sources.staged import read_staged
 
@@ -157,7 +159,8 @@ def _read(spark: SparkSession, flow: Flow, config: JobConfig, scratch: str, rest
     )
     if flow.prepare:
         staged = flow.prepare(staged, settings)
-    raw = clean_all_text(drop_blank_rows(spread(staged)))
+    # Names of files are no cells.
+    raw = clean_all_text(drop_blank_rows(spread(staged)), spare=(PATH, SHEET, FILE, FILE_ORDER))
     both, counts, columns = rules.typed_beside(raw, config.contract)
     typed, unread = written_and_counted(both, f"{scratch}/{flow.name}/typed", counts, columns)
     return _Read(raw, typed, unread)
@@ -213,13 +216,20 @@ def _flow_sizes(spark: SparkSession, result: RunResult) -> DataFrame:
         (name, result.rows[name], sum(not is_internal(c) for c in table.columns))
         for name, table in result.tables.items()
     ]
-    return spark.createDataFrame(sizes, "flow string, rows bigint, columns int")
+    return local_table(spark, sizes, "flow string, rows bigint, columns int")
 
 
 def _write_report(
-    spark: SparkSession, config: JobConfig, result: RunResult, started: dt.datetime
+    spark: SparkSession,
+    config: JobConfig,
+    result: RunResult,
+    started: dt.datetime,
+    counts: DataFrame | None,
 ) -> None:
-    """The run, its flows, all rule outcomes, and sample rows (as JSON) for rules that have some."""
+    """The run, its flows, all rule outcomes, and sample rows (as JSON) for rules that have some.
+
+    ``counts`` are the rows per label that the next run compares with.
+    """
 
     def append(table: DataFrame, name: str) -> None:
         table.withColumn("run_id", F.lit(result.run_id)).coalesce(1).write.mode(
@@ -246,13 +256,16 @@ def _write_report(
         samples = rows if samples is None else samples.unionByName(rows)
     parts = [(outcomes, "rule_results"), (_flow_sizes(spark, result), "run_flows")]
     parts += [(samples, "rule_samples")] if samples is not None else []
-    with ThreadPoolExecutor(max_workers=len(parts)) as pool:
-        list(pool.map(lambda part: append(*part), parts))
     seconds = (dt.datetime.now(dt.timezone.utc) - started).total_seconds()
     summary = (
         result.reference_date, started, seconds, result.severity.name, result.published, result.written,
     )
-    append(spark.createDataFrame([summary], _RUNS), "runs")
+    parts.append((local_table(spark, [summary], _RUNS), "runs"))
+    with ThreadPoolExecutor(max_workers=len(parts) + 1) as pool:
+        kept = pool.submit(_write_history, counts, config, result) if counts is not None else None
+        list(pool.map(lambda part: append(*part), parts))
+        if kept:
+            kept.result()
 
 
 def _reconciled(config: JobConfig, tables: dict[str, DataFrame]) -> list[RuleResult]:
@@ -334,8 +347,8 @@ def run(
                 result.tables[name], config.contract, name
             )
         result.stacked = stacked
-        counts = spark.createDataFrame(  # one row per label
-            counting.result(), f"`{config.label_column}` string, rows bigint"
+        counts = local_table(  # one row per label
+            spark, counting.result(), f"`{config.label_column}` string, rows bigint"
         )
         result.results += rules.output_contract(stacked, config.contract, config.label_column)
         result.results += balance.result()
@@ -359,8 +372,7 @@ def run(
             parts,
         )
         result.published = True
-        # Only complete runs are kept, so that volumes are compared like with like.
-        if set(order) == set(active_flows(config)):
-            _write_history(counts, config, result)
-    _write_report(spark, config, result, started)
+    # Only complete runs are kept, so that volumes are compared like with like.
+    complete = result.published and set(order) == set(active_flows(config))
+    _write_report(spark, config, result, started, counts if complete else None)
     return result

@@ -20,6 +20,7 @@ from rosterloom.contract import TableContract
 from rosterloom.operators.joins import FOUND
 from rosterloom.operators.rows import duplicate_groups, duplicate_sample, exclude_status
 from rosterloom.operators.shape import is_internal, typed
+from rosterloom.scratch import local_table
 
 CONSOLIDATED = "consolidated"
 NO_COUNTERPART = "_no_snapshot_expected"
@@ -457,7 +458,7 @@ def reconciliation(
     )
     for events, name in ((hires, "hires"), (leavers, "leavers")):
         if events is None or not {"period", "person_id"} <= set(events.columns):
-            per_period = spark.createDataFrame([], f"period date, {name} bigint")
+            per_period = local_table(spark, [], f"period date, {name} bigint")
         else:
             per_period = people_per_period(events, name)
         table = table.join(per_period, "period", "left").fillna(0, [name])
@@ -515,7 +516,7 @@ def budget_months(df: DataFrame, scope: str) -> list[RuleResult]:
     if not years:
         return []
     short = sorted((r for r in years if r["months"] != 12), key=lambda r: r["year"] or 0)
-    sample = df.sparkSession.createDataFrame(short, "year int, months bigint") if short else None
+    sample = local_table(df.sparkSession, short, "year int, months bigint") if short else None
     listed = ", ".join(f"{r['year']} ({r['months']})" for r in short)
     return outcome(
         "budget_months" if short else "budget_periods",
@@ -562,7 +563,39 @@ def schema_differences(df: DataFrame, contract: TableContract) -> DataFrame:
         (d.column, *(t.simpleString() if t else None for t in (d.expected, d.found)))
         for d in contract.differences(df.schema)
     ]
-    return df.sparkSession.createDataFrame(rows, "column string, expected string, found string")
+    return local_table(df.sparkSession, rows, "column string, expected string, found string")
+
+
+def contract_report(df: DataFrame, contract: TableContract) -> DataFrame:
+    """(column, problem, expected, found, filled, lost) for every column that ``df`` and the contract see differently.
+
+    ``extra`` columns would not be published, ``missing`` ones would be empty, and those of another
+    ``type`` are refused. ``filled`` counts the values that are there, ``lost`` those that the
+    contract's type could not hold. One pass over the table.
+    """
+    unlike = [d for d in contract.differences(df.schema) if not is_internal(d.column)]
+    cell = lambda d: F.col(f"`{d.column}`")
+    counts = []
+    for i, d in enumerate(unlike):
+        if d.found is None:
+            continue
+        counts.append(F.count(cell(d)).alias(f"f{i}"))
+        if d.expected is not None:
+            counts.append(F.count_if(cell(d).isNotNull() & cell(d).try_cast(d.expected).isNull()).alias(f"l{i}"))
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *counts).first()
+    told = [
+        (
+            d.column,
+            "extra" if d.expected is None else "missing" if d.found is None else "type",
+            d.expected.simpleString() if d.expected else None,
+            d.found.simpleString() if d.found else None,
+            row[f"f{i}"] if d.found else 0,
+            row[f"l{i}"] if d.found and d.expected else 0,
+        )
+        for i, d in enumerate(unlike)
+    ]
+    schema = "column string, problem string, expected string, found string, filled bigint, lost bigint"
+    return local_table(df.sparkSession, told, schema)
 
 
 def output_contract(
@@ -634,4 +667,4 @@ def results_table(spark, results: Sequence[RuleResult]) -> DataFrame:
             T.StructField("occurrences", T.LongType()),
         ]
     )
-    return spark.createDataFrame(rows, schema)
+    return local_table(spark, rows, schema)

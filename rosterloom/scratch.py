@@ -1,12 +1,15 @@
-"""Intermediate tables on the storage the cluster shares."""
+"""Intermediate tables on the storage the cluster shares, and small ones that are part of the plan."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -48,3 +51,12 @@ def written_and_counted(
     passing = df.observe(seen, *counts)
     table = written(passing if columns is None else passing.select(*columns), path)
     return table, seen.get
+
+
+def local_table(
+    spark: SparkSession, rows: Iterable[Sequence], schema: str | T.StructType
+) -> DataFrame:
+    """A few rows as a table that is part of the plan: reading it takes no job and no Python worker."""
+    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    listed = [dict(zip(kind.names, row, strict=True)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(listed, schema=to_arrow_schema(kind)), kind)

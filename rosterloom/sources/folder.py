@@ -19,7 +19,7 @@ from rosterloom.operators.profile import profile_columns
 from rosterloom.operators.rows import FILE, FILE_ORDER, SHEET
 from rosterloom.operators.shape import clean_all_text, header_matches
 from rosterloom.operators.skew import SMALL_ROWS
-from rosterloom.scratch import scratch_path, written
+from rosterloom.scratch import local_table, scratch_path, written
 from rosterloom.sources.intask import header_scan, workbook_rows
 
 #: Which file, and which version of it, a row comes from.
@@ -120,7 +120,7 @@ def list_files(spark: SparkSession, source: Source) -> DataFrame:
         )
         rows = few_rows(listed)
         if rows is not None:
-            files = spark.createDataFrame(sorted(set(rows)), listed.schema) if rows else None
+            files = local_table(spark, sorted(set(rows)), listed.schema) if rows else None
         else:
             files = written(listed.distinct(), scratch_path(spark, "listing"))
     if files is None:
@@ -139,7 +139,7 @@ def held(df: DataFrame, name: str) -> DataFrame:
     rows = few_rows(df)
     if rows is None:
         return written(df, scratch_path(df.sparkSession, name))
-    return df.sparkSession.createDataFrame(rows, df.schema)
+    return local_table(df.sparkSession, rows, df.schema)
 
 
 @dataclass(frozen=True)

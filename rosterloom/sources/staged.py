@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from rosterloom.contract import TableContract
 from rosterloom.operators.rows import FILE, FILE_ORDER, SHEET
 from rosterloom.operators.skew import SMALL_ROWS
-from rosterloom.scratch import scratch_path, written
+from rosterloom.scratch import local_table, scratch_path, written
 from rosterloom.sources.folder import (
     MODIFIED,
     NAMED_FILES,
@@ -60,7 +60,7 @@ def _manifest(spark: SparkSession, path: str) -> DataFrame:
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], _MANIFEST)
+        return local_table(spark, [], _MANIFEST)
 
 
 def read_staged(
@@ -90,7 +90,7 @@ def read_staged(
         seen = {c for columns in loaded.values() for c in columns}
         new = [r for r in listed if restage or r[FINGERPRINT] not in loaded]
         if new:
-            pending = spark.createDataFrame(new, current.schema)
+            pending = local_table(spark, new, current.schema)
             seen |= _load(spark, source, contract, staging_path, keep, pending)
         return _rows(spark, contract, staging_path, keep, seen).filter(
             F.col(FINGERPRINT).isin(*versions)
@@ -139,7 +139,7 @@ def _load(spark, source, contract, staging_path, keep, pending: DataFrame) -> se
         layout.code: sorted({name for _, name in wanted_columns(layout.headers, contract, keep)})
         for layout in scanned.layouts
     }
-    by_layout = spark.createDataFrame(list(provided.items()), "layout bigint, provided array<string>")
+    by_layout = local_table(spark, provided.items(), "layout bigint, provided array<string>")
     of_path = (
         scanned.tables.join(F.broadcast(by_layout), "layout")
         .groupBy("path")

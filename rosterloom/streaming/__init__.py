@@ -1,5 +1,5 @@
-"""Incremental loading of arriving files."""
+"""Staging of files as they arrive."""
 
-from rosterloom.streaming.arrivals import stage_arrivals
+from rosterloom.streaming.arrivals import read_arrived, stage_arrivals, stage_arriving_layouts
 
-__all__ = ["stage_arrivals"]
+__all__ = ["read_arrived", "stage_arrivals", "stage_arriving_layouts"]
