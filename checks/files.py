@@ -10,13 +10,15 @@ from checks.tables import load
 from checks.workbooks import write_workbooks
 from rosterloom.functions import parse_date, parse_decimal
 from rosterloom.operators.rows import FILE, FILE_ORDER, SHEET
-from rosterloom.plans import JobConfig, PEOPLE_CONTRACT, run
+from rosterloom.contract import TableContract
+from rosterloom.plans import FLOWS, JobConfig, PEOPLE_CONTRACT, run
 from rosterloom.plans.config import PEOPLE_FLOWS, people_flow
 from rosterloom.plans.job import read_history
 from rosterloom.scratch import scratch_path
 from rosterloom.sources import (
     PublishOptions,
     Source,
+    profile_source,
     publish,
     read_folder,
     read_published,
@@ -24,6 +26,7 @@ from rosterloom.sources import (
     write_csv,
 )
 from rosterloom.sources.folder import MODIFIED, PATH, SIZE
+from rosterloom.streaming import read_arrived, stage_arriving_layouts
 
 #: Two layouts of the customer table: other column order, other headers, one column less.
 _LAYOUTS = {
@@ -108,6 +111,61 @@ def workbook_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("person_id", "full_name", "directorate", FILE, SHEET)
 
 
+def profiled_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both layouts of the customer folder, header by header, without the contract's missing columns."""
+    folder = _customer_folder(spark, sf_dir, "csv")
+    found = profile_source(spark, Source(f"{folder}/**/*.csv"), PEOPLE_CONTRACT)
+    return found.filter("header is not null").select(
+        F.regexp_extract("example", r"^(part)-", 1).alias("file"),
+        "header",
+        "column",
+        "status",
+        F.round("fill_ratio", 9).alias("fill_ratio"),
+        F.array_join("examples", " | ").alias("examples"),
+    )
+
+
+def arrived_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One layout arrives, then the other one; a third call finds nothing new."""
+    source = _customer_folder(spark, sf_dir, "csv")
+    arriving = Source(f"{source}/in/*.csv")
+    target, checkpoint = scratch_path(spark, "arrived"), scratch_path(spark, "arrivals")
+    for parity in (*_LAYOUTS, None):
+        if parity is not None:
+            part = load(spark, sf_dir, "customer").filter(F.col("c_custkey") % 2 == parity)
+            rows = part.selectExpr(*_LAYOUTS[parity])
+            rows.write.mode("append").csv(f"{source}/in", sep=";", header=True)
+        stage_arriving_layouts(spark, arriving, PEOPLE_CONTRACT, target, checkpoint)
+    return _people(read_arrived(spark, PEOPLE_CONTRACT, target))
+
+
+def per_flow_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CSV folder that a publication makes for one flow of three labels, beside the whole."""
+    out = scratch_path(spark, "per_flow")
+    stacked = flows.stack(spark, sf_dir).select("BASE", "full_name", "tax_id", "supplier")
+    contract = TableContract(
+        tuple(c for c in PEOPLE_CONTRACT.columns if c.name in stacked.columns)
+    )
+    labels = {"contractors": FLOWS["contractors"].labels, "budget": ("ORCADO",)}
+    publish(stacked, contract, "BASE", out, "first", PublishOptions(formats=("csv",)), labels)
+    path = f"{out}/csv_per_flow/run_id=first/contractors"
+    names = contract.published_names
+    return spark.read.csv(path, sep=";", header=True).selectExpr(
+        "BASE", *[f"`{names[c]}` as {c}" for c in ("full_name", "tax_id", "supplier")]
+    )
+
+
+def rule_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows shown for the class of contractor that has no label: the first fifty in key order."""
+    folder = scratch_path(spark, "samples")
+    source_files(spark, sf_dir, folder)
+    config = job(folder)
+    run(spark, config, flows=["contractors"], reference_date=tables.REFERENCE)
+    shown = spark.read.parquet(f"{config.reports}/rule_samples").filter("rule = 'unclassified'")
+    cell = lambda name: F.get_json_object("row", f"$.{name}").alias(name)
+    return shown.select("rule", "scope", cell("tax_id"), cell("full_name"))
+
+
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = load(spark, sf_dir, "orders").selectExpr(
         "o_orderkey",

@@ -29,8 +29,15 @@ from rosterloom.functions import (
     zero_pad,
 )
 from rosterloom.functions.text import ACCENTED, PLAIN
-from rosterloom.operators.compare import changed_values, compare_tables, rows_on_one_side
+from rosterloom.operators.compare import (
+    all_changes,
+    changed_values,
+    compare_tables,
+    rows_on_one_side,
+)
+from rosterloom.operators.fill import fill_down
 from rosterloom.operators.joins import FOUND, fill_from_reference, same_month_counterpart
+from rosterloom.operators.lookup import label_conflicts, label_from_table
 from rosterloom.operators.profile import profile_columns
 from rosterloom.operators.rows import (
     duplicate_groups,
@@ -51,6 +58,7 @@ from rosterloom.operators.shape import (
     rename_by_alias,
     standardise,
 )
+from rosterloom.operators.totals import pivot_attribute, with_totals
 from rosterloom.plans import PEOPLE_CONTRACT, rules
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -893,6 +901,158 @@ def _(spark, sf):
     return rows_on_one_side(*_versions(spark, sf), ["o_orderkey"])
 
 
+_CHANGES = """SELECT 'o_orderstatus' AS "column", o_orderkey, o_orderstatus AS old, NULL::VARCHAR AS new
+    FROM orders WHERE o_orderkey % 10 <> 0 AND o_orderkey % 7 = 0
+  UNION ALL SELECT 'o_totalprice', o_orderkey, o_totalprice::DECIMAL(18,2)::VARCHAR,
+    (o_totalprice + 1)::DECIMAL(18,2)::VARCHAR
+    FROM orders WHERE o_orderkey % 10 <> 0 AND o_orderkey % 9 = 0"""
+
+
+def _priced(spark, sf) -> list[DataFrame]:
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    return [df.withColumn("o_totalprice", price) for df in _versions(spark, sf)]
+
+
+@query("all_changes", _CHANGES)
+def _(spark, sf):
+    return all_changes(*_priced(spark, sf), ["o_orderkey"])
+
+
+@query(
+    "all_changes_sample",
+    f"""SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY o_orderkey)::INTEGER AS nth
+        FROM ({_CHANGES}) QUALIFY nth <= 10""",
+)
+def _(spark, sf):
+    return all_changes(*_priced(spark, sf), ["o_orderkey"], n=10)
+
+
+# ------------------------------------------------------- labels from a table, fills, totals
+_PART_LABELS = """SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN p_partkey % 5 <> 0
+  THEN 'TAMANHO ' || p_size END AS label FROM lineitem LEFT JOIN part ON p_partkey = l_partkey"""
+
+
+def _part_labels(spark, sf, **how) -> DataFrame:
+    """Line items labelled by a table of all parts, which spells their names otherwise."""
+    names = load(spark, sf, "part").filter("p_partkey % 5 <> 0").selectExpr(
+        "concat(' Peça nº ', p_partkey, '.') as value", "concat(' tamanho ', p_size) as label"
+    )
+    items = load(spark, sf, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_partkey", "concat('PECA - n ', l_partkey) as name"
+    )
+    return label_from_table(items, "name", names, "label", **how).drop("name")
+
+
+@query("label_from_table", _PART_LABELS)
+def _(spark, sf):
+    return _part_labels(spark, sf)
+
+
+@query("label_from_large_table", _PART_LABELS)
+def _(spark, sf):
+    """More different values than may be broadcast, and frequent ones among them."""
+    return _part_labels(spark, sf, small_rows=0, hot_min_rows=40)
+
+
+@query(
+    "label_conflicts",
+    """SELECT upper(c_mktsegment) AS code, count(DISTINCT c_nationkey) AS labels,
+      min(c_nationkey::VARCHAR) AS least FROM customer GROUP BY 1 HAVING count(DISTINCT c_nationkey) > 1""",
+)
+def _(spark, sf):
+    return label_conflicts(load(spark, sf, "customer"), "c_mktsegment", "c_nationkey")
+
+
+_MARKED = """m AS (SELECT l_orderkey, l_linenumber, l_suppkey, CASE WHEN l_linenumber = 1
+  AND l_orderkey % 3 = 0 THEN l_orderkey END AS first, CASE WHEN l_linenumber % 4 = 2
+  THEN 'l' || l_linenumber END AS line FROM lineitem)"""
+
+
+def _filled_sql(over: str) -> str:
+    value = lambda c: f"last_value({c} IGNORE NULLS) OVER ({over}) AS {c}"
+    rows = f"SELECT l_orderkey, l_linenumber, l_suppkey, {value('first')}, {value('line')} FROM m"
+    return f"WITH {_MARKED} {rows}"
+
+
+def _marked(spark, sf) -> DataFrame:
+    return load(spark, sf, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_suppkey",
+        "if(l_linenumber = 1 and l_orderkey % 3 = 0, l_orderkey, null) as first",
+        "if(l_linenumber % 4 = 2, concat('l', l_linenumber), null) as line",
+    )
+
+
+@query("fill_down", _filled_sql("ORDER BY l_orderkey, l_linenumber RANGE UNBOUNDED PRECEDING"))
+def _(spark, sf):
+    return fill_down(_marked(spark, sf), ["first", "line"], ["l_orderkey", "l_linenumber"])
+
+
+@query(
+    "fill_down_in_groups",
+    _filled_sql("PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber RANGE UNBOUNDED PRECEDING"),
+)
+def _(spark, sf):
+    order = ["l_orderkey", "l_linenumber"]
+    return fill_down(_marked(spark, sf), ["first", "line"], order, groups=["l_suppkey"])
+
+
+_TOTALS = """WITH k AS (SELECT l_orderkey, l_linenumber, l_quantity::BIGINT AS quantity,
+    CASE WHEN l_linenumber <> 7 THEN l_suppkey END AS supplier FROM lineitem)
+  SELECT *, sum(quantity) OVER w::BIGINT AS supplied, count(*) OVER w AS lines,
+    round(quantity / sum(quantity) OVER w, 12) AS share FROM k WINDOW w AS (PARTITION BY supplier)"""
+
+
+def _with_totals(spark, sf, **how) -> DataFrame:
+    items = load(spark, sf, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "cast(l_quantity as bigint) as quantity",
+        "if(l_linenumber <> 7, l_suppkey, null) as supplier",
+    )
+    sums = {"supplied": F.sum("quantity"), "lines": F.count(F.lit(1))}
+    found = with_totals(items, ["supplier"], sums, **how)
+    return found.withColumn("share", F.round(F.col("quantity") / F.col("supplied"), 12))
+
+
+@query("totals_beside_rows", _TOTALS)
+def _(spark, sf):
+    return _with_totals(spark, sf)
+
+
+@query("totals_of_many_keys", _TOTALS)
+def _(spark, sf):
+    """More keys than may be broadcast; the rows without a supplier are a frequent one."""
+    return _with_totals(spark, sf, small_rows=0, hot_min_rows=500)
+
+
+@query(
+    "pivot_attribute",
+    """SELECT o_custkey, count(o_orderkey) FILTER (o_orderstatus = 'F') AS orders_F,
+      count(o_orderkey) FILTER (o_orderstatus = 'O') AS orders_O,
+      count(o_orderkey) FILTER (o_orderstatus = 'P') AS orders_P FROM orders GROUP BY o_custkey""",
+)
+def _(spark, sf):
+    df = load(spark, sf, "orders")
+    return pivot_attribute(df, ["o_custkey"], "o_orderstatus", "o_orderkey", F.count, prefix="orders_")
+
+
+@query(
+    "contract_report",
+    """SELECT 'code' AS "column", 'type' AS problem, 'bigint' AS expected, 'string' AS found,
+        count(*) FILTER (c_custkey % 3 <> 0) AS filled,
+        count(*) FILTER (c_custkey % 3 = 1) AS lost FROM customer
+      UNION ALL SELECT 'segment', 'extra', NULL, 'string', count(c_mktsegment), 0 FROM customer
+      UNION ALL SELECT 'day', 'missing', 'date', NULL, 0, 0""",
+)
+def _(spark, sf):
+    contract = TableContract(
+        (ColumnSpec("code", "integer"), ColumnSpec("name", "text"), ColumnSpec("day", "date"))
+    )
+    df = load(spark, sf, "customer").selectExpr(
+        "case c_custkey % 3 when 1 then c_name when 2 then cast(c_custkey as string) end as code",
+        "c_name as name", "c_mktsegment as segment", "1 as _internal",
+    )
+    return rules.contract_report(df, contract)
+
+
 # ------------------------------------------------------------------------- sources and sinks
 _CUSTOMERS = """SELECT c_custkey::VARCHAR AS person_id, c_name AS full_name,
   CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS directorate FROM customer"""
@@ -922,6 +1082,29 @@ query(
     """SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate::DATE AS day,
        CASE WHEN o_orderkey % 3 <> 0 THEN 'a;"' || o_orderpriority || '"' END AS quoted FROM orders""",
 )(files.csv_round_trip)
+query("arrived_layouts", _CUSTOMERS)(files.arrived_layouts)
+query(
+    "profiled_source",
+    """SELECT 'part' AS file, h.header, h."column", h.status, 1.0::DOUBLE AS fill_ratio,
+      (SELECT string_agg(v, ' | ' ORDER BY v) FROM (SELECT DISTINCT CASE h.n WHEN 0 THEN c_custkey::VARCHAR
+          WHEN 1 THEN c_mktsegment WHEN 2 THEN c_name ELSE c_acctbal::VARCHAR END AS v FROM customer
+        WHERE c_custkey % 2 = h.parity ORDER BY v LIMIT 3)) AS examples
+      FROM (VALUES (0, 0, 'CHAPA', 'person_id', 'matched'), (0, 1, 'Diretoria', 'directorate', 'matched'),
+        (0, 2, 'NOME', 'full_name', 'matched'), (1, 2, 'Nome', 'full_name', 'matched'),
+        (1, 3, 'Lixo', NULL, 'unmatched'), (1, 0, 'Chapa', 'person_id', 'matched'))
+        AS h(parity, n, header, "column", status)""",
+)(files.profiled_source)
+query(
+    "per_flow_csv",
+    f"""SELECT "BASE", full_name, tax_id, supplier FROM ({sql.stacked()})
+        WHERE "BASE" LIKE '%TERCEIROS%'""",
+)(files.per_flow_csv)
+query(
+    "rule_samples",
+    """SELECT 'unclassified' AS rule, 'contractors' AS scope, lpad((s_suppkey * 104729)::VARCHAR, 11, '0')
+      AS tax_id, s_name AS full_name FROM supplier WHERE s_nationkey % 4 = 3
+      ORDER BY tax_id LIMIT 50""",
+)(files.rule_samples)
 query("published_table", sql.stacked(published=True))(files.published_table)
 query(
     "published_label",

@@ -309,7 +309,8 @@ def run(
     # What does not wait for each other is submitted together: small jobs one after the other would
     # leave the cluster idle. Sources are read at once, a table is built when those that it reads
     # from are written, and it is checked while others are built.
-    with ThreadPoolExecutor(max_workers=3 * len(order)) as pool:
+    with ThreadPoolExecutor(max_workers=3 * len(order) + 1) as pool:
+        history = pool.submit(read_history, spark, config)
         reading = {
             name: pool.submit(_read, spark, FLOWS[name], config, scratch, restage) for name in order
         }
@@ -338,7 +339,6 @@ def run(
             pool.submit(_coverage_rule, FLOWS[name], config, result.tables) for name in order
         ]
         counting = pool.submit(rows_per_label(stacked, config.label_column).collect)
-        history = pool.submit(read_history, spark, config)
         balance = pool.submit(_reconciled, config, result.tables)
         result.results += [r for name in order for r in checking[name].result()]
         result.results += [r for outcome in later for r in outcome.result()]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterable, Sequence
+from threading import Thread
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -12,6 +13,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 _SETTING = "spark.checkpoint.dir"
+#: For counts that were taken during a write.
+WAIT_SECONDS = 60
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -45,12 +48,17 @@ def written_and_counted(
     """``written``, and aggregates over the rows of ``df`` as they pass, by name.
 
     They are taken in the tasks that write, so nothing is read twice, and a task that is repeated
-    after a lost executor counts once. Of ``df`` only ``columns`` are written, if given.
+    after a lost executor counts once. Of ``df`` only ``columns`` are written, if given. The counts
+    come by an event that a busy driver may drop; they are then taken by a pass of their own.
     """
     seen = Observation()
     passing = df.observe(seen, *counts)
     table = written(passing if columns is None else passing.select(*columns), path)
-    return table, seen.get
+    found: dict[str, int] = {}
+    waiting = Thread(target=lambda: found.update(seen.get), daemon=True)
+    waiting.start()
+    waiting.join(WAIT_SECONDS)
+    return table, found or df.agg(*counts).first().asDict()
 
 
 def local_table(
