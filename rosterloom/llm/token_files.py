@@ -13,6 +13,7 @@ write holds the files.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -161,14 +162,18 @@ class TextEncoder(dict):
         self.cut = re.compile(f"({'|'.join(map(re.escape, sorted(self.added, key=len, reverse=True)))})") if added else None
         self.limit = limit
         self.letters = _byte_letters()
+        self.space = self.letters[ord(" ")]
 
     def __missing__(self, piece: str) -> bytes:
         if _ONE_WORD.fullmatch(piece):
-            word = piece.encode().decode("latin-1").translate(self.letters)
+            if piece.isascii():  # printable, so only the space has another letter
+                word = self.space + piece[1:] if piece[0] == " " else piece
+            else:
+                word = piece.encode().decode("latin-1").translate(self.letters)
             ids = [token.id for token in self.model.tokenize(word)]
         else:
             ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        coded = np.array(ids, "<u4").tobytes()
+        coded = struct.pack(f"<{len(ids)}I", *ids)
         if len(self) < self.limit and len(piece) < 64:
             self[piece] = coded
         return coded
@@ -178,11 +183,12 @@ class TextEncoder(dict):
         if not text:
             return b""
         if not any(map(text.__contains__, self.added)):
-            return b"".join(map(self.__getitem__, _PIECE.findall(text)))
-        return b"".join(
-            self.added[part] if k % 2 else b"".join(map(self.__getitem__, _PIECE.findall(part)))
-            for k, part in enumerate(self.cut.split(text))
-        )
+            return self._plain(text)
+        return b"".join(self.added[part] if k % 2 else self._plain(part) for k, part in enumerate(self.cut.split(text)))
+
+    def _plain(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
+        return b"".join(map(self.__getitem__, _PIECE.findall(text)))
 
 
 _ENCODERS: dict[str, TextEncoder] = {}  # one for each file, kept while the worker lives
