@@ -166,9 +166,94 @@ PAGE = (
 )
 
 
+def repeated(tokens, page, least_pages, run=html_text.RUN):
+    """Which tokens lie in substrings of at least `run` tokens that stand on `least_pages` pages."""
+    covered = np.zeros(len(tokens) + 1, np.int64)
+    order, first, pages = html_text.suffix_groups(tokens, page, run)
+    size = np.diff(np.append(first, len(order)))
+    hit = order[np.repeat(pages, size) >= least_pages] if len(order) else order
+    np.add.at(covered, hit, 1)
+    np.add.at(covered, hit + run, -1)
+    return np.cumsum(covered)[: len(tokens)] > 0
+
+
+def main_texts(pages, least_pages=3, cover=0.8):
+    """Main texts of the pages of one host in one stream of tokens; pages with equal texts count as one."""
+    cut = [html_text.blocks(p) for p in pages]
+    known, place = {}, {}
+    stream, owner, spans = [], [], []
+    for k, page in enumerate(cut):
+        whole = "\n".join(b.text for b in page)
+        if whole not in place:
+            words = whole.split()
+            place[whole] = (len(stream), len(stream) + len(words))
+            stream.extend([known.setdefault(w, len(known)) for w in words])
+            owner.extend([k] * len(words))
+        spans.append(place[whole])
+    marked = repeated(np.array(stream, np.int64), np.array(owner, np.int64), least_pages)
+    out = []
+    for page, (a, z) in zip(cut, spans, strict=True):
+        if any(b.kind == "main" for b in page):
+            out.append("\n".join(b.text for b in page if b.kind == "main"))
+        else:
+            out.append(html_text._kept([b.kind for b in page], [b.text for b in page], marked[a:z], cover))
+    return out
+
+
+def brute_boilerplate(pages, least_pages=3, cover=0.8):
+    """Undecided blocks that are covered by runs of RUN words on several distinct texts, run by run."""
+    texts = [[b.text for b in html_text.blocks(p)] for p in pages]
+    runs = lambda t: {tuple(w[i : i + html_text.RUN]) for w in [" ".join(t).split()] for i in range(len(w) - html_text.RUN + 1)}
+    held = {}
+    for t in {tuple(t) for t in texts}:
+        for r in runs(t):
+            held[r] = held.get(r, 0) + 1
+    out = []
+    for t in texts:
+        words = " ".join(t).split()
+        covered = [False] * len(words)
+        for i in range(len(words) - html_text.RUN + 1):
+            if held[tuple(words[i : i + html_text.RUN])] >= least_pages:
+                covered[i : i + html_text.RUN] = [True] * html_text.RUN
+        kept, at = [], 0
+        for block in t:
+            n = len(block.split())
+            if sum(covered[at : at + n]) < cover * n:
+                kept.append(block)
+            at += n
+        out.append("\n".join(kept))
+    return out
+
+
+@pytest.mark.parametrize("shard_chars", [500, 1 << 20])
+def test_repetition_decides_pages_without_articles(spark, shard_chars):
+    """Most blocks stand on many pages, some on two, others once; shards must not change what is found."""
+    random_ = random.Random(4)
+    line = lambda n: " ".join(random_.choices("alpha beta gamma delta epsilon zeta eta theta".split(), k=n))
+    menus, twice = [line(random_.randrange(8, 30)) for _ in range(6)], [line(20) for _ in range(15)]
+    pages = []
+    for k in range(60):
+        parts = random_.sample(menus, 4) + [line(random_.randrange(3, 60)) for _ in range(3)] + [twice[k % 30 // 2]] * (k < 30)
+        random_.shuffle(parts)
+        pages.append("".join(f"<div>{p}</div>" for p in parts))
+    pages += [pages[0]] * 20 + ["<div>" + line(40) + "</div>"] * 30
+    df = spark.createDataFrame(
+        [(k, f"http://{'ab'[k % 2]}.org/{k}", p) for k, p in enumerate(pages)], "page_id long, url string, html string"
+    ).repartition(7)
+    got = [t for _, t in rows(html_text.main_text(df, shard_chars=shard_chars), "page_id", "text")]
+    order = [k for k, _ in rows(df, "page_id", "url")]
+    want = {}
+    for host in (0, 1):
+        own = [k for k in range(len(pages)) if k % 2 == host]
+        want |= dict(zip(own, brute_boilerplate([pages[k] for k in own]), strict=True))
+    found = dict(rows(html_text.main_text(df, shard_chars=shard_chars), "page_id", "text"))
+    assert len(got) == len(order) == len(pages) and found == want
+    assert sum(len(v) for v in want.values()) < 0.7 * sum(len(p) for p in pages)
+
+
 def test_main_text_of_a_page(spark):
-    assert html_text.main_texts([PAGE]) == ["Head & more\nOne bold two\nThree < 4 &am"]
-    assert html_text.main_texts([None, "", "plain"]) == ["", "", "plain"]
+    assert main_texts([PAGE]) == ["Head & more\nOne bold two\nThree < 4 &am"]
+    assert main_texts([None, "", "plain"]) == ["", "", "plain"]
 
 
 def test_repeated_blocks_of_a_host_are_boilerplate(spark):
@@ -194,7 +279,7 @@ def test_repeated_runs_agree_with_brute_force():
         any(len(seen.get(tuple(p[i : i + 8]), ())) >= 2 for i in range(max(0, j - 7), min(j, len(p) - 8) + 1))
         for p in pages for j in range(len(p))
     ]
-    assert html_text.repeated(tokens, owner, 2).tolist() == want
+    assert repeated(tokens, owner, 2).tolist() == want
 
 
 def test_repeats_are_counted_over_the_whole_host(spark):
@@ -223,7 +308,7 @@ def test_counted_runs_agree_with_the_suffix_order(spark):
     pages = ["".join(f"<p>{random_.choice(lines_)}</p>" for _ in range(random_.randrange(6))) for _ in range(40)]
     pages += [f"<article>{pages[3]}</article>", f"<article>{pages[5]}</article>{pages[7]}"]
     df = spark.createDataFrame([(i, "http://h.example/", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
-    want = html_text.main_texts(pages)
+    want = main_texts(pages)
     assert [t for _, t in rows(html_text.main_text(df), "page_id", "text")] == [t for _, t in sorted(enumerate(want), key=repr)]
     assert any(want) and any(len(t) < len(" ".join(re.findall("[abc ]+", p))) / 2 for t, p in zip(want, pages, strict=True))
 
@@ -235,7 +320,7 @@ def test_counted_runs_agree_with_the_suffix_order(spark):
     "<section aria-label='comments on the text'>T</section>",
 ])
 def test_text_of_an_article_stays(kept):
-    assert html_text.main_texts([f"<article>{kept}<p>end</article>"]) == ["T\nend"]
+    assert main_texts([f"<article>{kept}<p>end</article>"]) == ["T\nend"]
 
 
 @pytest.mark.parametrize("gone", [
@@ -243,14 +328,14 @@ def test_text_of_an_article_stays(kept):
     "<p class='notice'>T</p>", "<h2 hidden>T</h2>", "<h3 role='banner'>T</h3>", "<header><div class='share'><h2>T</h2></div></header>",
 ])
 def test_furniture_in_an_article_goes(gone):
-    assert html_text.main_texts([f"<article>{gone}<p>end</article>"]) == ["end"]
+    assert main_texts([f"<article>{gone}<p>end</article>"]) == ["end"]
 
 
 def test_quotes_open_values_only_after_equals_signs():
-    assert html_text.main_texts(["<article><p data-x=don't>Real text here. It's good.</p>"]) == ["Real text here. It's good."]
-    assert html_text.main_texts(["<article><p a='x>y' b = \"c>d\" e=f=\"g>One <b it's>two</b> isn't <i =>x</i>"]) == ["One two isn't x"]
-    assert html_text.main_texts(["<article><p>x + y = <math><mi>x</mi><mo>+</mo><mn>1</mn></math> holds"]) == ["x + y = x+1 holds"]
-    assert html_text.main_texts(["<article><p " + "a=b'c " * 30_000]) != [None]  # in linear time
+    assert main_texts(["<article><p data-x=don't>Real text here. It's good.</p>"]) == ["Real text here. It's good."]
+    assert main_texts(["<article><p a='x>y' b = \"c>d\" e=f=\"g>One <b it's>two</b> isn't <i =>x</i>"]) == ["One two isn't x"]
+    assert main_texts(["<article><p>x + y = <math><mi>x</mi><mo>+</mo><mn>1</mn></math> holds"]) == ["x + y = x+1 holds"]
+    assert main_texts(["<article><p " + "a=b'c " * 30_000]) != [None]  # in linear time
 
 
 # 5 and 9: classifiers
