@@ -1,11 +1,12 @@
 """Lines that many documents share: found by hash, dropped from all documents but one, texts put together again.
 
-Only DataFrame functions. A line travels as two 64-bit hashes of its key, so a join never moves line texts; each
-document's own keys are made distinct before anything is shuffled, and counts are combined in the tasks first.
+Only DataFrame functions. A line travels as two 64-bit hashes of its key and its place, so a join never moves line texts;
+counts are combined in the tasks first. What comes back to a row are the places of the lines it loses.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
@@ -36,38 +37,53 @@ def with_kept_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) ->
     no row with the line has a doc_id. Columns of `docs` stay, whatever their names; `lines` gets underscores if
     the name is taken. An empty table gives no rows.
     """
-    doc = unused(docs, "line_doc")
-    dropped = unused(docs, "line_codes")
-    split = F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n", -1)
-    keys = F.filter(F.transform(split, line_key), lambda k: F.char_length(k) >= min_chars)
-    held = stored(
-        docs.select(F.col("doc_id").alias(doc), F.explode(F.array_distinct(F.transform(keys, _code))).alias("code"))
-        .select(doc, "code.x", "code.y"),
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    # A row goes by its id and a code of its text: what is gathered for it below is never more than its own lines.
+    key = {"doc": F.col("doc_id"), "t": F.xxhash64(text), "u": F.xxhash64(F.lit(1), text)}
+    split = F.split(text, "\n", -1)
+    keyed = F.transform(split, lambda line, at: F.struct(line_key(line).alias("key"), at.alias("at")))
+    long_ = F.filter(keyed, lambda line: F.char_length(line["key"]) >= min_chars)
+    coded = F.transform(long_, lambda line: F.struct(_code(line["key"]).alias("code"), line["at"].alias("at")))
+    sorted_ = docs.select(*[c.alias(k) for k, c in key.items()], F.array_sort(coded).alias("lines"))
+    # In the order of codes, the first place of each line of a row is known by its neighbour.
+    first = F.transform(
         "lines",
-    )
+        lambda line, k: F.struct(
+            line["code"].alias("code"),
+            line["at"].alias("at"),
+            ((k == 0) | (F.get("lines", k - 1)["code"] != line["code"])).alias("first"),
+        ),
+    )
+    held = stored(
+        sorted_.select(*key, F.explode(first).alias("line")).select(*key, "line.code.*", "line.at", "line.first"), "lines"
+    )
     # Written first: both sides of the join below are then plain shuffles, whose hot partitions Spark can split.
     counted = held.groupBy("x", "y").agg(
-        (F.count_distinct(doc) + F.count_if(F.col(doc).isNull())).alias("n"), F.max(doc).alias("keeper")
+        (F.count_distinct("doc") + F.count_if(F.col("doc").isNull() & F.col("first"))).alias("n"), F.max("doc").alias("keeper")
     )
     shared = stored(counted.where(F.col("n") >= min_docs).select("x", "y", "keeper"), "shared-lines")
     losses = (
         held.join(shared, ["x", "y"])
-        .where(~F.col(doc).eqNullSafe(F.col("keeper")))
-        .groupBy(doc)
-        .agg(F.collect_list(F.struct("x", "y")).alias(dropped))  # at most the lines of the document itself
-    )
-    joined = docs.join(losses, docs["doc_id"].eqNullSafe(losses[doc]), "left").drop(losses[doc])
-    kept = F.when(F.col(dropped).isNull(), split).otherwise(
-        F.filter(split, lambda line: ~F.array_contains(F.col(dropped), _code(line_key(line))))
+        .where(~F.col("doc").eqNullSafe(F.col("keeper")))
+        .groupBy(*key)
+        .agg(F.collect_set("at").alias("gone"))
     )
+    same = [c.eqNullSafe(losses[k]) if k == "doc" else c == losses[k] for k, c in key.items()]
     parts = unused(docs, "line_parts")
-    out = joined.withColumn(parts, F.struct(F.size(split).cast("long").alias("n"), kept.alias("kept")))
-    return out.select(
+    joined = docs.join(losses, reduce(lambda a, b: a & b, same), "left").select(
+        *[docs[c] for c in docs.columns], F.struct(split.alias("lines"), losses["gone"].alias("gone")).alias(parts)
+    )
+    of = lambda name: F.col(f"{parts}.{name}")
+    every = F.sequence(F.lit(0), F.size(of("lines")) - 1)
+    kept = F.when(of("gone").isNull(), of("lines")).otherwise(
+        F.transform(F.array_except(every, of("gone")), lambda at: F.get(of("lines"), at))
+    )
+    return joined.select(
         *docs.columns,
         F.struct(
-            F.col(f"{parts}.n").alias("n_lines"),
-            (F.col(f"{parts}.n") - F.size(f"{parts}.kept")).alias("n_dropped"),
-            F.array_join(f"{parts}.kept", "\n").alias("text"),
+            F.size(of("lines")).cast("long").alias("n_lines"),
+            F.coalesce(F.size(of("gone")), F.lit(0)).cast("long").alias("n_dropped"),
+            F.array_join(kept, "\n").alias("text"),
         ).alias(unused(docs, "lines")),
     )
 

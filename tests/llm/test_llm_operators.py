@@ -105,6 +105,19 @@ def test_repeated_rows_are_one_document(spark):
     assert rows(lines.line_digest(df(5, 5, None)), "doc_id", "n_dropped") == [(5, 0), (5, 0), (None, 0)]
 
 
+def test_rows_without_id_and_long_lists_of_lines(spark):
+    """Many rows without an id, equal ones among them, and documents that lose tens of thousands of lines."""
+    many = "\n".join(f"line number {k} of the long list" for k in range(30_000))
+    again = "\n".join(["one line said over and over"] * 20_000)
+    data = [(None, f"the line of rows without id\nown {k % 40} words of this row") for k in range(300)]
+    data += [(1, many), (2, many), (3, many), (4, again), (5, again), (6, again), (6, "other text of six\nthe line of rows without id")]
+    got = rows(lines.line_digest(spark.createDataFrame(data, "doc_id long, text string").repartition(6)), "doc_id", "n_lines", "n_dropped")
+    want = [(1, 30_000, 30_000), (2, 30_000, 30_000), (3, 30_000, 0), (4, 20_000, 20_000), (5, 20_000, 20_000), (6, 20_000, 0), (6, 2, 0)]
+    assert [r for r in got if r[0] is not None] == sorted(want, key=repr)
+    # the line that document 6 keeps goes; no row with an id holds the other one, so all keep it
+    assert [r[1:] for r in got if r[0] is None] == [(2, 1)] * 300
+
+
 def test_a_line_in_most_documents_is_kept_once(spark):
     docs = spark.range(500).select(F.col("id").alias("doc_id"), F.concat(F.lit("  A Line That Many Share \nown "), "id").alias("text"))
     got = lines.line_digest(docs)
