@@ -94,11 +94,17 @@ def _widest(rows: np.ndarray) -> np.ndarray:
         most[span] = wider
     for selector in range(ESCAPING - 1, -1, -1):
         n = COUNTS[selector]
-        half = 1 << (n.bit_length() - 1)
-        top = most[half].copy()
+        half, limit = 1 << (n.bit_length() - 1), 1 << (60 // n)
+        likely = np.flatnonzero((most[half] < limit).any(axis=1))  # wide words are for few blocks
+        whole = len(likely) == len(rows)
+        near = most[half] if whole else most[half][likely]
+        top = near.copy()
         if n > half:
-            np.maximum(top[:, : half - n], most[half][:, n - half :], out=top[:, : half - n])
-        best[top < (1 << (60 // n))] = selector
+            np.maximum(top[:, : half - n], near[:, n - half :], out=top[:, : half - n])
+        if whole:
+            best[top < limit] = selector
+        elif len(likely):
+            best[likely] = np.where(top < limit, np.int8(selector), best[likely])
     return best
 
 
@@ -136,6 +142,9 @@ _PIECE = re.compile(f"{_WORD}| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE
 _ONE_WORD = re.compile(_WORD)
 
 
+_PACKED = [struct.Struct(f"<{n}I") for n in range(32)]
+
+
 def _byte_letters() -> dict[int, str]:
     """The letters that stand for bytes in byte-level vocabularies: printable bytes themselves, others from 256 on."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -165,15 +174,14 @@ class TextEncoder(dict):
         self.space = self.letters[ord(" ")]
 
     def __missing__(self, piece: str) -> bytes:
-        if _ONE_WORD.fullmatch(piece):
-            if piece.isascii():  # printable, so only the space has another letter
-                word = self.space + piece[1:] if piece[0] == " " else piece
-            else:
-                word = piece.encode().decode("latin-1").translate(self.letters)
-            ids = [token.id for token in self.model.tokenize(word)]
+        body = piece[1:] if piece[0] == " " else piece
+        if body.isascii() and body.isalpha():  # one word, in which only the space has another letter
+            ids = [token.id for token in self.model.tokenize(piece if body is piece else self.space + body)]
+        elif _ONE_WORD.fullmatch(piece):
+            ids = [token.id for token in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
         else:
             ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        coded = struct.pack(f"<{len(ids)}I", *ids)
+        coded = _PACKED[len(ids)].pack(*ids) if len(ids) < len(_PACKED) else struct.pack(f"<{len(ids)}I", *ids)
         if len(self) < self.limit and len(piece) < 64:
             self[piece] = coded
         return coded
