@@ -138,50 +138,89 @@ def _link_back(graph: Graph, new: np.ndarray, degree: int, relaxed: float) -> No
             graph.neighbours[own[full]] = _pruned(graph.points, own[full], ids[full], far[full], degree, relaxed)
 
 
-def shard_nearest(
-    ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, beam: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place of the query, vec_id, score) of up to `k` best found for each query, without the query's own id."""
-    order = np.argsort(ids, kind="stable")
-    ids, vectors = ids[order], vectors[order]
-    # Equal vectors are one point of the graph; its ids ascend.
-    distinct, point_of = np.unique(vectors, axis=0, return_inverse=True)
-    point_of = point_of.reshape(-1)
-    members = np.argsort(point_of, kind="stable")
-    at = np.concatenate(([0], np.cumsum(np.bincount(point_of, minlength=len(distinct)))))
-    member_ids = ids[members]
-    squared = (distinct * distinct).sum(axis=1)
-    lift = np.sqrt(np.maximum(squared.max() - squared, 0))
-    # Points join in an order that has nothing to do with their values.
-    shuffled = np.random.default_rng(5).permutation(len(distinct))
-    points = np.concatenate((distinct, lift[:, None]), axis=1)[shuffled]
-    graph = build(points.astype(np.float32), beam=max(64, beam // 2))
-    lifted = np.concatenate((queries, np.zeros((len(queries), 1))), axis=1).astype(np.float32)
-    # Only the direction of a query matters; at the points' length the beam sees the same order.
-    lifted *= np.sqrt(squared.max()) / np.maximum(np.sqrt((lifted**2).sum(axis=1, keepdims=True)), 1e-30)
-    out = []
-    for begin in range(0, len(queries), 256):
-        found, _ = graph.search(lifted[begin : begin + 256], beam)
-        for row, near in enumerate(found):
-            q = begin + row
-            near = shuffled[near[near >= 0]]
-            score = distinct[near] @ queries[q]
-            own = query_ids[q]
-            least = member_ids[at[near]]  # the smallest id of each point but the query's own
-            other = np.ones(len(near), bool)
-            for j in np.flatnonzero(least == own):
-                here = member_ids[at[near[j]] : at[near[j] + 1]]
-                after = np.searchsorted(here, own, "right")
-                other[j] = after < len(here)
-                least[j] = here[after] if other[j] else own
-            near, score, least = near[other], score[other], least[other]
-            best = np.lexsort((least, -score))[:k]
-            which = [_first_others(member_ids, at[p], at[p + 1], own, k) for p in near[best]]
-            value = np.repeat(score[best], [len(w) for w in which])
-            which = np.concatenate(which) if which else np.zeros(0, np.int64)
-            top = np.lexsort((member_ids[which], -value))[:k]
-            out.append((np.full(len(top), q), member_ids[which[top]], value[top]))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), ids[:0], np.zeros(0))
+#: A shard as it is stored: sizes, and the bytes of its arrays.
+SHARD_SCHEMA = (
+    "size int, shard int, distinct binary, member_ids binary, at binary, points binary, neighbours binary, entry binary, "
+    "shuffled binary, longest double"
+)
+
+
+@dataclass
+class Shard:
+    """A graph over the distinct vectors of some rows, and the rows' ids by point."""
+
+    distinct: np.ndarray
+    #: The ids of point p, ascending, are member_ids[at[p] : at[p + 1]].
+    member_ids: np.ndarray
+    at: np.ndarray
+    graph: Graph
+    #: The point of distinct vectors that each point of the graph is.
+    shuffled: np.ndarray
+    longest: float
+
+    @staticmethod
+    def of(ids: np.ndarray, vectors: np.ndarray, beam: int) -> Shard:
+        order = np.argsort(ids, kind="stable")
+        ids, vectors = ids[order], vectors[order]
+        # Equal vectors are one point of the graph; its ids ascend.
+        distinct, point_of = np.unique(vectors, axis=0, return_inverse=True)
+        point_of = point_of.reshape(-1)
+        members = np.argsort(point_of, kind="stable")
+        at = np.concatenate(([0], np.cumsum(np.bincount(point_of, minlength=len(distinct)))))
+        squared = (distinct * distinct).sum(axis=1)
+        lift = np.sqrt(np.maximum(squared.max() - squared, 0))
+        # Points join in an order that has nothing to do with their values.
+        shuffled = np.random.default_rng(5).permutation(len(distinct))
+        points = np.concatenate((distinct, lift[:, None]), axis=1)[shuffled]
+        graph = build(points.astype(np.float32), beam=max(64, beam // 2))
+        return Shard(distinct, ids[members], at, graph, shuffled, float(np.sqrt(squared.max())))
+
+    def row(self, size: int, shard: int) -> dict:
+        arrays = {
+            "distinct": self.distinct, "member_ids": self.member_ids, "at": self.at, "points": self.graph.points,
+            "neighbours": self.graph.neighbours, "entry": self.graph.entry, "shuffled": self.shuffled,
+        }
+        return {"size": size, "shard": shard, "longest": self.longest} | {k: v.tobytes() for k, v in arrays.items()}
+
+    @staticmethod
+    def read(row) -> Shard:
+        long_ = lambda raw: np.frombuffer(raw, np.int64)
+        distinct = np.frombuffer(row.distinct, np.float64).reshape(-1, row.size)
+        points = np.frombuffer(row.points, np.float32).reshape(len(distinct), -1)
+        neighbours = np.frombuffer(row.neighbours, np.int32).reshape(len(distinct), -1)
+        graph = Graph(points, neighbours, long_(row.entry))
+        return Shard(distinct, long_(row.member_ids), long_(row.at), graph, long_(row.shuffled), row.longest)
+
+    def nearest(self, query_ids: np.ndarray, queries: np.ndarray, k: int, beam: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of the query, vec_id, score) of up to `k` best found for each query, without the query's own id."""
+        distinct, member_ids, at = self.distinct, self.member_ids, self.at
+        lifted = np.concatenate((queries, np.zeros((len(queries), 1))), axis=1).astype(np.float32)
+        # Only the direction of a query matters; at the points' length the beam sees the same order.
+        lifted *= self.longest / np.maximum(np.sqrt((lifted**2).sum(axis=1, keepdims=True)), 1e-30)
+        out = []
+        for begin in range(0, len(queries), 256):
+            found, _ = self.graph.search(lifted[begin : begin + 256], beam)
+            for row, near in enumerate(found):
+                q = begin + row
+                near = self.shuffled[near[near >= 0]]
+                score = distinct[near] @ queries[q]
+                own = query_ids[q]
+                least = member_ids[at[near]]  # the smallest id of each point but the query's own
+                other = np.ones(len(near), bool)
+                for j in np.flatnonzero(least == own):
+                    here = member_ids[at[near[j]] : at[near[j] + 1]]
+                    after = np.searchsorted(here, own, "right")
+                    other[j] = after < len(here)
+                    least[j] = here[after] if other[j] else own
+                near, score, least = near[other], score[other], least[other]
+                best = np.lexsort((least, -score))[:k]
+                which = [_first_others(member_ids, at[p], at[p + 1], own, k) for p in near[best]]
+                value = np.repeat(score[best], [len(w) for w in which])
+                which = np.concatenate(which) if which else np.zeros(0, np.int64)
+                top = np.lexsort((member_ids[which], -value))[:k]
+                out.append((np.full(len(top), q), member_ids[which[top]], value[top]))
+        none = np.zeros(0, np.int64)
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (none, none, np.zeros(0))
 
 
 def _first_others(ids: np.ndarray, begin: int, end: int, own: int, k: int) -> np.ndarray:
@@ -209,7 +248,8 @@ def nearest(
     non-finite components take no part, nor do rows without vec_id; a query without usable vector has no rows. Scores are
     double-precision inner products of the original vectors; ties go to the smaller vec_id. Rows repeated under one id
     are candidates each. Vectors of differing lengths only meet their own kind. Other columns are not read. Every vector
-    is in the graph of its shard (`shard` rows on average), and every query searches every shard in blocks of `block`.
+    is in the graph of its shard (`shard` rows on average), which is built once and stored, and every query searches every
+    shard in blocks of `block`.
     """
 
     def clean(df: DataFrame) -> DataFrame:
@@ -219,28 +259,32 @@ def nearest(
     base, asked = stored(clean(vectors), "vectors"), stored(clean(queries).distinct(), "queries")
     shards = max(1, -(-base.count() // shard))
     blocks = max(1, -(-asked.count() // block))
-    dealt = base.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int")).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    )
+    dealt = base.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int"))
     meeting = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int")).withColumns(
         {"query": F.xxhash64("v"), "shard": F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))}
     )
 
-    def search(points: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        if not len(points) or not len(wanted):
+    def graph(key: tuple, points: pd.DataFrame) -> pd.DataFrame:
+        shard_ = Shard.of(points["vec_id"].to_numpy(np.int64), np.stack(points["v"].to_numpy()), beam)
+        return pd.DataFrame([shard_.row(*key)])
+
+    # Built once, however many blocks of queries search it.
+    graphs = stored(dealt.groupBy("size", "shard").applyInPandas(graph, SHARD_SCHEMA), "shard-graphs")
+
+    def search(shard_: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        if not len(shard_) or not len(wanted):
             return pd.DataFrame({"query_id": [], "query": [], "vec_id": [], "score": []}).astype(
                 {"query_id": "int64", "query": "int64", "vec_id": "int64"}
             )
-        q, p, s = shard_nearest(
-            points["vec_id"].to_numpy(np.int64), np.stack(points["v"].to_numpy()),
-            wanted["vec_id"].to_numpy(np.int64), np.stack(wanted["v"].to_numpy()), k, beam,
-        )
+        (row,) = shard_.itertuples(index=False)
+        q, p, s = Shard.read(row).nearest(wanted["vec_id"].to_numpy(np.int64), np.stack(wanted["v"].to_numpy()), k, beam)
         asked_ = wanted.iloc[q]
         return pd.DataFrame({"query_id": asked_["vec_id"].to_numpy(), "query": asked_["query"].to_numpy(), "vec_id": p, "score": s})
 
     keys = ["size", "shard", "block"]
+    every_block = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     found = (
-        dealt.groupBy(*keys).cogroup(meeting.groupBy(*keys)).applyInPandas(
+        every_block.groupBy(*keys).cogroup(meeting.groupBy(*keys)).applyInPandas(
             search, "query_id long, query long, vec_id long, score double"
         )
     )
