@@ -1,14 +1,19 @@
+import hashlib
+import re
 from collections import defaultdict
+from string import ascii_lowercase, ascii_uppercase
 
 import pytest
 from oracle import connect, difference
 from test_llm_operators import brute_fingerprint, components
 
 import corpus_pipeline
+from rosterloom.llm import quality
 from rosterloom.llm.queries import ORACLE, QUERIES
 from rosterloom.llm.storage import stored
 
 SMALL = "/root/testdata/sf0.001"
+LOWER = str.maketrans(ascii_uppercase, ascii_lowercase)
 
 
 @pytest.mark.parametrize("name", list(ORACLE))
@@ -18,7 +23,8 @@ def test_query_agrees_with_sql(spark, name):
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLE])
 def test_query_returns_whole_tables(spark, name):
-    table = {"op3_graph_nearest": None, "op4_main_text": "pages"}.get(name, "documents")
+    tables = {"op3_graph_nearest": None, "op4_main_text": "pages", "op12_conversation_repair": None}
+    table = tables.get(name, "documents")
     got = QUERIES[name](spark, SMALL)
     if table:
         assert got.count() == spark.read.parquet(f"{SMALL}/{table}.parquet").count()
@@ -76,3 +82,47 @@ def test_line_and_near_dedup_agree_with_brute_force(spark):
     label = components([brute_fingerprint(t) for _, t in values])
     want = sorted(min(i for (i, _), b in zip(values, label, strict=True) if b == a) for a in set(label))
     assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, kept, SMALL).collect()) == want
+
+
+def brute_pipeline(docs, items):
+    """The stages after the quality filter in plain Python: (doc_id, sha256 of the text that is left) of what stays."""
+    key = lambda s: s.strip(" \t\n\x0b\x0c\r").translate(LOWER)
+    held = defaultdict(set)
+    for i, t in docs:
+        for line in (t or "").split("\n"):
+            if len(key(line)) >= 20:
+                held[key(line)].add(i)
+    gone = lambda i, k: len(held.get(k, ())) >= 3 and i != max(held[k])
+    docs = [(i, "\n".join(s for s in (t or "").split("\n") if not gone(i, key(s)))) for i, t in docs]
+    label = components([brute_fingerprint(t) for _, t in docs])
+    least = {}
+    for (i, _), group in zip(docs, label, strict=True):
+        least[group] = min(i, least.get(group, i))
+    docs = [(i, t) for (i, t), group in zip(docs, label, strict=True) if least[group] == i]
+    words = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (t or "").translate(LOWER))
+    windows = {}
+    for item in items:
+        w = words(item)
+        for k in range(max(1, len(w) - 12) if w else 0):
+            windows.setdefault(len(w[k : k + 13]), set()).add(tuple(w[k : k + 13]))
+    out = []
+    for i, t in docs:
+        w, hit = words(t), set()
+        for n, known in windows.items():
+            for k in range(len(w) - n + 1):
+                if tuple(w[k : k + n]) in known:
+                    hit.update(range(k, k + n))
+        if not (hit and 20 * len(hit) >= len(w)):
+            out.append((i, hashlib.sha256(t.replace("▁", " ").encode()).hexdigest()))
+    return sorted(out)
+
+
+def test_the_whole_agrees_with_brute_force(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    good = {r["doc_id"] for r in quality.scored(docs, labels).where("predicted = 1").collect()}
+    texts = [(r["doc_id"], r["text"]) for r in docs.collect() if r["doc_id"] in good]
+    items = [r["text"] for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    want = brute_pipeline(texts, items)
+    assert sorted((r["doc_id"], r["decoded_sha256"]) for r in corpus_pipeline.run(spark, SMALL).collect()) == want
+    assert 0 < len(want) < len(texts) < docs.count()
