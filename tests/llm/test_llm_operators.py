@@ -4,6 +4,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import xxhash
@@ -149,6 +150,26 @@ def test_nearest_finds_most_of_what_brute_force_finds(spark):
     assert rows(few, "rank") == [(1,), (2,), (3,), (4,)]
 
 
+def test_a_stored_shard_finds_what_it_found_before():
+    random_ = np.random.default_rng(2)
+    vectors = random_.normal(size=(300, 8))
+    vectors[100:140] = vectors[100]
+    shard = nearest.Shard.of(random_.permutation(300), vectors, 64)
+    row = pd.DataFrame([shard.row(8, 3)])
+    again = nearest.Shard.read(next(row.itertuples(index=False)))
+    asked = np.arange(20), random_.normal(size=(20, 8))
+    for a, b in zip(shard.nearest(*asked, 10, 64), again.nearest(*asked, 10, 64), strict=True):
+        assert (a == b).all() and len(a) == 200
+
+
+def test_blocks_of_queries_find_the_same(spark):
+    random_ = np.random.default_rng(9)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(random_.normal(size=(400, 6)))], "vec_id long, embedding array<double>")
+    one, many = (nearest.nearest(df, df.where("vec_id % 4 = 0"), k=5, shard=150, block=b) for b in (1 << 16, 10))
+    columns = ("query_id", "rank", "vec_id", "score")
+    assert rows(one, *columns) == rows(many, *columns) and one.count() == 500
+
+
 def test_repeated_queries_keep_their_neighbours(spark):
     random_ = np.random.default_rng(4)
     v = random_.normal(size=(60, 4)).round(2)
@@ -166,7 +187,7 @@ def test_repeated_queries_keep_their_neighbours(spark):
 
 def test_ties_within_a_shard_go_to_the_smaller_id():
     vectors = np.array([[1.0, float(y)] for y in range(40)])  # all score the same for the query, sorted against their ids
-    place, ids, score = nearest.shard_nearest(np.arange(40)[::-1], vectors, np.array([0]), np.array([[1.0, 0.0]]), 5, 64)
+    place, ids, score = nearest.Shard.of(np.arange(40)[::-1], vectors, 64).nearest(np.array([0]), np.array([[1.0, 0.0]]), 5, 64)
     assert ids.tolist() == [1, 2, 3, 4, 5] and place.tolist() == [0] * 5 and set(score) == {1.0}
 
 
