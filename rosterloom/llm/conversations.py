@@ -31,8 +31,9 @@ _COMPLETE = (_START, _ASSISTANT)
 #: Rows searched at a time; longer conversations are put together from the solutions of their segments.
 SEGMENT = 48
 
+#: Ids and turns travel as text through Python, where numbers beside nulls would lose digits.
 RESULT = (
-    "conv_id long, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string"
+    "conv_id string, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string"
 )
 
 
@@ -170,10 +171,8 @@ def _plans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for batch in batches:
         done = []
-        ids = batch["conv_id"].astype("Int64")
-        rows = zip(ids.tolist(), batch["turn"].astype("Int64").tolist(), batch["initial"], batch["fault"], strict=True)
-        for conv_id, turn, initial, fault in rows:
-            conv_id, turn = (None if pd.isna(v) else v for v in (conv_id, turn))
+        for conv_id, turn, initial, fault in zip(*(batch[c] for c in ("conv_id", "turn", "initial", "fault")), strict=True):
+            turn = None if turn is None else int(turn)
             if not state or state["id"] != conv_id:
                 if state:
                     done.append(result())
@@ -184,14 +183,9 @@ def _plans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 state["low"] = turn if state["low"] is None else state["low"]
                 state["turns"] += turn != state["high"]
                 state["high"] = turn
-        yield _framed(done, columns)
+        yield pd.DataFrame(done, columns=columns)
     if state:
-        yield _framed([result()], columns)
-
-
-def _framed(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=columns)
-    return out.astype({c: "Int64" for c in columns if c != "audit"})
+        yield pd.DataFrame([result()], columns=columns)
 
 
 def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -214,13 +208,12 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     state = _START
     for batch in batches:
         done = []
-        ids = batch["conv_id"].astype("Int64").tolist()
-        for i, plan, role, text in zip(ids, batch["audit"], batch["role"], batch["text"], strict=True):
+        for i, plan, role, text in zip(*(batch[c] for c in ("conv_id", "audit", "role", "text")), strict=True):
             if isinstance(plan, str):  # the first row of a conversation
                 if started:
                     inserted(state)
                     done.append((conv_id, digest.hexdigest()))
-                conv_id, audit, at, before, digest, started = (None if pd.isna(i) else i), plan, 0, "", hashlib.sha256(), True
+                conv_id, audit, at, before, digest, started = i, plan, 0, "", hashlib.sha256(), True
                 state = _START
                 continue
             state = inserted(state)
@@ -231,11 +224,10 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             elif edit == _REROLE:
                 put("assistant" if _TURN[state] == "a" else "user", text)
                 state = _NEXT[state, _TURN[state]]
-        yield pd.DataFrame(done, columns=["conv_id", "repaired_sha256"]).astype({"conv_id": "Int64"})
+        yield pd.DataFrame(done, columns=["conv_id", "repaired_sha256"])
     if started:
         inserted(state)
-        last = [(conv_id, digest.hexdigest())]
-        yield pd.DataFrame(last, columns=["conv_id", "repaired_sha256"]).astype({"conv_id": "Int64"})
+        yield pd.DataFrame([(conv_id, digest.hexdigest())], columns=["conv_id", "repaired_sha256"])
 
 
 def _with_faults(rows: DataFrame) -> DataFrame:
@@ -263,7 +255,8 @@ def repaired(conversations: DataFrame) -> DataFrame:
     ).select("*", *_codes())
     plans = stored(
         _with_faults(rows).repartition("conv_id").sortWithinPartitions("conv_id", *_order(), "seen")
-        .select("conv_id", "turn", "initial", "fault").mapInPandas(_plans, RESULT),
+        .select(F.col("conv_id").cast("string"), F.col("turn").cast("string"), "initial", "fault").mapInPandas(_plans, RESULT)
+        .withColumn("conv_id", F.col("conv_id").cast("long")),
         "conversation-plans",
     )
     none = lambda kind: F.lit(None).cast(kind)
@@ -274,7 +267,8 @@ def repaired(conversations: DataFrame) -> DataFrame:
     digests = (
         heads.union(rows.select("*", none("string").alias("audit"))).repartition("conv_id")
         .sortWithinPartitions("conv_id", F.col("audit").isNull(), *_order())
-        .select("conv_id", "audit", "role", "text").mapInPandas(_digests, "conv_id long, repaired_sha256 string")
+        .select(F.col("conv_id").cast("string"), "audit", "role", "text").mapInPandas(_digests, "conv_id string, repaired_sha256 string")
+        .withColumn("conv_id", F.col("conv_id").cast("long"))
     )
     same = plans["conv_id"].eqNullSafe(digests["conv_id"])
     return plans.join(digests, same).select(*[plans[c] for c in plans.columns], "repaired_sha256")

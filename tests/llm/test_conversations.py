@@ -134,6 +134,7 @@ def test_repair_after_damage_agrees_with_brute_force(spark):
             table.append((conv_id, None if random_.random() < 0.01 else turn * random_.choice([1, 1, 1, 3]), role, random_.choice(texts)))
     # one row for each conversation and turn: the order of others is the library's own
     table = list({(r[0], r[1]): r for r in table}.values())
+    table += [(2**62 + k, 2**60 + 3 * k, "user", "Far out.") for k in range(9)]  # beside null ids and turns
     table += [(900 + k, 0, "user", "Only one.") for k in range(60)]
     table += [(2000, t, "user" if t % 3 else "assistant", f"Turn {t}.") for t in range(700)]
     random_.shuffle(table)
