@@ -24,6 +24,7 @@ from rosterloom.functions import (
     previous_month_key,
 )
 from rosterloom.operators.joins import fill_from_reference, same_month_counterpart
+from rosterloom.operators.lookup import label_from_table
 from rosterloom.operators.rows import (
     FILE,
     FILE_ORDER,
@@ -176,15 +177,20 @@ def build_leavers(
 def build_contractors(
     df: DataFrame, config: FlowConfig, reference_date: dt.date, tables: Tables
 ) -> DataFrame:
-    """One source whose rows carry three labels, told apart by a mapped value."""
+    """One source whose rows carry three labels, told apart by a mapped value.
+
+    The map is the parameter ``classes``, or a Parquet table (value, label) at ``classes_table``,
+    which may be of any size.
+    """
     df = with_snapshot_period(df, reference_date.replace(day=1))
-    classes = config.parameters.get("classes", {})
-    label = (
-        label_from_map(F.col(CLASS), classes)
-        if CLASS in df.columns
-        else F.lit(None).cast("string")
-    )
-    df = df.withColumn(ROW_LABEL, label)
+    table = config.parameters.get("classes_table")
+    if CLASS in df.columns and table:
+        df = label_from_table(df, CLASS, df.sparkSession.read.parquet(table), ROW_LABEL)
+    elif CLASS in df.columns:
+        classes = config.parameters.get("classes", {})
+        df = df.withColumn(ROW_LABEL, label_from_map(F.col(CLASS), classes))
+    else:
+        df = df.withColumn(ROW_LABEL, F.lit(None).cast("string"))
     if config.parameters.get("drop_duplicates") and config.key:
         df = latest_per_key(df, config.key, [FILE])
     return df
@@ -222,7 +228,7 @@ def _months_in_several_files(name: str, built: Built) -> list[RuleResult]:
 
 def _contractor_labels(built: Built) -> list[Check]:
     hint = (
-        "a value has no label in the 'classes' parameter"
+        "a value has no label in the 'classes' parameter or the 'classes_table'"
         if built.settings.parameters.get("class_header")
         else "set the 'class_header' and 'classes' parameters"
     )

@@ -178,6 +178,17 @@ def test_contractor_value_without_label(spark, folder):
     assert {x["_class"] for x in r.sample.collect()} == {"Demitido"}
 
 
+def test_contractor_labels_from_a_table(spark, folder, tmp_path):
+    rows = [("ativo", "QUADRO-TERCEIROS"), ("ADMITIDO", "ADMITIDOS-TERCEIROS"), ("Demitido", "Demitidos-Terceiros"), ("?", "X")]
+    path = f"{tmp_path}/classes"
+    spark.createDataFrame(rows, "value string, label string").write.parquet(path)
+    by_table = contractors(spark, folder, classes={}, classes_table=path)
+    assert not [r for r in rule(by_table, "unclassified") if r.severity != Severity.OK]
+    by_map = contractors(spark, folder, classes=dict(rows[:3]))
+    count = lambda result: sorted(map(tuple, result.stacked.groupBy("BASE").count().collect()))
+    assert count(by_table) == count(by_map) and len(count(by_map)) == 3
+
+
 def test_contractors_who_left_are_keyed_by_period_and_name(spark, folder, monkeypatch):
     usual = people_flows.FLOWS["contractors"]
 
