@@ -35,13 +35,16 @@ def settings(name: str) -> FlowConfig:
 def build(
     spark: SparkSession, sf_dir: str, name: str, snapshot: DataFrame | None = None
 ) -> DataFrame:
-    """One flow from its raw table; event flows build the snapshot first if none is given."""
+    """One flow from its raw table; event flows build the snapshot first if none is given.
+
+    As in a run, text is parsed once, into a written table, whatever the builder reads it for.
+    """
     raw = RAW[name](spark, sf_dir)
     if name == "contractors":
         raw = raw.withColumnRenamed("TIPO", "_class")
     if FLOWS[name].depends_on and snapshot is None:
         snapshot = snapshot_table(spark, sf_dir)
-    typed = standardise(raw, PEOPLE_CONTRACT)
+    typed = written(standardise(raw, PEOPLE_CONTRACT), scratch_path(spark, f"{name}-typed"))
     found = {} if snapshot is None else {"snapshot": snapshot}
     return FLOWS[name].build(typed, settings(name), tables.REFERENCE, found)
 

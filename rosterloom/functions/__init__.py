@@ -16,6 +16,7 @@ from rosterloom.functions.text import (
     clean_text,
     header_code,
     label_from_map,
+    starts_visibly,
     strip_accents,
     value_code,
     zero_pad,
@@ -37,6 +38,7 @@ __all__ = [
     "parse_integer",
     "period_from_file_name",
     "previous_month_key",
+    "starts_visibly",
     "strip_accents",
     "value_code",
     "zero_pad",
