@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
@@ -36,7 +37,10 @@ _MANIFEST = f"{FINGERPRINT} string, path string, columns array<string>"
 def _fingerprint(
     path: Column, modified: Column, size: Column, source: Source, contract: TableContract, keep
 ) -> Column:
-    """Identity of one version of a file, together with everything that shapes its staged copy."""
+    """Identity of one version of a file, together with everything that shapes its staged copy.
+
+    It is taken of every staged row, so the settings, which are the same for all, enter as their own digest.
+    """
     headers = sorted(contract.header_targets().items())
     settings = repr(
         (
@@ -51,7 +55,8 @@ def _fingerprint(
             sorted((keep or {}).items()),
         )
     )
-    return F.sha2(F.concat_ws("|", path, size, modified, F.lit(settings)), 256)
+    digest = hashlib.sha256(settings.encode()).hexdigest()
+    return F.sha2(F.concat_ws("|", path, size, modified, F.lit(digest)), 256)
 
 
 def _manifest(spark: SparkSession, path: str) -> DataFrame:

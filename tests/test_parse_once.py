@@ -3,6 +3,8 @@
 from checks import flows
 from rosterloom.functions import clean_text
 from rosterloom.operators.shape import drop_blank_rows
+from rosterloom.sources import Source
+from rosterloom.sources.staged import _fingerprint
 from pyspark.sql import functions as F
 
 SPACES = [chr(c) for c in (*range(1, 0x100), 0x1680, *range(0x2000, 0x2030), 0x205F, 0x3000, 0xFEFF)]
@@ -14,6 +16,15 @@ def test_a_flow_is_built_from_parsed_columns(spark):
     assert "regexp_replace" not in plan
 
 
+def test_fingerprints_of_rows_do_not_digest_the_settings(spark, contract):
+    one = spark.range(1).select(F.lit("p").alias("path"), F.lit(1).alias("modified"), F.lit(2).alias("size"))
+    code = _fingerprint(F.col("path"), F.col("modified"), F.col("size"), Source("x/*.csv"), contract, None)
+    assert len(code._jc.toString()) < 200
+    other = _fingerprint(F.col("path"), F.col("modified"), F.col("size"), Source("x/*.csv", sep=","), contract, None)
+    found = one.select(code.alias("a"), other.alias("b")).first()
+    assert found["a"] != found["b"] and len(found["a"]) == 64
+
+
 def test_clean_text_equals_the_pattern_alone(spark):
     texts = [t.format(s) for s in SPACES for t in ("a{0}b", "{0}a", "a {0}b", "{0}", "a{0}{0}b", "é{0}ç")]
     df = spark.createDataFrame([(t,) for t in [*texts, "", " ", None]], "t string")
