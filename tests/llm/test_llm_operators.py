@@ -316,6 +316,29 @@ def test_repeated_runs_agree_with_brute_force():
     assert repeated(tokens, owner, 2).tolist() == want
 
 
+def test_suffixes_are_ordered_to_their_ends():
+    """Repeats of any length, also far beyond the least one, against plain sorting and comparing."""
+    random_ = random.Random(5)
+    for letters, least in ((1, 1), (2, 3), (4, 8), (30, 8)):
+        long = [random_.randrange(letters) for _ in range(50)]
+        pages = [[random_.randrange(letters) for _ in range(random_.randrange(30))] + long[random_.randrange(40) :] for _ in range(9)] + [[]]
+        tokens = np.array([t for p in pages for t in p])
+        owner = np.repeat(np.arange(len(pages)), [len(p) for p in pages])
+        ends = [p[i:] for p in pages for i in range(len(p))]
+        order, shared = html_text.suffix_order(tokens, owner)
+        found = [ends[i] for i in order]
+        assert found == sorted(ends) and sorted(order) == list(range(len(ends)))
+        beginnings = [next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b))) for a, b in zip([[], *found], found)]
+        assert shared.tolist() == beginnings
+        held = {}
+        for page, end in zip(owner, ends, strict=True):
+            if len(end) >= least:
+                held.setdefault(tuple(end[:least]), set()).add(page)
+        order, first, n = html_text.suffix_groups(tokens, owner, least)
+        assert {tuple(ends[order[a]][:least]): k for a, k in zip(first, n, strict=True)} == {k: len(v) for k, v in held.items()}
+    assert [len(a) for a in html_text.suffix_order(np.zeros(0, np.int64), np.zeros(0, np.int64))] == [0, 0]
+
+
 def test_repeats_are_counted_over_the_whole_host(spark):
     """A notice on 10 % of the large pages of a large host goes as it does on a small host."""
     notice = "this notice stands on some of the pages of the host and says nothing new"
