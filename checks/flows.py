@@ -37,14 +37,17 @@ def build(
 ) -> DataFrame:
     """One flow from its raw table; event flows build the snapshot first if none is given.
 
-    As in a run, text is parsed once, into a written table, whatever the builder reads it for.
+    As in a run, text is parsed once, into a written table, whatever the builder reads it for. Not so the
+    snapshot's: of its many columns only the period is read twice, and writing them costs more than that.
     """
     raw = RAW[name](spark, sf_dir)
     if name == "contractors":
         raw = raw.withColumnRenamed("TIPO", "_class")
     if FLOWS[name].depends_on and snapshot is None:
         snapshot = snapshot_table(spark, sf_dir)
-    typed = written(standardise(raw, PEOPLE_CONTRACT), scratch_path(spark, f"{name}-typed"))
+    typed = standardise(raw, PEOPLE_CONTRACT)
+    if name != "snapshot":
+        typed = written(typed, scratch_path(spark, f"{name}-typed"))
     found = {} if snapshot is None else {"snapshot": snapshot}
     return FLOWS[name].build(typed, settings(name), tables.REFERENCE, found)
 
