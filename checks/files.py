@@ -10,10 +10,12 @@ from checks.tables import load
 from checks.workbooks import write_workbooks
 from rosterloom.functions import parse_date, parse_decimal
 from rosterloom.operators.rows import FILE, FILE_ORDER, SHEET
+from rosterloom.operators.stack import labelled_parts, stack_labelled
 from rosterloom.contract import TableContract
 from rosterloom.plans import FLOWS, JobConfig, PEOPLE_CONTRACT, run
 from rosterloom.plans.config import PEOPLE_FLOWS, people_flow
 from rosterloom.plans.job import read_history
+from rosterloom.plans.people import LABELS
 from rosterloom.scratch import scratch_path
 from rosterloom.sources import (
     PublishOptions,
@@ -189,7 +191,11 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _published(spark: SparkSession, sf_dir: str) -> str:
     out = scratch_path(spark, "published")
     options = PublishOptions(formats=("parquet",))
-    publish(flows.stack(spark, sf_dir), PEOPLE_CONTRACT, "BASE", out, "first", options)
+    built = flows.build_all(spark, sf_dir)
+    # As in a run: rows that share a label are written without being sorted by it.
+    parts = labelled_parts(built, PEOPLE_CONTRACT, "BASE", LABELS)
+    stacked = stack_labelled(built, PEOPLE_CONTRACT, "BASE", LABELS)
+    publish(stacked, PEOPLE_CONTRACT, "BASE", out, "first", options, parts=parts)
     return out
 
 

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from checks import flows
+from checks import files, flows
 from rosterloom.functions import clean_text, month_key
 from rosterloom.operators import rows as row_operators
 from rosterloom.operators.shape import drop_blank_rows
@@ -85,3 +85,12 @@ def test_month_keys_of_unusual_years(spark):
     df = spark.createDataFrame([(d,) for d in days], "n int").select(F.date_add(F.lit(dt.date(1970, 1, 1)), F.col("n")).alias("d"))
     plain = F.concat(F.date_format("d", "dd/MM/yyyy"), F.lit("_p"))
     assert df.filter(~month_key(F.col("d"), F.lit("p")).eqNullSafe(plain)).count() == 0
+
+
+def test_published_rows_of_one_label_are_not_sorted_by_it(spark, monkeypatch):
+    given = []
+    publish = files.publish
+    monkeypatch.setattr(files, "publish", lambda *a, parts=None, **k: given.append(parts) or publish(*a, parts=parts, **k))
+    got = files.published_label(spark, "/root/testdata/sf0.001")
+    assert "MOVIMENTACOES" in [label for label, _ in given[0]]
+    assert got.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
