@@ -16,17 +16,22 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % FOLDS == 0, F.lit(True))
 
 
+def chosen(df: DataFrame, by: str, per_value: int, counts: dict[object, int], *key: str) -> DataFrame:
+    """About `per_value` rows for each value of `by`, chosen by a hash of `key`. `counts`: how often each value occurs."""
+    if not counts:
+        return df.limit(0)
+    shares = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int(_RANGE * min(1.0, per_value / n)))])
+    return df.where(F.pmod(F.xxhash64(*key), F.lit(_RANGE)) <= shares[F.col(by)])
+
+
 def bounded_sample(df: DataFrame, by: str, per_value: int, *key: str) -> DataFrame:
     """About `per_value` rows (twice that in all at most) for each value of `by`, chosen by a hash of `key`.
 
-    `by` must have few values: their counts go through the driver.
+    `by` must have few values: their counts go through the driver. The bound takes the rows through one task, so they
+    must be short; whole texts are `chosen`, made small where they are, and bounded then.
     """
     counts = {r[by]: r["count"] for r in df.where(F.col(by).isNotNull()).groupBy(by).count().collect()}
-    if not counts:
-        return df.limit(0)
-    shares = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, int(_RANGE * min(1.0, per_value / n)))])
-    chosen = df.where(F.pmod(F.xxhash64(*key), F.lit(_RANGE)) <= shares[F.col(by)])
-    return chosen.limit(2 * per_value * len(counts))
+    return chosen(df, by, per_value, counts, *key).limit(2 * per_value * len(counts))
 
 
 def softmax(logits: np.ndarray) -> np.ndarray:

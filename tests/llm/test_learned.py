@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rosterloom.llm import language, quality
 from rosterloom.llm.learning import softmax, temperature
+from rosterloom.llm.storage import stored
 from rosterloom.llm.text_arrays import Words, mixed
 
 MASK = (1 << 32) - 1
@@ -207,3 +208,23 @@ def test_language_agrees_with_plain_loops(spark):
         assert found[i]["lang_pred"] == lang and found[i]["score"] == pytest.approx(score, abs=1e-6), i
         assert found[i]["held_out"] == held_out(i)
     assert got.where(F.col("lang_pred") == "und").count() == 3
+
+
+def test_language_features_are_made_where_the_texts_are(spark, monkeypatch, tmp_path):
+    features, folder = language.features, str(tmp_path)
+
+    def noted(text, idf):
+        from pyspark import TaskContext
+
+        task = TaskContext.get()
+        with open(f"{folder}/{task.stageId()}-{task.partitionId()}", "a") as file:
+            file.write("x")
+        return features(text, idf)
+
+    monkeypatch.setattr(language, "features", noted)
+    docs = [(i, f"{'und der nicht' if i % 2 else 'the and with'} {i}", "de" if i % 2 else "en") for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(8)
+    language.fit(stored(df, "test-docs"))  # as a table, whose rows Spark has not counted
+    texts = [p.stat().st_size for p in tmp_path.iterdir()]
+    # the whole sample, and no task had more than its share of the texts
+    assert sum(texts) == sum(not held_out(i) for i, *_ in docs) and max(texts) < sum(texts) / 4
